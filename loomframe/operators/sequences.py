@@ -222,8 +222,8 @@ def sliding_windows(df: DataFrame, run: Sequence[str], order: Sequence[str], len
     spread = at.withColumn("start", F.explode(starts))
     rows = F.array_sort(F.collect_list(F.struct(F.col("_n"), *cols)))
     grouped = spread.groupBy(*run, *keep, "start").agg(rows.alias("_rows"))
-    return grouped.select(*run, *keep, "start", *[
-        F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in cols])
+    return grouped.select(*run, *keep, "start",
+                          *[F.col("_rows").getField(c).alias(c) for c in cols])
 
 
 def slice_rows(df: DataFrame, part: Sequence[str], order: Sequence[str], start: int,
