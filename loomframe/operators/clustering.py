@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.operators.joins import skew_join
+from loomframe.operators.joins import skew_join, union_all
 from loomframe.operators.models import VECTOR, assemble
 from loomframe.operators.ordered import Ordered, row_number
 from loomframe.session import stored
@@ -50,63 +50,75 @@ def _around(i: Column, j: Column) -> Column:
     return F.array(*[F.struct((i + a).alias("ci"), (j + b).alias("cj")) for a, b in steps])
 
 
-def _boxes(points: DataFrame, size: Column) -> DataFrame:
-    """Bounding boxes of the points of each (cell, sub-square of the given size)."""
-    return points.groupBy("ci", "cj", F.floor(F.col("x") / size).alias("si"),
-                          F.floor(F.col("y") / size).alias("sj")).agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"),
-        F.min("y").alias("y0"), F.max("y").alias("y1"))
+# Up to this many points on both sides, two squares' points are simply compared.
+_FEW = 32
+
+
+def _in_squares(points: DataFrame, size: float) -> DataFrame:
+    return points.withColumns({"si": F.floor(F.col("x") / size), "sj": F.floor(F.col("y") / size)})
+
+
+def _renamed(df: DataFrame, side: str, cell: tuple[str, str]) -> DataFrame:
+    """Cell columns under the given names, the others with the side's letter."""
+    return df.select(F.col("ci").alias(cell[0]), F.col("cj").alias(cell[1]),
+                     *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c not in ("ci", "cj")])
 
 
 def _touching_cells(core: DataFrame, cells: DataFrame, eps: float, width: float) -> DataFrame:
     """Pairs of neighbouring cells with core points within eps of each other.
 
-    Boxes around the points of ever smaller squares are compared: a pair of boxes
-    that must be within eps joins its cells, one that cannot be is dropped, and
-    only the undecided ones are split further.  Boxes shrink to single points, so
-    the answer is exact, and no step lists all pairs of points of two cells.
+    Bounding boxes of the points of ever smaller squares are compared: a pair of
+    boxes that must be within eps joins its cells, one that cannot be is dropped.
+    Of the undecided ones, those with few points compare them and only the others
+    are split further.  The answer is exact and no step lists all pairs of points
+    of two crowded cells.
     """
-    around = cells.select("ci", "cj", F.inline(_around(F.col("ci"), F.col("cj"))).alias("di", "dj"))
-    other = cells.select(F.col("ci").alias("di"), F.col("cj").alias("dj"))
+    own, other = ("ci", "cj"), ("di", "dj")
+    around = cells.select("ci", "cj", F.inline(_around(F.col("ci"), F.col("cj"))).alias(*other))
     forward = (F.col("ci") < F.col("di")) | (
         (F.col("ci") == F.col("di")) & (F.col("cj") < F.col("dj")))
-    open_pairs = stored(around.filter(forward).join(other, ["di", "dj"]))
-    found = []
-    level, pairs = 0, None
+    pairs = around.filter(forward).join(
+        cells.select(F.col("ci").alias("di"), F.col("cj").alias("dj")), list(other))
+    found, level = [], 0
     while True:
-        size = F.lit(width / 2 ** level)
-        box = _boxes(core, size)
-        left = box.select("ci", "cj", *[F.col(c).alias(f"l_{c}") for c in box.columns[2:]])
-        right = box.select(F.col("ci").alias("di"), F.col("cj").alias("dj"),
-                           *[F.col(c).alias(f"r_{c}") for c in box.columns[2:]])
-        if pairs is None:
-            both = open_pairs.join(left, ["ci", "cj"]).join(right, ["di", "dj"])
+        squares = _in_squares(core, width / 2 ** level)
+        boxes = squares.groupBy("ci", "cj", "si", "sj").agg(
+            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
+            F.max("y").alias("y1"), F.count(F.lit(1)).alias("n"))
+        left, right = _renamed(boxes, "l", own), _renamed(boxes, "r", other)
+        if level:  # children of the squares still to be decided
+            up = {side: {f"up_{side}_{c}": F.floor(F.col(f"{side}_{c}") / 2)
+                         for c in ("si", "sj")} for side in "lr"}
+            pairs = pairs.join(left.withColumns(up["l"]), [*own, *up["l"]]).join(
+                right.withColumns(up["r"]), [*other, *up["r"]])
         else:
-            # Children of the still undecided pairs of squares only.
-            up_l = {f"p_l_{c}": F.floor(F.col(f"l_{c}") / 2) for c in ("si", "sj")}
-            up_r = {f"p_r_{c}": F.floor(F.col(f"r_{c}") / 2) for c in ("si", "sj")}
-            both = pairs.join(left.withColumns(up_l), ["ci", "cj", *up_l]).join(
-                right.withColumns(up_r), ["di", "dj", *up_r])
-        near_x = F.greatest(F.col("r_x0") - F.col("l_x1"), F.col("l_x0") - F.col("r_x1"), F.lit(0.0))
-        near_y = F.greatest(F.col("r_y0") - F.col("l_y1"), F.col("l_y0") - F.col("r_y1"), F.lit(0.0))
-        far_x = F.greatest(F.col("r_x1") - F.col("l_x0"), F.col("l_x1") - F.col("r_x0"))
-        far_y = F.greatest(F.col("r_y1") - F.col("l_y0"), F.col("l_y1") - F.col("r_y0"))
-        judged = stored(both.select(
-            "ci", "cj", "di", "dj",
-            *[F.col(f"{s}_{c}").alias(f"p_{s}_{c}") for s in "lr" for c in ("si", "sj")],
-            (near_x * near_x + near_y * near_y <= eps * eps).alias("can"),
-            (far_x * far_x + far_y * far_y <= eps * eps).alias("must")).filter("can"))
-        joined = judged.filter("must").select("ci", "cj", "di", "dj").distinct()
-        found.append(joined)
-        pairs = stored(judged.join(joined, ["ci", "cj", "di", "dj"], "left_anti").drop(
-            "can", "must"))
+            pairs = pairs.join(left, list(own)).join(right, list(other))
+        gap = {c: F.greatest(F.col(f"r_{c}0") - F.col(f"l_{c}1"),
+                             F.col(f"l_{c}0") - F.col(f"r_{c}1"), F.lit(0.0)) for c in "xy"}
+        far = {c: F.greatest(F.col(f"r_{c}1") - F.col(f"l_{c}0"),
+                             F.col(f"l_{c}1") - F.col(f"r_{c}0")) for c in "xy"}
+        judged = stored(pairs.filter(
+            gap["x"] * gap["x"] + gap["y"] * gap["y"] <= eps * eps).select(
+            *own, *other, *[f"{s}_{c}" for s in "lr" for c in ("si", "sj")],
+            (far["x"] * far["x"] + far["y"] * far["y"] <= eps * eps).alias("must"),
+            (F.greatest("l_n", "r_n") <= _FEW).alias("few")))
+        joined = judged.filter("must").select(*own, *other).distinct()
+        left_over = judged.join(joined, [*own, *other], "left_anti").drop("must")
+        points = squares.select("ci", "cj", "si", "sj", "x", "y")
+        near = left_over.filter("few").join(
+            _renamed(points, "l", own), [*own, "l_si", "l_sj"]).join(
+            _renamed(points, "r", other), [*other, "r_si", "r_sj"])
+        dx, dy = F.col("l_x") - F.col("r_x"), F.col("l_y") - F.col("r_y")
+        compared = near.filter(dx * dx + dy * dy <= eps * eps).select(*own, *other)
+        found.append(stored(joined.unionByName(compared).distinct()))
+        pairs = left_over.filter(~F.col("few")).join(
+            found[-1], [*own, *other], "left_anti").select(
+            *own, *other, *[F.col(f"{s}_{c}").alias(f"up_{s}_{c}")
+                            for s in "lr" for c in ("si", "sj")])
+        pairs = stored(pairs)
         if pairs.isEmpty():
-            break
+            return union_all(found).distinct()
         level += 1
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
 
 
 def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ class Registry:
 
 def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     """Doubles to fixed digits: sums in another order differ in the last bits."""
-    return df.withColumns({f.name: no_minus_zero(F.round(F.col(f.name), digits))
+    return df.withColumns({f.name: no_minus_zero(F.round(df[f"`{f.name}`"], digits))
                            for f in df.schema if isinstance(f.dataType, T.DoubleType)})
 
 

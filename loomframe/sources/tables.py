@@ -15,10 +15,14 @@ def run_sql(spark: SparkSession, text: str, args: Mapping | None = None, **frame
     return spark.sql(text, args=dict(args or {}), **frames)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "refresh") -> None:
-    """``refresh`` replaces the rows, ``create`` fails if it exists, ``append`` adds."""
+def save_table(df: DataFrame, name: str, mode: str = "refresh", path: str | None = None) -> None:
+    """``refresh`` replaces the rows, ``create`` fails if it exists, ``append`` adds.
+
+    With a path the table lives there instead of in the warehouse folder.
+    """
     how = {"refresh": "overwrite", "create": "errorifexists", "append": "append"}[mode]
-    df.write.mode(how).format("parquet").saveAsTable(name)
+    writer = df.write.mode(how).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
