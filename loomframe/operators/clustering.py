@@ -124,22 +124,29 @@ def _touching_cells(core: DataFrame, cells: DataFrame, eps: float, width: float)
 def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, root)``: the smallest node of each connected component.
 
-    ``edges`` are ``(a, b)``.  Every round takes the smallest root among the
-    neighbours and then jumps to the root's root, so long chains shorten quickly.
+    ``edges`` are ``(a, b)``.  Every node points to its smallest neighbour, the
+    pointers are followed to their ends, and the graph shrinks to these ends
+    until no edge is left; each round leaves a fraction of the nodes.
     """
-    both = stored(edges.union(edges.select("b", "a")).distinct())
-    state = stored(nodes.select("node", F.col("node").alias("root")))
-    while True:
-        near = both.join(state.withColumnRenamed("node", "b"), "b").groupBy(
-            F.col("a").alias("node")).agg(F.min("root").alias("_near"))
-        step = state.join(near, "node", "left").select(
-            "node", F.col("root").alias("_old"), F.least("root", "_near").alias("root"))
-        step = stored(step)
-        jump = step.select(F.col("node").alias("root"), F.col("root").alias("_jump"))
-        nxt = stored(step.join(jump, "root").select("node", "_old", F.col("_jump").alias("root")))
-        state = nxt.select("node", "root")
-        if nxt.filter(F.col("_old") != F.col("root")).isEmpty():
-            return state
+    state = nodes.select("node", F.col("node").alias("root"))
+    links = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+                   .filter("a <> b").distinct())
+    while not links.isEmpty():
+        parent = stored(links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")))
+        moving = True
+        while moving:
+            up = parent.select(F.col("a").alias("p"), F.col("p").alias("_next"))
+            step = stored(skew_join(parent.select("a", "p"), up, ["p"]).select(
+                "a", F.col("_next").alias("p"), (F.col("p") != F.col("_next")).alias("moved")))
+            parent, moving = step, not step.filter("moved").isEmpty()
+        ends = {c: parent.select(F.col("a").alias(c), F.col("p").alias(f"p_{c}"))
+                for c in ("a", "b", "root")}
+        state = stored(skew_join(state, ends["root"], ["root"], "left").select(
+            "node", F.coalesce("p_root", "root").alias("root")))
+        moved = skew_join(skew_join(links, ends["a"], ["a"]), ends["b"], ["b"], hot_from=links)
+        links = stored(moved.select(F.col("p_a").alias("a"), F.col("p_b").alias("b"))
+                       .filter("a <> b").distinct())
+    return state
 
 
 def dbscan_2d(df: DataFrame, row_id: str, x: str, y: str, eps: float = 5.0,

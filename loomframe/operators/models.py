@@ -6,6 +6,7 @@ are not the same as those of other libraries and give other scores.
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
@@ -51,13 +52,18 @@ def fourier_features(df: DataFrame, features: Sequence[str], dim: int, gamma: fl
     """``rff``: random cosines whose products stand in for exp(-gamma·|x - y|²)."""
     draw = random.Random(seed)
     spread = math.sqrt(2 * gamma)
-    terms = []
-    for _ in range(dim):
-        weights = [draw.gauss(0, spread) for _ in features]
-        shift = draw.uniform(0, 2 * math.pi)
-        dot = sum((F.col(c) * w for c, w in zip(features, weights)), F.lit(shift))
-        terms.append(F.cos(dot) * math.sqrt(2 / dim))
-    return df.withColumn("rff", F.array(*terms))
+    # One row of weights per cosine, its shift last; a text literal keeps the plan
+    # small and is turned into an array once, when the plan is optimised.
+    rows = [[*[draw.gauss(0, spread) for _ in features], draw.uniform(0, 2 * math.pi)]
+            for _ in range(dim)]
+    weights = F.from_json(F.lit(json.dumps(rows)), "array<array<double>>")
+    values = F.array(*[F.col(c).cast("double") for c in features], F.lit(1.0))
+
+    def cosine(row: Column) -> Column:
+        products = F.zip_with(row, values, lambda w, v: w * v)
+        return F.cos(F.aggregate(products, F.lit(0.0), lambda a, x: a + x)) * math.sqrt(2 / dim)
+
+    return df.withColumn("rff", F.transform(weights, cosine))
 
 
 def fit_svm(df: DataFrame, features: Sequence[str], label: str, rff_dim: int = 0,

@@ -76,7 +76,8 @@ def read_corpus(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFram
     """One row per text file with the number its name starts with, in that order."""
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(
         path, wholetext=True)
-    name = F.col("_metadata.file_name")
+    # File names in the metadata are encoded as in a URL.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     number = F.substring(name, 1, 2).try_cast("int")
     return df.select(number.alias("number"), name.alias("name"), F.col("value").alias("text")
                      ).orderBy("number", "name")
