@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The published coefficients of AS 241 (PPND16), lowest power first.
-_CENTRE = (
+CENTRE = (
     (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3,
      1.3731693765509461125e4, 4.5921953931549871457e4, 6.7265770927008700853e4,
      3.3430575583588128105e4, 2.5090809287301226727e3),
@@ -21,7 +21,7 @@ _CENTRE = (
      2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4,
      5.2264952788528545610e3),
 )
-_MIDDLE = (
+MIDDLE = (
     (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0,
      3.64784832476320460504e0, 1.27045825245236838258e0, 2.41780725177450611770e-1,
      2.27238449892691845833e-2, 7.74545014278341407640e-4),
@@ -29,7 +29,7 @@ _MIDDLE = (
      1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4,
      1.05075007164441684324e-9),
 )
-_FAR = (
+FAR = (
     (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0,
      2.96560571828504891230e-1, 2.65321895265761230930e-2, 1.24266094738807843860e-3,
      2.71155556874348757815e-5, 2.01033439929228813265e-7),
@@ -52,7 +52,7 @@ def probit(p: Column) -> Column:
     """The x with P(X <= x) = p for a standard normal X; null outside (0, 1)."""
     q = p - 0.5
     tail = F.sqrt(-F.ln(F.least(p, 1 - p)))
-    outer = F.when(tail <= 5.0, _ratio(tail - 1.6, _MIDDLE)).otherwise(_ratio(tail - 5.0, _FAR))
-    centre = q * _ratio(F.lit(0.180625) - q * q, _CENTRE)
+    outer = F.when(tail <= 5.0, _ratio(tail - 1.6, MIDDLE)).otherwise(_ratio(tail - 5.0, FAR))
+    centre = q * _ratio(F.lit(0.180625) - q * q, CENTRE)
     return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, centre)
                   .otherwise(F.signum(q) * outer))

@@ -17,6 +17,7 @@ from loomframe.functions.columns import safe_ratio
 from loomframe.operators.joins import skew_join
 from loomframe.operators.ordered import Ordered, first_row, previous, run_sum
 from loomframe.operators.relational import label_by_presence
+from loomframe.session import stored
 
 # The feature names a model trained on these tables expects.
 USER_FEATURES = [
@@ -144,15 +145,31 @@ def check_order_numbers(orders: DataFrame) -> DataFrame:
 
 # -- user features ------------------------------------------------------------
 
-def user_counts(op: DataFrame, products: DataFrame) -> DataFrame:
-    """Orders, distinct products, lines, departments and aisles per user."""
-    lines = skew_join(_prior(op), products, ["product_id"], hot_from=op)
-    return lines.groupBy("user_id").agg(
-        F.count_distinct("order_id").alias("orders_TOT_COUNT"),
+def purchase_pairs(op: DataFrame) -> DataFrame:
+    """Per (user, product) the prior purchases and whether one was a re-order."""
+    return _prior(op).groupBy("user_id", "product_id").agg(
+        F.count(F.lit(1)).alias("times"), F.max("reordered").alias("again"))
+
+
+def user_counts(op: DataFrame, products: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Orders, distinct products, lines, departments and aisles per user.
+
+    Distinct counts are taken over the much smaller (user, product) and
+    (user, order) tables, so lines are never copied once per distinct count.
+    """
+    pairs = purchase_pairs(op) if pairs is None else pairs
+    known = skew_join(pairs.select("user_id", "product_id", "times"), products, ["product_id"],
+                      hot_from=op)
+    wares = known.groupBy("user_id").agg(
         F.count_distinct("product_id").alias("prods_ordered_DIST_CNT"),
-        F.count(F.lit(1)).alias("prods_ordered_TOT_CNT"),
+        F.sum("times").alias("prods_ordered_TOT_CNT"),
         F.count_distinct("department_id").alias("departments_DIST_CNT"),
         F.count_distinct("aisle_id").alias("aisle_DIST_CNT"))
+    lines = skew_join(_prior(op).select("user_id", "order_id", "product_id"), products,
+                      ["product_id"], "left_semi", hot_from=op)
+    counts = lines.select("user_id", "order_id").distinct().groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("orders_TOT_COUNT"))
+    return counts.join(wares, "user_id").select("user_id", *USER_FEATURES[:5])
 
 
 def user_basket_size_stats(op: DataFrame) -> DataFrame:
@@ -177,33 +194,37 @@ def join_features(frames: Sequence[DataFrame], key: str | Sequence[str]) -> Data
     return reduce(lambda a, b: a.join(b, key), frames)
 
 
-def user_features(orders: DataFrame, op: DataFrame, products: DataFrame) -> DataFrame:
+def user_features(orders: DataFrame, op: DataFrame, products: DataFrame,
+                  pairs: DataFrame | None = None) -> DataFrame:
     scores = basket_f1(basket_transitions(orders, op))
-    return join_features([user_counts(op, products), user_basket_size_stats(op),
+    return join_features([user_counts(op, products, pairs), user_basket_size_stats(op),
                           user_gap_stats(orders), user_repeat_stats(scores)], "user_id")
 
 
 # -- product features ---------------------------------------------------------
 
-def product_counts(op: DataFrame, orders: DataFrame) -> DataFrame:
+def product_counts(op: DataFrame, orders: DataFrame,
+                   pairs: DataFrame | None = None) -> DataFrame:
     """Buyers, re-buyers, their ratio, and lines per prior order."""
     total = _prior(orders, "eval_set").agg(F.count(F.lit(1))).scalar()
-    again = F.when(F.col("reordered") == 1, F.col("user_id"))
-    return _prior(op).groupBy("product_id").agg(
-        F.count_distinct("user_id").alias("orders_CNT"),
-        F.count_distinct(again).alias("reorders_CNT"),
-        F.count(F.lit(1)).alias("_lines"),
+    pairs = purchase_pairs(op) if pairs is None else pairs
+    # One row per buyer of the product: plain counts are the distinct counts.
+    return pairs.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("orders_CNT"),
+        F.count_if(F.col("again") == 1).alias("reorders_CNT"), F.sum("times").alias("_lines"),
     ).select("product_id", "orders_CNT", "reorders_CNT",
              F.try_divide("reorders_CNT", "orders_CNT").alias("proportion_reordered_PROP"),
              F.try_divide(F.col("_lines"), total).alias("occurances_per_order_PROP"))
 
 
 def purchase_history(op: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per (user, product): orders, purchases, cart position, first and last day."""
+    """Per (user, product): purchases, cart position, first and last day.
+
+    ``op`` has one row per (order, product), so purchases are orders.
+    """
     n, day = F.col("order_number"), F.col("days_since_first_order")
     return with_days(_prior(op), orders).groupBy("user_id", "product_id").agg(
-        F.count_distinct("order_id").alias("purchased_CNT"),
-        F.count(F.lit(1)).alias("times"),
+        F.count(F.lit(1)).alias("times"), F.max("reordered").alias("again"),
         *_ln_stats(F.col("add_to_cart_order"), "position_in_cart"),
         F.min_by(day, n).alias("first_day"), F.max_by(day, n).alias("last_day"))
 
@@ -220,7 +241,7 @@ def product_reorder_delay(history: DataFrame) -> DataFrame:
 
 
 def product_features(op: DataFrame, orders: DataFrame, history: DataFrame) -> DataFrame:
-    return product_counts(op, orders).join(product_reorder_delay(history), "product_id")
+    return product_counts(op, orders, history).join(product_reorder_delay(history), "product_id")
 
 
 # -- user-product features ----------------------------------------------------
@@ -230,8 +251,8 @@ def user_product_counts(history: DataFrame, users: DataFrame,
     """Orders with the product, their share of the user's orders, cart position."""
     own = users.select("user_id", "orders_TOT_COUNT")
     return skew_join(history, own, ["user_id"], hot_from=hot_from).select(
-        "user_id", "product_id", "purchased_CNT",
-        F.try_divide("purchased_CNT", "orders_TOT_COUNT").alias(
+        "user_id", "product_id", F.col("times").alias("purchased_CNT"),
+        F.try_divide("times", "orders_TOT_COUNT").alias(
             "proportion_of_orders_containing_PROP"),
         "position_in_cart_LOG_AVG", "position_in_cart_LOG_STD")
 
@@ -266,17 +287,19 @@ def all_features(orders: DataFrame, op: DataFrame, products: DataFrame) -> DataF
     ``op`` and ``orders`` are read several times: pass stored tables.
     """
     dated = days_since_first(orders)
-    users = user_features(orders, op, products)
-    history = purchase_history(op, dated)
+    # The largest intermediate result, read by three branches: written once.
+    history = stored(purchase_history(op, dated))
+    users = user_features(orders, op, products, history)
     wanted = orders.filter(F.col("eval_set").isin("test", "train")).select(
         "user_id", "order_id", "eval_set")
     # Everything known per user first, so the large pair table meets users once.
     per_user = join_features([users, current_orders(dated, users), wanted], "user_id")
-    share = F.try_divide("purchased_CNT", "orders_TOT_COUNT")
-    pairs = skew_join(history, per_user, ["user_id"], hot_from=op).withColumn(
-        "proportion_of_orders_containing_PROP", share)
+    share = F.try_divide("times", "orders_TOT_COUNT")
+    pairs = skew_join(history, per_user, ["user_id"], hot_from=history).withColumns(
+        {"purchased_CNT": F.col("times"), "proportion_of_orders_containing_PROP": share})
     pairs = pairs.select("*", *_recency())
-    rows = skew_join(pairs, product_features(op, orders, history), ["product_id"], hot_from=op)
+    rows = skew_join(pairs, product_features(op, orders, history), ["product_id"],
+                     hot_from=history)
     rows = rows.select("user_id", "product_id", "order_id", "eval_set", *FEATURES)
     return label_by_presence(rows, op, ["order_id", "product_id"])
 

@@ -102,12 +102,15 @@ class Ordered:
     """``df`` grouped by ``part`` and ordered by ``order`` (unique in a group)."""
 
     def __init__(self, df: DataFrame, part: Sequence[str], order: Sequence[str],
-                 axis: Column | None = None, like: Ordered | None = None):
-        """``like``: an earlier arrangement of the same groups, already counted."""
+                 axis: Column | None = None, like: Ordered | None = None,
+                 small: bool = False):
+        """``like``: an earlier arrangement of the same groups, already counted.
+        ``small``: a cheaper count has shown that no group is above the limit."""
         self.part, self.order = list(part), list(order)
         self.limit = group_limit(df.sparkSession)
         self.piece: str | None = None
-        self.df = df if like is not None and like.fits else self._cut(df, axis)
+        known = small or (like is not None and like.fits)
+        self.df = df if known else self._cut(df, axis)
 
     @property
     def fits(self) -> bool:

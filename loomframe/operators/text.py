@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.joins import skew_join
-from loomframe.session import stored
+from loomframe.session import spread, stored
 
 # Fixed value: words of two or more letters, digits or underscores of any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -22,7 +22,7 @@ def term_counts(df: DataFrame, doc: str, text: str, stop: Sequence[str] | DataFr
                 lexicon: DataFrame | None = None, lowercase: bool = True) -> DataFrame:
     """``(doc, term, tf)`` of all tokens, after stop words and the lexicon
     ``(token, base)``; a token without an entry stays as it is."""
-    words = df.select(doc, F.explode(tokens(F.col(text), lowercase)).alias("term"))
+    words = spread(df.select(doc, text)).select(doc, F.explode(tokens(F.col(text), lowercase)).alias("term"))
     if not isinstance(stop, DataFrame) and stop:
         words = words.filter(~F.col("term").isin(*stop))
     counts = words.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))

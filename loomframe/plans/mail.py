@@ -44,15 +44,34 @@ def weekend_share(spark, sf_dir):
     return rounded(m.weekend_share(messages(spark, sf_dir)))
 
 
-@plan.add(f"""{BASE} SELECT DISTINCT name FROM (
+ENTRIES = """SELECT DISTINCT name FROM (
   SELECT unnest(string_split(split_part(entry, ' <', 1), ''', ')) AS name FROM (
     SELECT unnest(string_split(bcc, '>, ')) AS entry FROM messages
-    WHERE bcc IS NOT NULL AND bcc <> ''))""")
+    WHERE bcc IS NOT NULL AND bcc <> ''))"""
+
+
+@plan.add(f"{BASE} {ENTRIES}")
 def split_bcc(spark, sf_dir):
     return m.split_bcc(messages(spark, sf_dir))
 
 
-@plan.add()
+# One row per character read: the item so far and what it looks like.
+@plan.add(BASE.replace("WITH", "WITH RECURSIVE", 1) + f""", entries AS ({ENTRIES}),
+walk AS (
+  SELECT name || ',' AS t, 0 AS i, '' AS item, false AS mail, false AS half,
+    CAST(NULL AS VARCHAR) AS got FROM entries
+  UNION ALL
+  SELECT t, i + 1, CASE WHEN skip OR ends THEN '' ELSE item || c END,
+    (mail OR c = '@') AND NOT ends,
+    CASE WHEN NOT skip AND NOT mail AND c = ',' THEN NOT half ELSE half END,
+    CASE WHEN ends THEN item END
+  FROM (SELECT *, NOT skip AND ((mail AND c IN (',', '''')) OR (NOT mail AND c = ',' AND half))
+          AS ends
+        FROM (SELECT *, item = '' AND c IN ('''', ' ', ',') AS skip
+              FROM (SELECT *, substr(t, i + 1, 1) AS c FROM walk WHERE i < length(t)))))
+SELECT DISTINCT name FROM (SELECT got AS name FROM walk
+  UNION SELECT substr(item, 1, length(item) - 1) FROM walk WHERE i = length(t))
+WHERE name <> ''""")
 def clean_names(spark, sf_dir):
     return m.clean_names(m.split_bcc(messages(spark, sf_dir)), "name")
 

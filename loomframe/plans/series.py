@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomframe.functions.normal import probit as probit_column
+from loomframe.functions import normal
 from loomframe.operators import scaling
 from loomframe.operators import sequences as s
 from loomframe.operators.ordered import Ordered, row_number
@@ -103,17 +103,40 @@ def rank_symmetric(spark, sf_dir):
         ID, "s1", "s2"))
 
 
-@plan.add()
+def _ratio_sql(x: str, pair) -> str:
+    def poly(coefficients) -> str:
+        text = repr(coefficients[-1]) + "::DOUBLE"
+        for c in coefficients[-2::-1]:
+            text = f"({text} * {x} + {c!r}::DOUBLE)"
+        return text
+    return f"{poly(pair[0])} / {poly(pair[1])}"
+
+
+def probit_sql(p: str) -> str:
+    """The same published approximation, for a column name ``p`` within (0, 1)."""
+    r, t = f"(0.180625::DOUBLE - ({p} - 0.5) * ({p} - 0.5))", f"sqrt(-ln(least({p}, 1 - {p})))"
+    return f"""CASE WHEN abs({p} - 0.5) <= 0.425::DOUBLE THEN ({p} - 0.5) * {_ratio_sql(r, normal.CENTRE)}
+      ELSE sign({p} - 0.5) * CASE WHEN {t} <= 5 THEN {_ratio_sql(f"({t} - 1.6::DOUBLE)", normal.MIDDLE)}
+      ELSE {_ratio_sql(f"({t} - 5)", normal.FAR)} END END"""
+
+
+def _edged(c: str) -> str:
+    return f"CASE WHEN {c} IS NOT NULL THEN greatest(least({c}, 1 - 1e-5::DOUBLE), 1e-5::DOUBLE) END"
+
+
+@plan.add(f"""{RANKS}, edged AS (SELECT event_id, {_edged('a1')} AS p1, {_edged('a2')} AS p2 FROM shares)
+SELECT event_id, round({probit_sql('p1')}, 6) AS s1, round({probit_sql('p2')}, 6) AS s2 FROM edged""")
 def rank_normalise(spark, sf_dir):
     return rounded(s.rank_normalise(sensor(spark, sf_dir), "subject_id", ["s1", "s2"]).select(
-        ID, "s1", "s2"))
+        ID, "s1", "s2"), 6)
 
 
-@plan.add()
+@plan.add(f"""WITH shares AS (SELECT event_id, (value + 1) / 200 AS p FROM events)
+SELECT event_id, round(CASE WHEN p > 0 AND p < 1 THEN {probit_sql('p')} END, 6) AS z FROM shares""")
 def probit(spark, sf_dir):
-    share = (F.col("user_id") + 1) / 1000.0
+    share = (F.col("value") + 1) / 200
     return rounded(table(spark, sf_dir, "events").select(
-        ID, probit_column(share).alias("z")))
+        ID, normal.probit(share).alias("z")), 6)
 
 
 @plan.add(f"{PLACED} SELECT event_id, subject_id, run FROM placed WHERE n > 1 AND n <= total - 1")

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.operators.ordered import Ordered, previous, row_number, whole_count
+from loomframe.operators.ordered import (
+    Ordered, groups_fit, previous, row_number, whole_count)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,15 +39,20 @@ def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.pmod("l_partkey", F.lit(50)).alias("product_id"),
         "l_linenumber")
     # One row per (order, product) before the join: copies collapse on the map side.
-    lines = lines.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("ln"))
+    raw, lines = lines, lines.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("ln"))
     orders = basket_orders(spark, sf_dir).select(
         "order_id", "user_id", "order_number", F.col("eval_set").alias("source"))
     op = lines.join(orders, "order_id")
-    op = Ordered(op, ["order_id"], ["ln", "product_id"]).scan(add_to_cart_order=row_number())
-    first = op.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-    return op.join(first, ["user_id", "product_id"]).select(
+    # Cheap bounds: an order has at most its raw lines, a user buys a product at
+    # most once per order.
+    op = Ordered(op, ["order_id"], ["ln", "product_id"],
+                 small=groups_fit(raw, ["order_id"])).scan(add_to_cart_order=row_number())
+    own = table(spark, sf_dir, "orders")
+    op = Ordered(op, ["user_id", "product_id"], ["order_number"],
+                 small=groups_fit(own, ["o_custkey"])).scan(_before=previous(F.col("order_number")))
+    return op.select(
         "order_id", "user_id", "order_number", "source", "product_id", "add_to_cart_order",
-        (F.col("order_number") > F.col("first_number")).cast("int").alias("reordered"))
+        F.col("_before").isNotNull().cast("int").alias("reordered"))
 
 
 def basket_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,16 @@ def group_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(GROUP_LIMIT, str(DEFAULT_GROUP_LIMIT)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores out to all cores.
+
+    For work that costs much more than moving its input; large inputs have many
+    splits and are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
