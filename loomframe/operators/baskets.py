@@ -301,7 +301,9 @@ def all_features(orders: DataFrame, op: DataFrame, products: DataFrame) -> DataF
     rows = skew_join(pairs, product_features(op, orders, history), ["product_id"],
                      hot_from=history)
     rows = rows.select("user_id", "product_id", "order_id", "eval_set", *FEATURES)
-    return label_by_presence(rows, op, ["order_id", "product_id"])
+    # Lines of earlier orders cannot match: the filter reaches the scan.
+    recent = op.filter(F.col("source") != "prior")
+    return label_by_presence(rows, recent, ["order_id", "product_id"])
 
 
 # -- predictions to baskets ---------------------------------------------------

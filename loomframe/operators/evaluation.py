@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from loomframe.functions.columns import f_beta, safe_ratio
 from loomframe.operators.ordered import Ordered, run_sum, whole_sum
 from loomframe.operators.relational import unpivot
+from loomframe.session import stored
 
 INF = float("inf")
 
@@ -54,9 +55,12 @@ def collapse_subclasses(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _score_counts(df: DataFrame, score: str, y: str, positive) -> DataFrame:
+    """Rows of each class per distinct score, written once: the ordered scans first
+    look at the number of scores and must not read the input again for it."""
     one = F.coalesce(F.col(y) == positive, F.lit(False))
-    return df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(one).alias("_pos"), F.count_if(~one).alias("_neg"))
+    return stored(df.filter(F.col(score).isNotNull()).groupBy(
+        F.col(score).alias("threshold")).agg(
+        F.count_if(one).alias("_pos"), F.count_if(~one).alias("_neg")))
 
 
 def distinct_thresholds(df: DataFrame, score: str) -> DataFrame:

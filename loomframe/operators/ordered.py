@@ -11,6 +11,7 @@ or after it (sums, last values, ...) travels in a table with one row per piece.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -130,7 +131,8 @@ class Ordered:
         if not total or total <= self.limit:
             return df
         tag = f"_{next(_names)}"
-        axis = _axis(df, self.order[0]) if axis is None else axis
+        given = axis is not None
+        axis = axis if given else _axis(df, self.order[0])
         work = df.withColumn(f"_axis{tag}", axis.cast("double"))
         if large is not None:
             names = {p: f"_p{i}{tag}" for i, p in enumerate(self.part)}
@@ -140,23 +142,35 @@ class Ordered:
             work = work.drop(*names.values())
         else:
             work = work.withColumn(f"_large{tag}", F.lit(True))
-        pieces = min(_MAX_PIECES, -(-total // self.limit))
-        points = work.filter(F.col(f"_large{tag}")).approxQuantile(
-            f"_axis{tag}", [i / pieces for i in range(1, pieces)], 1 / (4 * pieces))
-        splits = [-float("inf"), *sorted(set(points)), float("inf")]
+        rows = work.filter(F.col(f"_large{tag}"))
+        points = self._points(rows, f"_axis{tag}", total)
+        # A value that holds several quantiles gets a piece of its own, which the
+        # next order column can cut further (doubles are exact below 2^53).
+        heavy = sorted({p for p, q in itertools.pairwise(points) if p == q and abs(p) < 2 ** 53})
+        cuts = sorted({*points, *(math.nextafter(v, math.inf) for v in heavy)})
+        work = _bucketed(work, f"_axis{tag}", cuts, f"_b{tag}")
+        # (A given axis may be coarser than the order column: not cut further.)
+        more = len(self.order) > 1 and bool(heavy) and not given
+        second = _axis(df, self.order[1], None) if more else None
+        if second is not None:
+            tied = F.col(f"_large{tag}") & F.col(f"_axis{tag}").isin(*heavy)
+            work = work.withColumn(f"_axis2{tag}", F.when(tied, second.cast("double")))
+            ties = work.filter(tied)
+            inner = sorted(set(self._points(ties, f"_axis2{tag}", ties.count())))
+            work = _bucketed(work, f"_axis2{tag}", inner, f"_b2{tag}")
+            work = work.withColumn(f"_b{tag}", F.col(f"_b{tag}") * (len(inner) + 3) + F.when(
+                tied, F.col(f"_b2{tag}")).otherwise(0)).drop(f"_axis2{tag}", f"_b2{tag}")
         self.piece = f"_piece{tag}"
-        if len(splits) < 3:  # a single axis value: one ordered sort, spilled to disk
-            work = work.withColumn(f"_b{tag}", F.lit(0.0))
-        else:
-            work = Bucketizer(splits=splits, inputCol=f"_axis{tag}", outputCol=f"_b{tag}",
-                              handleInvalid="keep").transform(work)
-        # Null order keys sort first, as in a window.
         work = work.withColumn(self.piece, F.when(
-            F.col(f"_large{tag}"), F.coalesce(F.col(f"_b{tag}").cast("int"), F.lit(-1))
-        ).otherwise(F.lit(0)))
-        work = work.drop(f"_axis{tag}", f"_large{tag}", f"_b{tag}")
+            F.col(f"_large{tag}"), F.col(f"_b{tag}")).otherwise(F.lit(0)))
         # The pieces are read twice (table per piece, rows): cut the lineage here.
-        return stored(work)
+        return stored(work.drop(f"_axis{tag}", f"_large{tag}", f"_b{tag}"))
+
+    def _points(self, rows: DataFrame, axis: str, total: int) -> list[float]:
+        """Approximate quantiles that leave about the limit between neighbours."""
+        pieces = min(_MAX_PIECES, -(-total // self.limit))
+        return sorted(rows.approxQuantile(
+            axis, [i / pieces for i in range(1, pieces)], 1 / (4 * pieces)))
 
     # -- scans ----------------------------------------------------------------
 
@@ -255,10 +269,23 @@ class Ordered:
         return joined.drop(*keyed.values(), *carry, self.piece)
 
 
-def _axis(df: DataFrame, name: str) -> Column:
+def _bucketed(df: DataFrame, axis: str, cuts: list[float], out: str) -> DataFrame:
+    """The interval of the axis value as a whole number from 1 on; 0 for null,
+    since null order keys sort first."""
+    if not cuts:
+        return df.withColumn(out, F.lit(1))
+    found = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=axis, outputCol=out,
+                       handleInvalid="keep").transform(df)
+    return found.withColumn(out, F.coalesce(F.col(out).cast("int") + 1, F.lit(0)))
+
+
+def _axis(df: DataFrame, name: str, *default) -> Column:
+    """A number that rises with the order column."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
         return F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp"))
+    if default:
+        return default[0]
     raise TypeError(f"give an axis for the order column {name} of type {kind.simpleString()}")

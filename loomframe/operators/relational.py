@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomframe.functions.columns import mapped
 from loomframe.operators.joins import skew_join, union_all
 from loomframe.operators.ordered import Ordered, row_number, run_sum, whole_sum
+from loomframe.session import stored
 
 # -- projections and filters --------------------------------------------------
 
@@ -162,7 +163,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, floa
     """
     keys = [*by, "column"]
     values = unpivot(df, cols, by).filter(F.col("value").isNotNull())
-    counts = values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = stored(values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")))
     placed = Ordered(counts, keys, ["value"]).scan(
         _upto=run_sum(F.col("_n")), _total=whole_sum(F.col("_n")))
     aggs, out = [F.max("_total").alias("count")], []
@@ -232,7 +233,7 @@ def best_rows(df: DataFrame, metrics: Sequence[str], tie: Sequence[str]) -> Data
 
 def ranked_models(df: DataFrame, metric: str, n: int, tie: Sequence[str]) -> DataFrame:
     """Rows whose competition rank by the metric is at most n; ties share a rank."""
-    counts = df.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"))
+    counts = stored(df.groupBy(metric).agg(F.count(F.lit(1)).alias("_n")))
     ordered = counts.filter(F.col(metric).isNotNull()).withColumn("_neg", -F.col(metric))
     ranks = Ordered(ordered, [], ["_neg"]).scan(_upto=run_sum(F.col("_n")))
     ranks = ranks.withColumn("rank", F.col("_upto") - F.col("_n") + 1).filter(F.col("rank") <= n)

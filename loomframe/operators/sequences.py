@@ -16,7 +16,7 @@ from loomframe.operators.joins import skew_join
 from loomframe.operators.ordered import (
     Ordered, groups_fit, last_known, max_before, next_known, null_safe, previous, row_number, run_max,
     run_sum, whole_count, whole_max)
-from loomframe.session import group_limit
+from loomframe.session import group_limit, stored
 
 
 def segment_runs(df: DataFrame, part: str, state: str, order: Sequence[str],
@@ -239,8 +239,8 @@ def slice_rows(df: DataFrame, part: Sequence[str], order: Sequence[str], start:
 def cumulative_classes(df: DataFrame, time: str, label: str,
                        classes: Sequence) -> DataFrame:
     """Per point in time the rows of each class so far."""
-    per_time = df.groupBy(time).agg(*[
-        F.count_if(F.col(label) == c).alias(f"n_{c}") for c in classes])
+    per_time = stored(df.groupBy(time).agg(*[
+        F.count_if(F.col(label) == c).alias(f"n_{c}") for c in classes]))
     return Ordered(per_time, [], [time]).scan(**{
         f"class_{c}": run_sum(F.col(f"n_{c}")) for c in classes}).drop(
         *[f"n_{c}" for c in classes])

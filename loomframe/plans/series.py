@@ -10,6 +10,7 @@ from loomframe.operators import sequences as s
 from loomframe.operators.ordered import Ordered, row_number
 from loomframe.plans.registry import Registry, rounded
 from loomframe.plans.views import sensor, table, transactions, with_views
+from loomframe.session import stored
 
 plan = Registry()
 BASE = with_views("sensor")
@@ -28,13 +29,14 @@ PLACED = f"""{RUNS}, placed AS (
     count(*) OVER (PARTITION BY subject_id, run) AS total FROM runs)"""
 
 
-def _runs(spark, sf_dir, drop=None):
-    return s.segment_runs(sensor(spark, sf_dir), "subject_id", "activity_id", ORDER, drop)
+def _runs(spark, sf_dir):
+    """Numbered runs as the stored stage that the later steps start from."""
+    return stored(s.segment_runs(sensor(spark, sf_dir), "subject_id", "activity_id", ORDER))
 
 
 @plan.add(f"{RUNS} SELECT * FROM runs WHERE activity_id <> 1")
 def segment_runs(spark, sf_dir):
-    return _runs(spark, sf_dir, drop=1)
+    return s.segment_runs(sensor(spark, sf_dir), "subject_id", "activity_id", ORDER, drop=1)
 
 
 @plan.add(f"""{BASE}, n AS (

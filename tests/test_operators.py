@@ -55,6 +55,25 @@ def test_split_scans_equal_plain_scans(spark, part):
         spark.conf.unset(GROUP_LIMIT)
 
 
+def test_a_value_held_by_most_rows_is_cut_by_the_next_column(spark):
+    from loomframe.session import GROUP_LIMIT
+
+    draw = random.Random(2)
+    rows = [(draw.choice([0.0, 0.0, 0.0, draw.random(), -draw.random(), None]), i,
+             draw.randint(-9, 9)) for i in range(600)]
+    df = spark.createDataFrame(rows, "t double, id int, v int")
+    want = sorted(values(Ordered(df, [], ["t", "id"]).scan(**scans()), "id", *scans()))
+    spark.conf.set(GROUP_LIMIT, "25")
+    try:
+        cut = Ordered(df, [], ["t", "id"])
+        assert sorted(values(cut.scan(**scans()), "id", *scans())) == want
+        # Only nulls may stay together: they have no place on the axis.
+        sizes = cut.df.filter("t is not null").groupBy(cut.piece).count()
+        assert sizes.agg(F.max("count")).first()[0] < 80
+    finally:
+        spark.conf.unset(GROUP_LIMIT)
+
+
 def test_scan_of_empty_input(spark):
     df = spark.createDataFrame([], "g string, t int, v int")
     assert Ordered(df, ["g"], ["t"]).scan(**scans()).count() == 0
