@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from loomframe.functions.columns import mixed_draw, mixed_key
 from loomframe.functions.columns import sentence_tokens as sentence_column
 from loomframe.operators import text as t
+from loomframe.operators.baskets import basket_strings
 from loomframe.plans.registry import Registry, rounded
-from loomframe.plans.views import messages, table, with_views
+from loomframe.plans.views import basket_lines, messages, table, with_views
 from loomframe.session import checkpoint_dir
 from loomframe.sources import files, tables
 
@@ -189,3 +190,24 @@ def save_table(spark, sf_dir):
     tables.save_table(turns.filter("role = 'user'"), name, "create", path)
     tables.save_table(turns.filter("role <> 'user'"), name, "append", path)
     return spark.table(name)
+
+
+@plan.add(with_views("b_op") + """SELECT order_id, coalesce(string_agg(CASE WHEN reordered = 1 THEN
+  CAST(product_id AS VARCHAR) END, ' ' ORDER BY product_id), '') AS products
+FROM b_op WHERE source <> 'prior' GROUP BY order_id""")
+def save_submission(spark, sf_dir):
+    path = _new_path(spark)
+    recent = basket_lines(spark, sf_dir).filter("source <> 'prior'")
+    tables.save_submission(basket_strings(recent.withColumn("order", F.col("reordered"))), path)
+    return files.read_csv(spark, path, "order_id long, products string").na.fill("", ["products"])
+
+
+@plan.add("""SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events
+GROUP BY event_type""")
+def save_scores(spark, sf_dir):
+    path = _new_path(spark)
+    scores = table(spark, sf_dir, "events").groupBy("event_type").agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean")).alias("scores"))
+    tables.save_scores(scores, path)
+    back = spark.read.schema("event_type string, scores struct<n: long, mean: double>").json(path)
+    return rounded(back.select("event_type", "scores.n", "scores.mean"), 6)
