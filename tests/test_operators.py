@@ -293,6 +293,15 @@ def test_dbscan_equals_brute_force(spark, spread):
     assert got == brute_dbscan(points, 2.5, 5)
 
 
+def test_dbscan_with_crowded_cells_split(spark, small_groups):
+    draw = random.Random(5)
+    points = {i: (draw.gauss(0, 3), draw.gauss(0, 3)) if i % 2 else (draw.uniform(0, 60), 1.0)
+              for i in range(300)}
+    df = spark.createDataFrame([(i, *p) for i, p in points.items()], "id int, x double, y double")
+    got = dict(values(clustering.dbscan_2d(df, "id", "x", "y", 2.0, 6), "id", "subclass"))
+    assert got == brute_dbscan(points, 2.0, 6)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(60) if i != 30]
     nodes = spark.createDataFrame([(i,) for i in range(62)], "node int")
