@@ -143,13 +143,14 @@ def fences(sketch: DataFrame, least_group: int = LEAST_GROUP, steps: int = STEPS
              .groupBy("level", "lang", "source").pivot("ratio", list(LEAST_STEP))
              .agg(F.struct(F.max("fence").alias("fence"), F.max("total").alias("total"))))
     names = list(LEAST_STEP)
-    level = [fence.filter(F.col("level") == k).alias(f"l{k}") for k in range(3)]
-    both = (level[0].join(level[1], F.col("l0.lang").eqNullSafe(F.col("l1.lang")), "left")
-            .join(level[2], F.lit(True), "left"))  # level 2 is one row
+    fence = stored(fence)
+    overall = fence.filter(F.col("level") == 2).first()  # one row, or none of an empty table
+    level = [fence.filter(F.col("level") == k).alias(f"l{k}") for k in range(2)]
+    both = level[0].join(level[1], F.col("l0.lang").eqNullSafe(F.col("l1.lang")), "left")
     def pick(name: str) -> Column:
         return F.when(F.col(f"l0.{name}.total") >= least_group, F.col(f"l0.{name}.fence")) \
             .when(F.col(f"l1.{name}.total") >= least_group, F.col(f"l1.{name}.fence")) \
-            .otherwise(F.col(f"l2.{name}.fence"))
+            .otherwise(F.lit(overall and overall[name]["fence"]).cast("long"))
     return both.select("l0.lang", "l0.source", *[pick(n).alias(f"most_{n}") for n in names])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomframe.llm import quality
+from loomframe.llm import huffman, language, licenses, quality
 from loomframe.llm.shared import table
 from loomframe.plans.registry import Registry
 
@@ -12,3 +12,18 @@ plan = Registry()
 @plan.add(quality.SQL)
 def op4_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@plan.add()
+def op1_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@plan.add()
+def op2_license_scan(spark, sf_dir):
+    return licenses.find(table(spark, sf_dir, "documents"))
+
+
+@plan.add()
+def op3_huffman_ids(spark, sf_dir):
+    return huffman.round_trip(spark, table(spark, sf_dir, "documents"))
