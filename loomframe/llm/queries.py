@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomframe.llm import huffman, language, licenses, quality
+from loomframe.llm import decontaminate, huffman, language, licenses, packing, quality, urls
 from loomframe.llm.shared import table
 from loomframe.plans.registry import Registry
 
@@ -27,3 +27,18 @@ def op2_license_scan(spark, sf_dir):
 @plan.add()
 def op3_huffman_ids(spark, sf_dir):
     return huffman.round_trip(spark, table(spark, sf_dir, "documents"))
+
+
+@plan.add()
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@plan.add(decontaminate.SQL)
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@plan.add(urls.SQL)
+def op9_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"))

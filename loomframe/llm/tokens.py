@@ -1,17 +1,23 @@
 """Token ids of whole texts in Arrow batches, with the ids of words kept per process.
 
 Where a vocabulary's rules drop white space and no rule looks across it, a text's ids are
-those of its words in a row, so each distinct word goes through the tokenizer once per
-process. ``apart=False`` encodes each text in one piece, for all other vocabularies.
+those of its words in a row, so a distinct word goes through the tokenizer once per process,
+and a word with marks behind it as word and marks. ``apart=False`` encodes each text in one
+piece, for all other vocabularies.
 """
 
 from __future__ import annotations
 
 import functools
+from itertools import chain
 
-#: Words kept at a time, and the longest word kept.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 40
+import numpy as np
+
+#: Characters of words after which the kept ids are thrown away, some 100 MB with them.
+KEPT = 4_000_000
 ID_TYPE = "<u4"
+#: Marks that end a word; no rule of the vocabulary joins them to letters.
+_MARKS = ",.;:!?&%$*#|()\""
 
 
 def default_vocabulary() -> str:
@@ -19,38 +25,65 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Words(dict):
-    """Word -> bytes of its ids; unknown words are encoded when asked for."""
-
-    def __init__(self, encode):
-        super().__init__({"": b""})
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-                self[""] = b""
-            self[word] = ids
-        return ids
+class Encoder:
+    """Texts to the little-endian 32-bit ids of all of each, without special ids added."""
+
+    def __init__(self, path: str, apart: bool = True):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.apart = apart
+        self.known: dict[str, bytes] = {"": b""}
+        self.size = 0
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.final = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.final[number] = bool(suffix) and token.endswith(suffix)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, ID_TYPE).tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, encoded as one text: the last id of each is marked."""
+        ids = np.array(self.whole_ids(" ".join(words)), ID_TYPE)
+        stops = np.flatnonzero(self.final[ids]) + 1
+        if len(stops) != len(words):
+            return self.whole(words)
+        data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def whole_ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.apart:
+            return self.whole(texts)
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        self._learn(set(chain.from_iterable(split)).difference(self.known))
+        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
+        if self.size > KEPT:
+            self.known, self.size = {"": b""}, 0
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        parts = {}
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if core.isascii() and core.isalpha() and not core.islower() or core != word and core.isalpha():
+                parts[word] = (core.lower() if core.isascii() else core, word[len(core):])
+        wanted = words.difference(parts).union(chain.from_iterable(parts.values())).difference(self.known)
+        self.size += sum(map(len, wanted)) + sum(map(len, parts))
+        known = self.known
+        letters = [w for w in wanted if w.isalpha()]
+        rest = list(wanted.difference(letters))
+        known.update(zip(rest, self.whole(rest)))
+        for at in range(0, len(letters), 2000):
+            known.update(zip(letters[at:at + 2000], self._letters(letters[at:at + 2000])))
+        known.update({word: known[a] + known[b] for word, (a, b) in parts.items()})
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str, apart: bool = True):
-    """Function from text to the little-endian 32-bit ids of all of it, without special ids."""
-    import numpy as np
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-
-    def whole(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, ID_TYPE).tobytes()
-
-    if not apart:
-        return whole
-    words = Words(whole)
-
-    def by_words(text: str) -> bytes:
-        return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
-    return by_words
+def encoder(path: str, apart: bool = True) -> Encoder:
+    return Encoder(path, apart)
