@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomframe.llm import decontaminate, huffman, language, licenses, packing, quality, urls
+from loomframe.llm import decontaminate, huffman, language, licenses, near_copies, packing, quality, urls
 from loomframe.llm.shared import table
 from loomframe.plans.registry import Registry
 
@@ -42,3 +42,8 @@ def op8_decontamination(spark, sf_dir):
 @plan.add(urls.SQL)
 def op9_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@plan.add(near_copies.SQL)
+def op7_ngram_jaccard(spark, sf_dir):
+    return near_copies.near_copies(table(spark, sf_dir, "documents"))
