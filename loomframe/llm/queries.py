@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from loomframe.llm import decontaminate, huffman, language, licenses, near_copies, packing, quality, urls
+from loomframe.llm import (
+    decontaminate,
+    huffman,
+    language,
+    licenses,
+    near_copies,
+    packing,
+    pii,
+    quality,
+    urls,
+    warc,
+)
 from loomframe.llm.shared import table
 from loomframe.plans.registry import Registry
 
@@ -47,3 +58,13 @@ def op9_url_filter(spark, sf_dir):
 @plan.add(near_copies.SQL)
 def op7_ngram_jaccard(spark, sf_dir):
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
+
+
+@plan.add(warc.SQL)
+def op6_warc_round_trip(spark, sf_dir):
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@plan.add()
+def op10_personal_data(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
