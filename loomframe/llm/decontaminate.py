@@ -26,6 +26,7 @@ from loomframe.llm.shared import only, stored
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
+STATE = ("_text", "_hits", "_items", "_longest", "_longest_at", "_longest_item")
 OUT = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
        "longest long, longest_at long, longest_item string")
 
@@ -166,10 +167,10 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> list[DataFrame]:
 
 
 def _meet(docs: DataFrame, suffixes: Suffixes) -> DataFrame:
-    """Search one block: (doc_id, text, hits, items, longest...) to the same."""
+    """Search one block: rows with the columns ``STATE`` to the same with more found."""
     def run(batches):
         for batch in batches:
-            doc_id, text, old_hits, old_items, old_size, old_at, old_item = (batch.column(k) for k in range(7))
+            text, old_hits, old_items, old_size, old_at, old_item = (batch.column(names.index(k)) for k in STATE)
             data, offsets = at.utf8(text)
             hits, items = old_hits.to_pylist(), old_items.to_pylist()
             size, place, name = old_size.to_pylist(), old_at.to_pylist(), old_item.to_pylist()
@@ -195,25 +196,43 @@ def _meet(docs: DataFrame, suffixes: Suffixes) -> DataFrame:
                         size[i + r], place[i + r] = best[r][0], int(best[r][1] - first[r])
                         name[i + r] = suffixes.names[best[r][2]]
             yield pa.RecordBatch.from_arrays(
-                [doc_id, text, pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())),
-                 pa.array(size, pa.int64()), pa.array(place, pa.int64()), pa.array(name, pa.string()),
-                 pa.array(n_words)], names=names + ["n_words"])
+                [batch.column(k) for k in range(len(carried))]
+                + [text, pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())),
+                   pa.array(size, pa.int64()), pa.array(place, pa.int64()), pa.array(name, pa.string()),
+                   pa.array(n_words)], names=names + ["_n_words"])
 
-    names = ["doc_id", "text", "hits", "items", "longest", "longest_at", "longest_item"]
+    carried = [c for c in docs.columns if c not in (*STATE, "_n_words")]
+    names = [*carried, *STATE]
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*carried).schema)
     return docs.select(*names).mapInArrow(
-        run, "doc_id long, text string, hits binary, items array<string>, longest long, longest_at long, "
-             "longest_item string, n_words long")
+        run, f"{kept}_text string, _hits binary, _items array<string>, _longest long, _longest_at long, "
+             "_longest_item string, _n_words long")
 
 
-def find(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
-    """What each document shares with the benchmark (columns ``OUT``)."""
-    state = only(docs, doc_id="doc_id", text="text").select(
-        "*", F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items"),
-        F.lit(0).cast("long").alias("longest"), F.lit(None).cast("long").alias("longest_at"),
-        F.lit(None).cast("string").alias("longest_item"))
+def searched(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with what each text shares with the benchmark, in the columns ``STATE``.
+
+    The text itself travels once, as the first of them.
+    """
+    state = docs.withColumnRenamed("text", "_text").select(
+        "*", F.lit(None).cast("binary").alias("_hits"),
+        F.lit(None).cast("array<string>").alias("_items"), F.lit(0).cast("long").alias("_longest"),
+        F.lit(None).cast("long").alias("_longest_at"), F.lit(None).cast("string").alias("_longest_item"))
     for k, block in enumerate(blocks(benchmark, limit)):
         suffixes = Suffixes([(r[0], r[1]) for r in block.collect()])
         state = _meet(stored(state) if k else state, suffixes)
+    return state
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that share no window with the benchmark."""
+    return searched(docs, benchmark, **settings).filter("_hits IS NULL") \
+        .withColumnRenamed("_text", "text").select(*docs.columns)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """What each document shares with the benchmark (columns ``OUT``)."""
+    state = searched(only(docs, doc_id="doc_id", text="text"), benchmark, **settings)
 
     def finish(batches):
         for batch in batches:
@@ -226,7 +245,7 @@ def find(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Dat
                  pa.array([n > 0 for n in n_hit]), *batch.columns[4:]],
                 names=[c.split()[0] for c in OUT.split(", ")])
 
-    return state.select("doc_id", "hits", "items", "n_words", "longest", "longest_at", "longest_item") \
+    return state.select("doc_id", "_hits", "_items", "_n_words", "_longest", "_longest_at", "_longest_item") \
         .mapInArrow(finish, OUT)
 
 

@@ -160,17 +160,18 @@ def frequent_grams(docs: DataFrame, words: int = WORDS) -> dict[int, int]:
 
 
 def describe(docs: DataFrame, order: Order) -> DataFrame:
-    """doc_id, n, node, grp of every document."""
+    """doc_id, text_hash, n, node, grp of every document."""
     def run(batches):
         for batch in batches:
             out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-            for _, _, gram, first in _pieces(batch, 1, order.words):
+            for _, _, gram, first in _pieces(batch, 2, order.words):
                 out[0].append(np.diff(first))
                 out[1].append(node_of(gram, first))
                 out[2].append(order.groups(gram, first, order.count(gram)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[_longs(np.concatenate(c)) for c in out]],
-                                             names=["doc_id", "n", "node", "grp"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, grp long")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *[_longs(np.concatenate(c)) for c in out]],
+                                             names=["doc_id", "text_hash", "n", "node", "grp"])
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, n long, node long, grp long")
 
 
 def _entries(docs: DataFrame, order: Order, frequent: bool) -> Iterator:
@@ -401,10 +402,11 @@ def _runs(batches):
         yield key, rows
 
 
-def near_copies(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every document.
+def find(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, root of every document.
 
-    Rows without doc_id are linked with nothing and have a null component.
+    component_id is the smallest doc_id reachable by links; documents with the same root are
+    one component. Rows with an empty set or without doc_id have no root.
     """
     slim = only(docs, doc_id="doc_id", text="text")
     known = slim.filter("doc_id IS NOT NULL")
@@ -420,13 +422,31 @@ def near_copies(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) ->
     nodes = usable.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = labelled.join(least, "root").select("node", "component_id")
-    found = usable.filter("n > 0").join(component, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    component = labelled.join(least, "root").select("node", "component_id", "root")
+    found = usable.filter("n > 0").join(component, "node").select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", "root")
     alone = described.filter("n = 0 OR doc_id IS NULL").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+        F.lit(None).cast("long").alias("root"))
     return found.unionByName(alone)
 
 
+def first_of_each(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id.
+
+    Rows without doc_id or words stay. Of rows with the same doc_id and text one stays.
+    """
+    found = stored(find(docs, **settings))
+    key = ["doc_id", "text_hash"]
+    kept = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(*key)).alias("k")).select("k.*") \
+        .unionByName(found.filter("root IS NULL AND doc_id IS NOT NULL").select(*key).distinct())
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    chosen = hashed.filter("doc_id IS NOT NULL").join(kept, key, "left_semi")
+    if not found.filter("doc_id IS NOT NULL").groupBy(*key).count().filter("count > 1").isEmpty():
+        chosen = chosen.dropDuplicates(key)
+    return chosen.unionByName(hashed.filter("doc_id IS NULL")).drop("text_hash")
+
+
 #: The same in DuckDB.
 SQL = r"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.llm import arrow_text as at
-from loomframe.llm.shared import only, stored
+from loomframe.llm.shared import stored
 
 SYMBOLS = b"#*$%&|<>"
 _IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
@@ -70,20 +70,22 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
             np.array(dup, np.int64), repeated_words(h, first), np.array(lines, np.int64)]
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of every document (columns in ``MEASURES``)."""
+def measures(docs: DataFrame, carry: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
+    """The named columns and the counts of every document (columns in ``MEASURES``)."""
     def run(batches):
         for batch in batches:
-            data, offsets = at.utf8(batch.column(3))
+            text = batch.num_columns - 1
+            data, offsets = at.utf8(batch.column(text))
             parts = [_measure(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                      for i, j in at.pieces(offsets)]
             if parts:
                 yield pa.RecordBatch.from_arrays(
-                    batch.columns[:3] + [pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)],
+                    batch.columns[:text] + [pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)],
                     names=names)
-    names = ["doc_id", "lang", "source", *[m.split()[0] for m in MEASURES.split(", ")]]
-    slim = only(docs, doc_id="doc_id", lang="lang", source="source", text="text")
-    return slim.mapInArrow(run, f"doc_id long, lang string, source string, {MEASURES}")
+    names = [*carry, *[m.split()[0] for m in MEASURES.split(", ")]]
+    slim = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").alias("_measured"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema[:-1])
+    return slim.mapInArrow(run, f"{kept}, {MEASURES}")
 
 
 def base_failed() -> Column:
@@ -154,26 +156,37 @@ def fences(sketch: DataFrame, least_group: int = LEAST_GROUP, steps: int = STEPS
     return both.select("l0.lang", "l0.source", *[pick(n).alias(f"most_{n}") for n in names])
 
 
+def _held_to(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """Measured documents with the fences of their group, base_failed and kept."""
+    m, f = measured.alias("m"), limits.alias("f")
+    joined = m.join(f, F.col("m.lang").eqNullSafe(F.col("f.lang"))
+                    & F.col("m.source").eqNullSafe(F.col("f.source")), "left")
+    within = F.lit(True)
+    for name, value in ratios().items():
+        within = within & (value <= F.col(f"most_{name}"))
+    failed = base_failed()
+    return joined.select("m.*", *[f"most_{name}" for name in LEAST_STEP], failed.alias("base_failed"),
+                         F.when(failed, False).otherwise(within).alias("kept"))
+
+
 def judge(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, and the fences each document was held to.
 
     Kept: passes the base rules and no ratio lies above its group's fence.
     """
     measured = stored(measures(docs))
-    limits = fences(stored(sketches(measured)), **settings).alias("f")
-    m = measured.alias("m")
-    joined = m.join(limits, F.col("m.lang").eqNullSafe(F.col("f.lang"))
-                    & F.col("m.source").eqNullSafe(F.col("f.source")), "left")
-    within = F.lit(True)
-    for name, value in ratios().items():
-        within = within & (value <= F.col(f"most_{name}"))
-    failed = base_failed()
-    return joined.select(
-        "m.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), F.when(failed, False).otherwise(within).alias("kept"),
+    limits = fences(stored(sketches(measured)), **settings)
+    return _held_to(measured, limits).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         *[f"most_{name}" for name in LEAST_STEP])
 
 
+def passed(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps; measured twice rather than joined by id."""
+    limits = stored(fences(stored(sketches(measures(docs))), **settings))
+    return _held_to(measures(docs, tuple(docs.columns)), limits).filter("kept").select(*docs.columns)
+
+
 #: The same in DuckDB.
 SQL = r"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,

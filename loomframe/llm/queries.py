@@ -57,7 +57,7 @@ def op9_url_filter(spark, sf_dir):
 
 @plan.add(near_copies.SQL)
 def op7_ngram_jaccard(spark, sf_dir):
-    return near_copies.near_copies(table(spark, sf_dir, "documents"))
+    return near_copies.find(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @plan.add(warc.SQL)
