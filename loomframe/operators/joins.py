@@ -6,20 +6,25 @@ import itertools
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.session import group_limit
+from loomframe.session import group_limit, stored
 
 _names = itertools.count()
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], limit: int | None = None) -> list[tuple]:
-    """Keys with more rows than the limit, with their counts (at most rows / limit)."""
-    limit = limit or group_limit(df.sparkSession)
-    rows = (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > limit).collect())
-    return [tuple(r) for r in rows]
+def hot_keys(df: DataFrame, on: Sequence[str], limit: int) -> DataFrame:
+    """Keys with more rows than the limit and the pieces each is cut into, written once
+    (at most rows / limit keys, null keys among them)."""
+    return stored(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+                  .select(*on, F.ceil(F.col("_rows") / limit).cast("int").alias("_pieces")))
+
+
+def _content(df: DataFrame) -> Column:
+    """A hash of a row; columns with maps, which have no hash, count by their text."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString()
+                        else F.col(f"`{f.name}`") for f in df.schema])
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
@@ -28,32 +33,30 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
 
     The keys are counted first, on ``hot_from`` when a cheaper table bounds the
     counts of ``left``.  Without a hot key this is the plain join.  Otherwise the
-    fact rows of hot keys get a salt drawn from their own content and only the
-    matching right rows are copied once per salt, so results stay the same.
+    fact rows of hot keys, null keys too, get a salt drawn from their own content,
+    and only the matching right rows are copied, as often as their own key needs.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("the left side must be the preserved side")
-    found = hot_keys(left if hot_from is None else hot_from, on)
-    if not found:
+    hot = hot_keys(left if hot_from is None else hot_from, on, group_limit(left.sparkSession))
+    if hot.isEmpty():
         return left.join(right, on, how)
-    limit = group_limit(left.sparkSession)
-    pieces = int(-(-max(r[-1] for r in found) // limit))
     tag = f"_{next(_names)}"
-    schema = left.select(*on).schema.add(f"_hot{tag}", "boolean")
-    hot = F.broadcast(left.sparkSession.createDataFrame(
-        [(*r[:-1], True) for r in found if None not in r], schema))
-    salt = f"_salt{tag}"
+    salt, pieces, keys = f"_salt{tag}", f"_pieces{tag}", [f"_k{i}{tag}" for i in range(len(on))]
+    hot = hot.toDF(*keys, pieces)
+
+    def marked(df: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hot[k]) for c, k in zip(on, keys)])
+        return df.join(hot, same, "left").drop(*keys)
+
     # A row's salt depends on its content only, so a rerun task repeats it; fact rows
     # carry an id and differ from one another.
-    content = F.xxhash64(*left.columns)
-    cut_left = left.join(hot, on, "left").withColumn(salt, F.when(
-        F.col(f"_hot{tag}"), F.pmod(content, F.lit(pieces)).cast("int")).otherwise(0))
-    cut_right = right.join(hot, on, "left").withColumn(salt, F.explode(F.when(
-        F.col(f"_hot{tag}"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(
-        F.array(F.lit(0)))))
-    out = cut_left.drop(f"_hot{tag}").join(cut_right.drop(f"_hot{tag}"), [*on, salt], how)
-    return out.drop(salt)
+    cut_left = marked(left.withColumn(salt, _content(left))).withColumn(salt, F.coalesce(
+        F.pmod(F.col(salt), F.col(pieces)).cast("int"), F.lit(0)))
+    cut_right = marked(right).withColumn(salt, F.explode(F.sequence(
+        F.lit(0), F.coalesce(F.col(pieces), F.lit(1)) - 1)))
+    return cut_left.drop(pieces).join(cut_right.drop(pieces), [*on, salt], how).drop(salt)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

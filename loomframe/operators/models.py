@@ -22,6 +22,7 @@ from loomframe.operators.evaluation import (
     average_precision, confusion_counts, f_betas, fisher_scores)
 from loomframe.operators.joins import union_all
 from loomframe.operators.relational import exact_quantiles
+from loomframe.session import stored
 
 VECTOR = "features"
 
@@ -172,7 +173,7 @@ def random_search(df: DataFrame, folds: DataFrame, fit: Callable, space: Mapping
     caller's n times the folds.  Counts stay on the cluster until read.
     """
     fold_ids = [r[0] for r in folds.select("fold").distinct().orderBy("fold").collect()]
-    joined = folds.join(df, row_id)
+    joined = stored(folds.join(df, row_id))
     results = []
     for model_id, params in enumerate(draw_parameters(space, n, seed)):
         for fold in fold_ids:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -24,7 +25,8 @@ from pyspark.sql import types as T
 from loomframe.session import group_limit, stored
 
 _names = itertools.count()
-_MAX_PIECES = 10_000
+#: Bytes of a text key that make one number (exact as a double).
+_TEXT_BYTES = 6
 
 
 @dataclass(frozen=True)
@@ -150,8 +152,10 @@ class Ordered:
         cuts = sorted({*points, *(math.nextafter(v, math.inf) for v in heavy)})
         work = _bucketed(work, f"_axis{tag}", cuts, f"_b{tag}")
         # (A given axis may be coarser than the order column: not cut further.)
-        more = len(self.order) > 1 and bool(heavy) and not given
-        second = _axis(df, self.order[1], None) if more else None
+        text = not given and isinstance(df.schema[self.order[0]].dataType, (T.StringType, T.BinaryType))
+        more = (len(self.order) > 1 or text) and bool(heavy) and not given
+        # Texts that agree in the bytes looked at are cut by the next ones.
+        second = (_axis(df, self.order[0], 1) if text else _axis(df, self.order[1])) if more else None
         if second is not None:
             tied = F.col(f"_large{tag}") & F.col(f"_axis{tag}").isin(*heavy)
             work = work.withColumn(f"_axis2{tag}", F.when(tied, second.cast("double")))
@@ -168,7 +172,7 @@ class Ordered:
 
     def _points(self, rows: DataFrame, axis: str, total: int) -> list[float]:
         """Approximate quantiles that leave about the limit between neighbours."""
-        pieces = min(_MAX_PIECES, -(-total // self.limit))
+        pieces = -(-total // self.limit)
         return sorted(rows.approxQuantile(
             axis, [i / pieces for i in range(1, pieces)], 1 / (4 * pieces)))
 
@@ -262,7 +266,7 @@ class Ordered:
             carry[c] = car
             combine[name] = out
         table = self.df.groupBy(*[F.col(a).alias(b) for a, b in keyed.items()]).agg(*per_piece)
-        # One row per piece and at most _MAX_PIECES pieces in a group.
+        # One row per piece, rows / limit in all.
         table = table.select(*keyed.values(), *[col.alias(c) for c, col in carry.items()])
         joined = self.df.join(table, null_safe(self.df, table, keyed.items()), "left")
         joined = joined.withColumns(combine)
@@ -279,13 +283,19 @@ def _bucketed(df: DataFrame, axis: str, cuts: list[float], out: str) -> DataFram
     return found.withColumn(out, F.coalesce(F.col(out).cast("int") + 1, F.lit(0)))
 
 
-def _axis(df: DataFrame, name: str, *default) -> Column:
-    """A number that rises with the order column."""
+def _axis(df: DataFrame, name: str, level: int = 0) -> Column:
+    """A number that rises with the order column; of texts, of the bytes of one level."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
         return F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp"))
-    if default:
-        return default[0]
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        data = F.col(name) if isinstance(kind, T.BinaryType) else F.encode(F.col(name), "UTF-8")
+        low, high = df.agg(F.hex(F.min(data)), F.hex(F.max(data))).first()
+        same = len(os.path.commonprefix([low or "", high or ""])) // 2
+        part = F.substring(data, same + level * _TEXT_BYTES + 1, _TEXT_BYTES)
+        return F.conv(F.rpad(F.hex(part), 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
     raise TypeError(f"give an axis for the order column {name} of type {kind.simpleString()}")

@@ -54,11 +54,11 @@ def interpolate_linear(df: DataFrame, part: str, order: Sequence[str],
     return near.withColumns(out).drop("_n", *scans)
 
 
-def _akima_slopes(points: DataFrame, part: str, limit: int) -> DataFrame:
+def _akima_slopes(points: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Known points with the slopes of the two intervals left (a2, a1) and right
     (b0, b1) of each.
 
-    ``points`` are ``(part, x, y, k, total)`` with k = 1..total.  Blocks of
+    ``points`` are ``(keys, x, y, k, total)`` with k = 1..total.  Blocks of
     consecutive k overlap by three points, so no block grows beyond the limit.
     """
     size = max(limit, 8)
@@ -67,7 +67,7 @@ def _akima_slopes(points: DataFrame, part: str, limit: int) -> DataFrame:
     # A point near a block edge is also sent to the neighbouring block.
     blocks = F.array_compact(F.array(
         home, F.when((at < 3) & (home > 0), home - 1), F.when(at >= size - 3, home + 1)))
-    w = Window.partitionBy(part, "_block").orderBy("k")
+    w = Window.partitionBy(*keys, "_block").orderBy("k")
     spread = points.withColumn("_block", F.explode(blocks)).withColumn(
         "b0", (F.lead("y").over(w) - F.col("y")) / (F.lead("x").over(w) - F.col("x")))
     spread = spread.withColumns({
@@ -93,43 +93,44 @@ def _outer_slopes() -> Mapping[str, Column]:
 def interpolate_akima(df: DataFrame, part: str, order: Sequence[str],
                       cols: Sequence[str]) -> DataFrame:
     """Fill gaps by Akima's local cubic through the known rows, by row position;
-    leading and trailing gaps stay null (as does a series with one known row)."""
+    leading and trailing gaps stay null (as does a series with one known row).
+
+    All columns are worked on at once, as series of a long table, and joined back once.
+    """
     series = Ordered(df, [part], order)
-    out = series.scan(_n=row_number())
-    for c in cols:
-        points = out.filter(F.col(c).isNotNull()).select(
-            part, F.col("_n").alias("x"), F.col(c).cast("double").alias("y"))
-        points = Ordered(points, [part], ["x"], like=series).scan(
-            k=row_number(), total=whole_count())
-        s = _akima_slopes(points, part, group_limit(df.sparkSession)).withColumns({
-            "right": F.abs(F.col("b1") - F.col("b0")), "left": F.abs(F.col("a1") - F.col("a2"))})
-        s = Ordered(s, [part], ["k"], like=series).scan(
-            most=whole_max(F.col("right") + F.col("left")))
-        both = F.col("right") + F.col("left")
-        # Where the slopes around a point agree, the mean of the outer ones is taken.
-        t = F.when(both > 1e-9 * F.col("most"),
-                   (F.col("right") * F.col("a1") + F.col("left") * F.col("b0")) / both
-                   ).otherwise((F.col("a2") + F.col("b1")) / 2)
-        s = s.withColumn("t", t)
-        ends = Ordered(s, [part], ["k"], like=series).scan(
-            before=previous(F.struct("x", "y", "t")))
-        # The cubic of an interval is kept at the interval's right end.
-        cubic = F.struct(F.col("before.x").alias("x0"), F.col("before.y").alias("y0"),
-                         F.col("before.t").alias("t0"), F.col("x").alias("x1"),
-                         F.col("a1").alias("m"), F.col("t").alias("t1"))
-        table = ends.select(F.col(part).alias("_part"), F.col("x").alias("_at"),
-                            F.when(F.col("before").isNotNull(), cubic).alias("_cubic"))
-        joined = out.join(table, null_safe(out, table, [(part, "_part"), ("_n", "_at")]), "left")
-        joined = Ordered(joined.drop("_part", "_at"), [part], ["_n"], like=series).scan(
-            _piece=next_known(F.col("_cubic")))
-        p = F.col("_piece")
-        h, d = p["x1"] - p["x0"], F.col("_n") - p["x0"]
-        c2 = (3 * p["m"] - 2 * p["t0"] - p["t1"]) / h
-        c3 = (p["t0"] + p["t1"] - 2 * p["m"]) / (h * h)
-        value = p["y0"] + d * (p["t0"] + d * (c2 + d * c3))
-        out = joined.withColumn(c, F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-                                .when(d >= 0, value)).drop("_cubic", "_piece")
-    return out.drop("_n")
+    rows = stored(series.scan(_n=row_number()))
+    long = rows.unpivot([part, "_n"], [F.col(c).cast("double").alias(c) for c in cols], "_column", "_value")
+    keys = [part, "_column"]
+    points = long.filter(F.col("_value").isNotNull()).select(*keys, F.col("_n").alias("x"), F.col("_value").alias("y"))
+    points = Ordered(points, keys, ["x"], like=series).scan(k=row_number(), total=whole_count())
+    s = _akima_slopes(points, keys, group_limit(df.sparkSession)).withColumns({
+        "right": F.abs(F.col("b1") - F.col("b0")), "left": F.abs(F.col("a1") - F.col("a2"))})
+    s = Ordered(s, keys, ["k"], like=series).scan(most=whole_max(F.col("right") + F.col("left")))
+    both = F.col("right") + F.col("left")
+    # Where the slopes around a point agree, the mean of the outer ones is taken.
+    t = F.when(both > 1e-9 * F.col("most"),
+               (F.col("right") * F.col("a1") + F.col("left") * F.col("b0")) / both
+               ).otherwise((F.col("a2") + F.col("b1")) / 2)
+    ends = Ordered(s.withColumn("t", t), keys, ["k"], like=series).scan(before=previous(F.struct("x", "y", "t")))
+    # The cubic of an interval is kept at the interval's right end.
+    cubic = F.struct(F.col("before.x").alias("x0"), F.col("before.y").alias("y0"),
+                     F.col("before.t").alias("t0"), F.col("x").alias("x1"),
+                     F.col("a1").alias("m"), F.col("t").alias("t1"))
+    table = ends.select(F.col(part).alias("_part"), F.col("_column").alias("_of"), F.col("x").alias("_at"),
+                        F.when(F.col("before").isNotNull(), cubic).alias("_cubic"))
+    joined = long.join(table, null_safe(long, table, [(part, "_part"), ("_column", "_of"), ("_n", "_at")]), "left")
+    joined = Ordered(joined.drop("_part", "_of", "_at"), keys, ["_n"], like=series).scan(
+        _piece=next_known(F.col("_cubic")))
+    p = F.col("_piece")
+    h, d = p["x1"] - p["x0"], F.col("_n") - p["x0"]
+    c2 = (3 * p["m"] - 2 * p["t0"] - p["t1"]) / h
+    c3 = (p["t0"] + p["t1"] - 2 * p["m"]) / (h * h)
+    value = p["y0"] + d * (p["t0"] + d * (c2 + d * c3))
+    filled = joined.withColumn("_value", F.when(F.col("_value").isNotNull(), F.col("_value")).when(d >= 0, value))
+    wide = filled.groupBy(F.col(part).alias("_part"), F.col("_n").alias("_at")).pivot("_column", list(cols)).agg(
+        F.max("_value")).toDF("_part", "_at", *[f"_new_{i}" for i in range(len(cols))])
+    back = rows.join(wide, null_safe(rows, wide, [(part, "_part"), ("_n", "_at")]), "left")
+    return back.withColumns({c: F.col(f"_new_{i}") for i, c in enumerate(cols)}).select(*df.columns)
 
 
 # -- ranks --------------------------------------------------------------------

@@ -79,15 +79,19 @@ def tfidf_l2(tf: DataFrame, doc: str, n: int | Column, strict: bool = False) ->
     return scored.select(doc, "term", _l2(scored, doc, "weight").alias("weight"))
 
 
-def doc_vectors(tf: DataFrame, vectors: DataFrame, doc: str, unit: bool = True) -> DataFrame:
-    """Sum of count · term vector per document; terms without a vector are skipped."""
+def doc_vectors(tf: DataFrame, vectors: DataFrame, doc: str, docs: DataFrame, size: int,
+                unit: bool = True) -> DataFrame:
+    """Sum of count · term vector per document of ``docs``; terms without a vector are
+    skipped, and a document without a known term has the zero vector of ``size``."""
     known = skew_join(stored(tf), vectors.select("term", "vector"), ["term"])
     long = known.select(doc, "tf", F.posexplode("vector").alias("pos", "v"))
     sums = long.groupBy(doc, "pos").agg(F.sum(F.col("tf") * F.col("v")).alias("v"))
     # A document's list has one entry per vector component.
-    whole = sums.groupBy(doc).agg(
+    found = sums.groupBy(doc).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"])
         .alias("vector"))
+    zero = F.array_repeat(F.lit(0.0), size)
+    whole = docs.select(doc).join(found, doc, "left").withColumn("vector", F.coalesce("vector", zero))
     if not unit:
         return whole
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v))

@@ -39,9 +39,9 @@ def kmeans(spark, sf_dir):
     return labels.withColumns({k: F.lit(v) for k, v in scores.items()})
 
 
-@plan.add()
+@plan.add("SELECT label, vec_id FROM embeddings")
 def cluster_listing(spark, sf_dir):
-    return rel.cluster_listing(_clusters(spark, sf_dir)[0], "cluster", "vec_id")
+    return rel.cluster_listing(_vectors(spark, sf_dir), "label", "vec_id")
 
 
 @plan.add()
@@ -61,8 +61,10 @@ def reconstruction_error(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    rows = stored(sm.undersample_split(transactions(spark, sf_dir), "id", "Class", 2000))
-    return rows.filter("role = 'train'"), rows.filter("role = 'test'")
+    """A bounded sample to fit on, and every other transaction to score."""
+    tx = transactions(spark, sf_dir)
+    train = stored(sm.undersample_split(tx, "id", "Class", 2000).filter("role = 'train'"))
+    return train, rel.delete_matching(tx, train, ["id"])
 
 
 def _basket_model(spark, sf_dir):

@@ -439,7 +439,7 @@ def _bins_sql(n: int, low: float, width: float) -> str:
 @plan.add(f"""WITH {_bins_sql(24, 0, 1)}, h AS (SELECT (epoch(ts) % 86400) / 3600 AS x FROM events),
 c AS (SELECT bin, count(x) AS count FROM bins LEFT JOIN h ON (x > low OR (bin = 0 AND x = low))
   AND x <= high GROUP BY bin)
-SELECT bin, low, high, count, round(count::DOUBLE / sum(count) OVER (), 9) AS density
+SELECT bin, low, high, count, 0::BIGINT AS below, 0::BIGINT AS above, round(count::DOUBLE / sum(count) OVER (), 9) AS density
 FROM bins JOIN c USING (bin)""")
 def histogram(spark, sf_dir):
     seconds = F.pmod(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6, F.lit(86400))
@@ -447,28 +447,25 @@ def histogram(spark, sf_dir):
     return rounded(dist.histogram(times, "x", list(range(25)), density=True, right=True))
 
 
-@plan.add(f"""{BASE}, {_bins_sql(50, 0, 2)}, k AS (SELECT DISTINCT "Class" FROM tx),
+@plan.add(f"""{BASE}, {_bins_sql(25, 0, 2)}, k AS (SELECT DISTINCT "Class" FROM tx),
 c AS (SELECT k."Class", bin, low, high, count("V1") AS count FROM k JOIN bins ON true LEFT JOIN tx
-  ON tx."Class" = k."Class" AND "V1" >= low AND ("V1" < high OR (bin = 49 AND "V1" = high))
-  GROUP BY ALL)
-SELECT *, round(count::DOUBLE / (2 * sum(count) OVER (PARTITION BY "Class")), 9) AS density FROM c""")
+  ON tx."Class" = k."Class" AND "V1" >= low AND ("V1" < high OR (bin = 24 AND "V1" = high))
+  GROUP BY ALL),
+o AS (SELECT "Class", count(*) FILTER ("V1" < 0) AS below, count(*) FILTER ("V1" > 50) AS above FROM tx GROUP BY 1)
+SELECT c.*, below, above, round(count::DOUBLE / (2 * sum(count) OVER (PARTITION BY c."Class")), 9) AS density
+FROM c JOIN o ON o."Class" = c."Class" """)
 def histogram_by_class(spark, sf_dir):
     return rounded(dist.histogram(transactions(spark, sf_dir), "V1",
-                                  [2.0 * i for i in range(51)], density=True, by=["Class"]))
+                                  [2.0 * i for i in range(26)], density=True, by=["Class"]))
 
 
-@plan.add("""WITH s AS (SELECT min(value) AS lo, max(value) AS hi, count(*) AS n,
-  (max(value) - min(value)) / 1024 AS step, 0.9::DOUBLE * least(stddev_samp(value),
+@plan.add("""WITH s AS (SELECT count(*) AS n, 0.9::DOUBLE * least(stddev_samp(value),
     (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) / 1.34::DOUBLE)
     * pow(count(*), -0.2::DOUBLE) AS h FROM events),
-q AS (SELECT (value - lo) / step AS pos, least(floor((value - lo) / step), 1023) AS i
-  FROM events, s),
-p AS (SELECT i, sum(w) AS w FROM (SELECT i, 1 - (pos - i) AS w FROM q
-  UNION ALL SELECT i + 1, pos - i FROM q) GROUP BY i),
 g AS (SELECT 2.0::DOUBLE * j AS x FROM (SELECT unnest(range(51)) AS j))
-SELECT x, round(sum(w * exp(-pow((x - (lo + i * step)) / h, 2) / 2)) / (any_value(n)
-  * any_value(h) * sqrt(2 * pi())), 9) AS density FROM g, p, s GROUP BY x""")
+SELECT x, round(sum(exp(-pow((x - value) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6)
+  AS density FROM g, events, s GROUP BY x""")
 def kde(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return rounded(dist.kde(events, "value", [2.0 * j for j in range(51)],
-                            dist.bandwidth(events, "value")))
+                            dist.bandwidth(events, "value")), 6)

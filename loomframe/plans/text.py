@@ -96,17 +96,17 @@ def _draw_sql(seed: int) -> str:
 @plan.add(f"""{COUNTS}, known AS (SELECT DISTINCT unnest({WORDS}) AS term FROM benchmark),
 vec AS (SELECT term, {_draw_sql(1)} AS a, {_draw_sql(2)} AS b, {_draw_sql(3)} AS c FROM known),
 s AS (SELECT doc_id, sum(tf * a) AS a, sum(tf * b) AS b, sum(tf * c) AS c
-  FROM bag JOIN vec USING (term) GROUP BY doc_id)
-SELECT doc_id, round(a / sqrt(a * a + b * b + c * c), 6) AS v0,
-  round(b / sqrt(a * a + b * b + c * c), 6) AS v1, round(c / sqrt(a * a + b * b + c * c), 6) AS v2
-FROM s""")
+  FROM bag JOIN vec USING (term) GROUP BY doc_id),
+u AS (SELECT *, sqrt(a * a + b * b + c * c) AS l FROM s)
+SELECT doc_id, coalesce(round(a / nullif(l, 0), 6), 0) AS v0, coalesce(round(b / nullif(l, 0), 6), 0) AS v1,
+  coalesce(round(c / nullif(l, 0), 6), 0) AS v2 FROM documents LEFT JOIN u USING (doc_id)""")
 def doc_vectors(spark, sf_dir):
     # The words of the benchmark texts have vectors, drawn from a hash of the word.
     known = table(spark, sf_dir, "benchmark").select(
         F.explode(t.tokens(F.col("text"))).alias("term")).distinct()
     vectors = known.withColumn("vector", F.array(*[
         mixed_draw(mixed_key(F.col("term"), seed)) - 0.5 for seed in (1, 2, 3)]))
-    out = t.doc_vectors(_bag(spark, sf_dir), vectors, "doc_id")
+    out = t.doc_vectors(_bag(spark, sf_dir), vectors, "doc_id", _docs(spark, sf_dir), 3)
     return rounded(out.select("doc_id", *[F.get("vector", F.lit(i)).alias(f"v{i}")
                                           for i in range(3)]), 6)
 
@@ -117,14 +117,14 @@ def sentence_tokens(spark, sf_dir):
         "doc_id", F.posexplode(sentence_column(F.col("text"))).alias("sentence", "words"))
 
 
-@plan.add(r"""WITH b AS (SELECT page_id % 10 AS doc, page_id, array_to_string(regexp_extract_all(html,
+@plan.add(r"""WITH b AS (SELECT page_id // 25 AS doc, page_id, array_to_string(regexp_extract_all(html,
   '(?s)<div\b[^>]*\bclass="(?:[^"]*\s)?ad(?:\s[^"]*)?"[^>]*>(.*?)</div>', 1), '') AS t FROM pages),
 c AS (SELECT doc, page_id, replace(replace(replace(replace(replace(regexp_replace(t,
   '(?s)<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)),
   '&amp;', '&') AS t FROM b)
 SELECT doc, string_agg(t, '' ORDER BY page_id) AS text FROM c GROUP BY doc""")
 def assemble_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").withColumn("doc", F.pmod("page_id", F.lit(10)))
+    pages = table(spark, sf_dir, "pages").withColumn("doc", F.expr("page_id div 25"))
     return files.assemble_pages(pages, "doc", "page_id", "html", "ad")
 
 
@@ -172,6 +172,46 @@ def read_results(spark, sf_dir):
     return files.read_results(spark, path, "id long, model string, value double", ["id", "model"])
 
 
+@plan.add("SELECT event_id AS id, event_type AS model, value FROM events WHERE event_id = 7")
+def result_by_id(spark, sf_dir):
+    path = _new_path(spark)
+    tables.append_results(table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("model"), "value"), path)
+    return files.result_by_id(spark, path, "id long, model string, value double", "id", 7)
+
+
+@plan.add("SELECT doc_id AS number, text || chr(10) AS text FROM documents")
+def read_corpus(spark, sf_dir):
+    # One folder per document, as the writer names the files in it; each ends with a line end.
+    path = _new_path(spark)
+    docs = table(spark, sf_dir, "documents").select("text", F.concat(F.col("doc_id").cast("string"), F.lit(" - text"))
+                                                    .alias("name"))
+    docs.repartition("name").write.partitionBy("name").text(path)
+    return files.read_corpus(spark, path, number=r"name=(\d+)").select("number", "text")
+
+
+@plan.add("""SELECT user_id::BIGINT AS subject_id, event_id::DOUBLE AS timestamp, (event_id % 25)::INT AS activity_id,
+  CASE WHEN event_type <> 'error' THEN value::FLOAT END AS heart_rate FROM events""")
+def read_sensor_files(spark, sf_dir):
+    path = _new_path(spark)
+    known = {"timestamp": F.col("event_id").cast("double"), "activity_id": (F.col("event_id") % 25).cast("int"),
+             "heart_rate": F.when(F.col("event_type") != "error", F.col("value").cast("float"))}
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("subject"), *[
+        known.get(c, F.lit(None).cast("float")).alias(c) for c in files.SENSOR_COLUMNS])
+    rows.repartition("subject").write.partitionBy("subject").csv(path, sep=" ", nullValue="NaN")
+    return files.read_sensor_files(spark, path, "heart", subject=r"subject=(\d+)/")
+
+
+@plan.add("""SELECT event_type, count(*) FILTER (event_id % 3 = 0) AS c0, count(*) FILTER (event_id % 3 = 1) AS c1,
+  count(*) FILTER (event_id % 3 = 2) AS c2 FROM events GROUP BY event_type""")
+def save_matrix(spark, sf_dir):
+    path = _new_path(spark)
+    counts = table(spark, sf_dir, "events").groupBy("event_type", (F.col("event_id") % 3).alias("guess")).count()
+    tables.save_matrix(counts, "event_type", "guess", [0, 1, 2], path)
+    return spark.read.schema("event_type string, c0 long, c1 long, c2 long").csv(path, sep=" ", header=True,
+                                                                                 enforceSchema=True)
+
+
 @plan.add("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def stage(spark, sf_dir):
     folder = _new_path(spark)

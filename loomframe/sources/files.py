@@ -30,7 +30,6 @@ SENSOR_COLUMNS = ["timestamp", "activity_id", "heart_rate",
 # Activity codes of the recordings and the codes used instead.
 ACTIVITY_CODES = {0: 12, 1: 0, 2: 1, 3: 2, 4: 3, 5: 4, 6: 5, 7: 6, 12: 7, 13: 8, 16: 9, 17: 10,
                   24: 11}
-OTHER_ACTIVITY = 12
 
 
 def sensor_schema(names: Sequence[str] = tuple(SENSOR_COLUMNS)) -> T.StructType:
@@ -39,14 +38,16 @@ def sensor_schema(names: Sequence[str] = tuple(SENSOR_COLUMNS)) -> T.StructType:
 
 
 def read_sensor_files(spark: SparkSession, paths: str | list[str], pattern: str,
-                      names: Sequence[str] = tuple(SENSOR_COLUMNS)) -> DataFrame:
+                      names: Sequence[str] = tuple(SENSOR_COLUMNS),
+                      subject: str = r"(\d+)\.[^./]*$") -> DataFrame:
     """Blank-separated sensor files: time, activity and the columns whose name
-    matches; the subject is the last digit of the file name."""
+    matches; the subject is the number that a pattern finds in the file's path,
+    by default the digits at the end of its name."""
     df = spark.read.schema(sensor_schema(names)).csv(paths, sep=" ", header=False,
                                                       nullValue="NaN", nanValue="NaN")
     wanted = [n for n in names if n not in ("timestamp", "activity_id") and re.search(pattern, n)]
-    subject = F.regexp_extract(F.col("_metadata.file_name"), r"(\d)\.[^.]*$", 1).cast("int")
-    return nan_to_null(df.select(subject.alias("subject_id"), "timestamp", "activity_id", *wanted))
+    found = F.regexp_extract(F.col("_metadata.file_path"), subject, 1).try_cast("long")
+    return nan_to_null(df.select(found.alias("subject_id"), "timestamp", "activity_id", *wanted))
 
 
 # Header fields of the message documents; others can be added by the caller.
@@ -72,14 +73,17 @@ def flat_messages(df: DataFrame) -> DataFrame:
                      *[F.col(f"headers.`{h}`").alias(n) for n, h in names.items()])
 
 
-def read_corpus(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """One row per text file with the number its name starts with, in that order."""
+def read_corpus(spark: SparkSession, path: str, glob: str = "*.txt", number: str = r"/(\d+)[^/]*$") -> DataFrame:
+    """One row per text file with the number a pattern finds in its path (by default
+    the digits its name starts with), in that order."""
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(
         path, wholetext=True)
     # File names in the metadata are encoded as in a URL.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    number = F.substring(name, 1, 2).try_cast("int")
-    return df.select(number.alias("number"), name.alias("name"), F.col("value").alias("text")
+    def plain(name: str) -> Column:
+        return F.url_decode(F.replace(F.col(f"_metadata.{name}"), F.lit("+"), F.lit("%2B")))
+    name = plain("file_name")
+    found = F.regexp_extract(plain("file_path"), number, 1).try_cast("long")
+    return df.select(found.alias("number"), name.alias("name"), F.col("value").alias("text")
                      ).orderBy("number", "name")
 
 
@@ -95,6 +99,11 @@ def read_results(spark: SparkSession, path: str, schema, cols: Sequence[str]) ->
     return spark.read.schema(schema).csv(path, sep="\t", header=True).select(*cols)
 
 
+def result_by_id(spark: SparkSession, path: str, schema, id_column: str, value) -> DataFrame:
+    """All columns of the log's rows for one experiment."""
+    return spark.read.schema(schema).csv(path, sep="\t", header=True).filter(F.col(id_column) == F.lit(value))
+
+
 # -- pages --------------------------------------------------------------------
 
 # The character entities decoded in page text, ampersand last.
@@ -102,11 +111,22 @@ ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&am
 
 
 def block_text(html: Column, css_class: str) -> Column:
-    """Text of the ``div`` blocks of a class; a div inside such a block ends it."""
-    pattern = (r'(?s)<div\b[^>]*\bclass="(?:[^"]*\s)?' + re.escape(css_class)
-               + r'(?:\s[^"]*)?"[^>]*>(.*?)</div>')
-    text = F.array_join(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), "")
-    text = F.regexp_replace(text, r"(?s)<[^>]*>", "")
+    """Text of the ``div`` blocks of a class, with that of the blocks inside them."""
+    name = re.escape(css_class)
+    value = "|".join([f'"(?:[^"]*\\s)?{name}(?:\\s[^"]*)?"', f"'(?:[^']*\\s)?{name}(?:\\s[^']*)?'", f"{name}(?=[\\s>])"])
+    wanted = rf"(?s)^<(?i:div)\b[^>]*\b(?i:class)\s*=\s*(?:{value})"
+    parts = F.regexp_extract_all(html, F.lit(r"(?s)<[^>]*>|[^<]+|<"), F.lit(0))
+
+    def step(state: Column, part: Column) -> Column:
+        opens, closes = F.rlike(part, F.lit(r"^<(?i:div)\b")), F.rlike(part, F.lit(r"^</(?i:div)\b"))
+        depth = F.when(opens & ((state["depth"] > 0) | F.rlike(part, F.lit(wanted))), state["depth"] + 1) \
+            .when(closes & (state["depth"] > 0), state["depth"] - 1).otherwise(state["depth"])
+        inside = (state["depth"] > 0) & ~F.rlike(part, F.lit(r"(?s)^<[^>]*>$"))
+        return F.struct(depth.alias("depth"), F.when(inside, F.concat(state["text"], part)).otherwise(state["text"])
+                        .alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
+    text = F.aggregate(parts, start, step, lambda state: state["text"])
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text

@@ -317,3 +317,55 @@ def test_best_epoch_stops_at_the_first_long_wait(spark):
     for patience, best in itertools.product([3, 4], [None]):
         got = values(sequences.best_epoch(df, "run", "epoch", "f1m", patience), "best_epoch")
         assert got == [(1,) if patience == 3 else (5,)]
+
+
+def test_skew_join_of_null_and_map_rows(spark, small_groups):
+    left = spark.createDataFrame([(None if k % 3 == 0 else k % 3, k, {"a": k}) for k in range(300)],
+                                 "k int, id int, m map<string, int>").repartition(3)
+    right = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    joined = skew_join(left, right, ["k"], "left")
+    got = sorted((r["id"], r["v"]) for r in joined.collect())
+    assert got == [(k, {0: None, 1: "x", 2: "y"}[k % 3]) for k in range(300)]
+    assert skew_join(left, right, ["k"], "left_anti").count() == 100
+    # The null rows have salts of their own, as many as their key needs.
+    assert "_salt" in joined._jdf.queryExecution().toString()
+
+
+def test_text_order_keys_are_cut(spark, small_groups):
+    rows = [("g", f"common-prefix-{k:05d}-and-a-long-tail-{k % 7}", k) for k in range(500)]
+    rows += [("h", None, k) for k in range(3)] + [("t", "same", k) for k in range(200)]
+    df = spark.createDataFrame(rows, "g string, name string, v long").repartition(4)
+    work = Ordered(df, ["g"], ["name", "v"])
+    assert not work.fits
+    got = {(r["g"], r["v"]): r["n"] for r in work.scan(n=row_number()).collect()}
+    assert got == {**{("g", k): k + 1 for k in range(500)}, **{("h", k): k + 1 for k in range(3)},
+                   **{("t", k): k + 1 for k in range(200)}}
+
+
+def test_density_with_one_far_value(spark):
+    df = spark.range(20_001).select(F.when(F.col("id") == 20_000, 1e6).otherwise(F.col("id") / 20_000.0).alias("x"))
+    got = {r["x"]: r["density"] for r in dist.kde(df, "x", [0.25, 0.5, 0.75, 500.0], 0.02).collect()}
+    assert all(got[x] == pytest.approx(0.99995, abs=1e-5) for x in (0.25, 0.5, 0.75)) and got[500.0] == 0
+
+
+def test_histogram_keeps_groups_outside_the_edges(spark):
+    df = spark.createDataFrame([("in", 0.5), ("out", 9.0), ("out", -1.0), (None, 1.5)], "g string, x double")
+    got = {(r["g"], r["bin"]): (r["count"], r["below"], r["above"])
+           for r in dist.histogram(df, "x", [0, 1, 2], by=["g"]).collect()}
+    assert got == {("in", 0): (1, 0, 0), ("in", 1): (0, 0, 0), ("out", 0): (0, 1, 1), ("out", 1): (0, 1, 1),
+                   (None, 0): (0, 0, 0), (None, 1): (1, 0, 0)}
+
+
+def test_akima_plan_grows_linearly(spark):
+    names = [f"c{i}" for i in range(6)]
+    df = spark.range(40).select((F.col("id") % 2).alias("s"), F.col("id").alias("t"), *[
+        F.when((F.col("id") + i) % 5 != 0, F.sin(F.col("id") + i)).alias(n) for i, n in enumerate(names)])
+
+    def lines(k):
+        return len(sequences.interpolate_akima(df, "s", ["t"], names[:k])._jdf.queryExecution().analyzed()
+                   .toString().splitlines())
+    assert lines(6) <= lines(1) + 20
+    whole = {(r["s"], r["t"]): r for r in sequences.interpolate_akima(df, "s", ["t"], names).collect()}
+    for n in names:
+        for r in sequences.interpolate_akima(df, "s", ["t"], [n]).collect():
+            assert whole[(r["s"], r["t"])][n] == r[n]

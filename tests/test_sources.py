@@ -25,7 +25,7 @@ def test_sensor_files(spark, tmp_path):
     assert df.columns == ["subject_id", "timestamp", "activity_id", "heart_rate", "hand_acc16_1",
                           "hand_acc16_2", "hand_acc16_3"]
     df = recode(df, "activity_id", files.ACTIVITY_CODES)
-    assert rows(df) == [(s, 0.01, 11, None, 0.5, 1.0, 1.5) for s in (1, 8)]
+    assert rows(df) == [(s, 0.01, 11, None, 0.5, 1.0, 1.5) for s in (101, 108)]
 
 
 def test_messages_with_missing_headers(spark, tmp_path):
@@ -38,11 +38,12 @@ def test_messages_with_missing_headers(spark, tmp_path):
 
 
 def test_corpus_order(spark, tmp_path):
-    for name in ("10 - b - x - 1.txt", "2 - a - y - 2.txt"):
+    for name in ("10 - b - x - 1.txt", "2 - a - y - 2.txt", "100 - c.txt", "7-d.txt"):
         (tmp_path / name).write_text(f"text of\n{name}")
     got = [(r["number"], r["name"], r["text"][-5:])
            for r in files.read_corpus(spark, str(tmp_path)).collect()]
-    assert got == [(2, "2 - a - y - 2.txt", "2.txt"), (10, "10 - b - x - 1.txt", "1.txt")]
+    assert got == [(2, "2 - a - y - 2.txt", "2.txt"), (7, "7-d.txt", "d.txt"), (10, "10 - b - x - 1.txt", "1.txt"),
+                   (100, "100 - c.txt", "c.txt")]
 
 
 def test_pairs(spark, tmp_path):
@@ -57,6 +58,12 @@ def test_pages(spark):
                                 (2, 1, '<div class="bad">no</div>')], "d int, p int, html string")
     got = dict(map(tuple, files.assemble_pages(df, "d", "p", "html", "ad").collect()))
     assert got == {1: "one 1two & b", 2: ""}
+    nested = spark.createDataFrame([
+        (1, 1, "<div class='ad'>one <div>two</div> three</div> no"), (2, 1, '<DIV id=q CLASS="ad x">UP<br>per</DIV></div>no'),
+        (3, 1, "<div class=ad>bare<div class='ad'>in</div></div>"), (4, 1, "<div class='ad'>a < b never closed")],
+        "d int, p int, html string")
+    got = dict(map(tuple, files.assemble_pages(nested, "d", "p", "html", "ad").collect()))
+    assert got == {1: "one two three", 2: "UPper", 3: "barein", 4: "a < b never closed"}
 
 
 def test_stages_resume_and_refresh(spark, tmp_path):
