@@ -98,5 +98,9 @@ def std_method_label(text: Column) -> Column:
 
 
 def sentence_tokens(text: Column) -> Column:
-    """Words per sentence, by the JDK's sentence and word rules."""
-    return F.sentences(text)
+    """Words per sentence.  A sentence ends with full stops, question or exclamation
+    marks; words are runs of letters, digits and apostrophes.  Sentences without a
+    word are left out."""
+    sentences = F.regexp_extract_all(text, F.lit(r"[^.!?]+[.!?]*"), F.lit(0))
+    words = F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(r"[\p{L}\p{N}']+"), F.lit(0)))
+    return F.filter(words, lambda w: F.size(w) > 0)

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.functions.columns import mixed_draw, mixed_key
 from loomframe.operators.joins import skew_join
-from loomframe.operators.ordered import Ordered, last_known, row_number, run_sum, whole_count
+from loomframe.operators.ordered import (
+    Ordered, last_known, null_safe, row_number, run_sum, whole_count)
 from loomframe.operators.relational import keep_ids
+from loomframe.session import stored
 
 
 def shuffled_rank(df: DataFrame, row_id: str, by: Sequence[str], seed: int,
@@ -29,14 +32,56 @@ def shuffled_rank(df: DataFrame, row_id: str, by: Sequence[str], seed: int,
         _rank=row_number(), _of=whole_count()).drop("_key")
 
 
+#: Keys are counted in so many even ranges; only the range that holds a cut is ranked.
+RANGES = 4096
+
+
+def shuffled_heads(df: DataFrame, row_id: str, by: Sequence[str], sizes: Mapping[str, Column], seed: int,
+                   salt: str | None = None) -> DataFrame:
+    """Add one boolean per name of ``sizes``: whether the row is among that many first rows of
+    its group in shuffled order (a size may use ``_of``, the group's rows, and ``by``).
+
+    Rows are counted per group and range of keys first. That gives the range in which each
+    cut falls; rows of other ranges are settled by one comparison and never sorted.
+    """
+    text = F.col(row_id).cast("string")
+    if salt:
+        text = F.concat(F.col(salt).cast("string"), F.lit(":"), text)
+    keyed = df.withColumn("_key", mixed_key(text, seed)).withColumn(
+        "_range", F.floor(mixed_draw(F.col("_key")) * RANGES).cast("int"))
+    group = Window.partitionBy(*by, F.lit(0)) if by else Window.partitionBy(F.lit(0))  # at most RANGES rows
+    ranges = keyed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_rows")).select(
+        *by, "_range", F.sum("_rows").over(group).alias("_of"),
+        F.sum("_rows").over(group.orderBy("_range")).alias("_upto"), "_rows")
+    tag, edges = {p: f"_by{i}" for i, p in enumerate(by)}, []
+    for i, size in enumerate(sizes.values()):
+        edges += [F.max(F.when(F.col("_upto") <= size, F.col("_range"))).alias(f"_whole{i}"),
+                  F.max(F.when(F.col("_upto") <= size, F.col("_upto"))).alias(f"_taken{i}"),
+                  F.min(F.when(F.col("_upto") > size, F.col("_range"))).alias(f"_edge{i}"),
+                  F.max(size).alias(f"_size{i}")]
+    cuts = stored(ranges.groupBy(*by).agg(*edges).withColumnsRenamed(tag))
+    # One row per group.
+    joined = keyed.join(cuts, null_safe(keyed, cuts, tag.items()), "left") if by else \
+        keyed.withColumns({c: F.lit(v) for c, v in zip(cuts.columns, cuts.first() or ())})
+    edge = [f"_edge{i}" for i in range(len(sizes))]
+    on_edge = reduce(lambda a, b: a | b, [F.coalesce(F.col("_range") == F.col(e), F.lit(False)) for e in edge])
+    ranked = Ordered(joined.filter(on_edge), [*by, "_range"], ["_key", row_id], axis=mixed_draw(F.col("_key"))).scan(
+        _rank=row_number())
+    every = ranked.unionByName(joined.filter(~on_edge).withColumn("_rank", F.lit(None).cast("long")))
+    out = {name: F.when(F.col("_range") == F.col(f"_edge{i}"), F.col("_rank") + F.coalesce(f"_taken{i}", F.lit(0))
+                        <= F.col(f"_size{i}")).otherwise(F.coalesce(F.col("_range") <= F.col(f"_whole{i}"), F.lit(False)))
+           for i, name in enumerate(sizes)}
+    return every.withColumns(out).select(*df.columns, *sizes)
+
+
 def stratified_folds(df: DataFrame, row_id: str, label: str, n: int = 10,
                      test_size: float = 0.05, seed: int = 0) -> DataFrame:
     """``(fold, row_id, role)`` of n independent splits with equal class shares."""
     folds = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("fold")
     rows = df.select(folds, row_id, label)
-    ranked = shuffled_rank(rows, row_id, ["fold", label], seed, salt="fold")
-    test = F.col("_rank") <= F.round(F.col("_of") * F.lit(test_size))
-    return ranked.select("fold", row_id, F.when(test, "test").otherwise("train").alias("role"))
+    cut = shuffled_heads(rows, row_id, ["fold", label], {"_test": F.round(F.col("_of") * F.lit(test_size))}, seed,
+                         salt="fold")
+    return cut.select("fold", row_id, F.when(F.col("_test"), "test").otherwise("train").alias("role"))
 
 
 def fold_report(folds: DataFrame, df: DataFrame, row_id: str, label: str) -> DataFrame:
@@ -57,11 +102,11 @@ def sample_per_class(df: DataFrame, row_id: str, label: str, caps: Mapping[int,
                      seed: int = 0) -> DataFrame:
     """At most the given number of rows of each class; other classes are left out."""
     caps = {c: n for c, n in caps.items() if n > 0}
-    ranked = shuffled_rank(df.filter(F.col(label).isin(*caps)), row_id, [label], seed)
     cap = F.lit(None).cast("long")
     for value, n in caps.items():
         cap = F.when(F.col(label) == value, F.lit(n)).otherwise(cap)
-    return ranked.filter(F.col("_rank") <= cap).drop("_rank", "_of")
+    cut = shuffled_heads(df.filter(F.col(label).isin(*caps)), row_id, [label], {"_head": cap}, seed)
+    return cut.filter("_head").drop("_head")
 
 
 def class_shortfall(df: DataFrame, label: str, caps: Mapping[int, int]) -> DataFrame:
@@ -116,14 +161,14 @@ def proportional_split(df: DataFrame, row_id: str, label: str, total: int, share
     test_pos = math.ceil(share * n_test)
     test_of = {1: test_pos, 0: n_test - test_pos}
     all_of = {1: n_pos, 0: total - n_pos}
-    ranked = shuffled_rank(df.filter(F.col(label).isin(0, 1)), row_id, [label], seed)
 
     def by_class(numbers):
         return F.when(F.col(label) == 1, numbers[1]).otherwise(numbers[0])
 
-    role = F.when(F.col("_rank") <= by_class(test_of), "test").otherwise("train")
-    return ranked.filter(F.col("_rank") <= by_class(all_of)).withColumn("role", role).drop(
-        "_rank", "_of")
+    cut = shuffled_heads(df.filter(F.col(label).isin(0, 1)), row_id, [label],
+                         {"_test": by_class(test_of), "_all": by_class(all_of)}, seed)
+    role = F.when(F.col("_test"), "test").otherwise("train")
+    return cut.filter("_all").withColumn("role", role).drop("_test", "_all")
 
 
 def group_split(df: DataFrame, group: str, share: float, seed: int = 1) -> DataFrame:
@@ -134,10 +179,8 @@ def group_split(df: DataFrame, group: str, share: float, seed: int = 1) -> DataF
 
 def random_split(df: DataFrame, row_id: str, share: float, seed: int = 0) -> DataFrame:
     """Exactly int(rows · share) rows get the role ``validation``."""
-    ranked = shuffled_rank(df, row_id, [], seed)
-    held = F.col("_rank") <= F.floor(F.col("_of") * F.lit(share))
-    return ranked.withColumn("role", F.when(held, "validation").otherwise("train")).drop(
-        "_rank", "_of")
+    cut = shuffled_heads(df, row_id, [], {"_held": F.floor(F.col("_of") * F.lit(share))}, seed)
+    return cut.withColumn("role", F.when(F.col("_held"), "validation").otherwise("train")).drop("_held")
 
 
 def weighted_resample(df: DataFrame, row_id: str, weight: str, n: int,

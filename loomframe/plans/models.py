@@ -6,6 +6,8 @@ tests and only by their rows here.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from loomframe.operators import clustering as cl
@@ -14,12 +16,13 @@ from loomframe.operators import models as m
 from loomframe.operators import relational as rel
 from loomframe.operators import sampling as sm
 from loomframe.operators import sequences as s
-from loomframe.plans.baskets import feature_matrix
+from loomframe.plans.baskets import ALL_STEPS, BASE, feature_matrix
 from loomframe.plans.registry import Registry, rounded
 from loomframe.plans.series import ORDER, _runs
 from loomframe.plans.views import table, transactions
-from loomframe.operators.baskets import FEATURES
-from loomframe.session import stored
+from loomframe.operators.baskets import FEATURES, basket_strings
+from loomframe.session import checkpoint_dir, stored
+from loomframe.sources import files, tables
 
 plan = Registry()
 INPUTS = ["V1", "V2", "Amount"]
@@ -90,6 +93,33 @@ def forest_threshold(spark, sf_dir):
     return rounded(ev.best_threshold(sweep))
 
 
+@plan.add(f"""{BASE}, {ALL_STEPS}, wanted AS (SELECT DISTINCT order_id FROM feature_rows WHERE eval_set = 'test')
+SELECT order_id, true AS listed, true AS known FROM wanted""")
+def basket_submission(spark, sf_dir):
+    """Fit, choose the threshold, score the test orders, write and read the baskets.
+
+    The model's choice has no SQL counterpart, so the query says of every test order whether
+    its line is a list of ascending numbers and whether all of them are among its candidates.
+    """
+    features = stored(rel.fill_missing(feature_matrix(spark, sf_dir), -1))
+    parts = sm.group_split(features.filter("eval_set = 'train'"), "order_id", 0.2)
+    model = m.fit_forest(parts.filter("part = 'model'"), FEATURES, "target", numTrees=8, maxDepth=5)
+    keep = ["user_id", "order_id", "product_id"]
+    held = m.predict(model, parts.filter("part = 'threshold'"), [*keep, "target"], FEATURES)
+    best = ev.best_threshold(ev.order_f1_by_threshold(held, keep[:2], "prediction", "target", ev.even_thresholds()))
+    least = best.first()["threshold"]
+    scored = m.predict(model, features.filter("eval_set = 'test'"), keep, FEATURES)
+    chosen = stored(scored.withColumn("order", (F.col("prediction") >= F.lit(least)).cast("int")))
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    tables.save_submission(basket_strings(chosen), path)
+    lines = files.read_csv(spark, path, "order_id long, products string").na.fill("", ["products"])
+    listed = F.filter(F.split("products", " "), lambda p: p != "").cast("array<long>")
+    candidates = chosen.groupBy("order_id").agg(F.collect_set("product_id").alias("own"))
+    return lines.join(candidates, "order_id").select(
+        "order_id", (listed == F.array_sort(F.array_distinct(listed))).alias("listed"),
+        (F.size(F.array_except(listed, F.col("own").cast("array<long>"))) == 0).alias("known"))
+
+
 @plan.add()
 def feature_importances(spark, sf_dir):
     model, _ = _basket_model(spark, sf_dir)

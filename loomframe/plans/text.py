@@ -111,7 +111,9 @@ def doc_vectors(spark, sf_dir):
                                           for i in range(3)]), 6)
 
 
-@plan.add()
+@plan.add(r"""WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?]+[.!?]*'),
+  lambda s: regexp_extract_all(s, '[\p{L}\p{N}'']+')), lambda w: len(w) > 0) AS l FROM documents)
+SELECT doc_id, unnest(range(len(l)))::INT AS sentence, unnest(l) AS words FROM s""")
 def sentence_tokens(spark, sf_dir):
     return _docs(spark, sf_dir).select(
         "doc_id", F.posexplode(sentence_column(F.col("text"))).alias("sentence", "words"))
