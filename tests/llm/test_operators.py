@@ -1,0 +1,453 @@
+"""Every operator on awkward rows, and against plain versions where SQL has no say."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from compare import compare, connect
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_file
+from loomframe.llm import (
+    arrow_text,
+    components,
+    decontaminate,
+    huffman,
+    language,
+    licenses,
+    near_copies,
+    packing,
+    pii,
+    quality,
+    tokens,
+    urls,
+    warc,
+)
+from loomframe.llm.shared import ready, table
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = " ".join(f"w{i}" for i in range(3_000))
+SENTENCE = "the quick brown fox jumps over the lazy dog and runs far away from here today"
+AWKWARD = [
+    (1, None, "en", "a", None), (2, "", None, "a", 0), (3, "   \n\t ", "en", None, 5), (4, SENTENCE, "en", "a", 1),
+    (5, SENTENCE, "en", "a", 1), (5, SENTENCE, "en", "a", 1), (6, LONG, "en", "b", 1), (7, "éé ßß 日本語 テスト", "fr", "b", 1),
+    (8, "one", None, None, 3), (9, "x" * 50_000, "de", "b", 1), (None, SENTENCE + " more", "en", "a", 1),
+    (10, "\x00\x01 odd \x1c bytes \x85 here", "en", "a", 1), (11, (SENTENCE + "\n") * 40, "en", "a", 1)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    ready(spark)
+    return spark.createDataFrame(AWKWARD, DOCS).withColumns(
+        {"node": F.lit("mine"), "n": F.lit(1), "hits": F.lit(2), "words": F.lit("w"), "key": F.lit(3)}).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    ready(spark)
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return table(spark, SMALL, "documents")
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize("name", sorted(k for k in entry_file.oracle_sql() if k.startswith("op")))
+def test_same_as_sql(spark, name):
+    query, sql = entry_file.queries()[name], entry_file.oracle_sql()[name]
+    assert compare(spark, connect(SMALL), SMALL, query, sql) is None
+
+
+def awkward_sql(spark, tmp_path, sql, **tables):
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+    con = connect(str(tmp_path))
+    for name in tables:
+        con.execute(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    return con
+
+
+def test_quality_of_awkward_rows(spark, docs, empty, tmp_path):
+    con = awkward_sql(spark, tmp_path, quality.SQL, documents=docs.select("doc_id", "text", "lang", "source"))
+    assert compare(spark, con, "", lambda *_: quality.judge(docs), quality.SQL) is None
+    assert rows(quality.judge(empty)) == []
+    kept = quality.passed(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [4, 5, 5, 6]
+
+
+def test_sketch_buckets_hold_their_numbers(spark):
+    got = spark.range(0, 100_000, 7).select("id", quality.bucket(F.col("id")).alias("b")) \
+        .select("id", "b", quality.bucket_top(F.col("b")).alias("top")).collect()
+    assert all(r.id <= r.top <= r.id + max(0, r.id // 16) for r in got)
+    assert [r.b for r in got] == sorted(r.b for r in got)
+
+
+def test_languages(spark, small, docs, empty):
+    got = small.select("doc_id", "lang").join(language.identify(small), "doc_id").collect()
+    assert len(got) == small.count() and all(0 <= r.score <= 1 for r in got)
+    test = [r for r in got if r.held_out]
+    assert {r.held_out for r in got} == {True, False}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert sum(r.lang == r.lang_pred for r in test) >= 0.95 * len(test)
+    awkward = {(r.doc_id, r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    assert {(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0)} <= awkward
+    assert rows(language.identify(empty)) == []
+    nothing = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language.identify(nothing).collect()} == {"und"}
+
+
+def test_gradients_of_the_net():
+    rng = np.random.default_rng(0)
+    net = language.ByteNet(["a", "b"])
+    net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    cut, label = rng.integers(0, 256, (6, language.WINDOW)).astype(np.uint8), np.array([0, 1, 0, 1, 1, 0])
+
+    def loss():
+        hidden = np.maximum(np.array([[max(
+            sum(net.weights["embed"][cut[i, p + k]] @ net.weights["filter"][8 * k:8 * k + 8, u] if p + k < 128 else
+                net.weights["embed"][0] @ net.weights["filter"][8 * k:8 * k + 8, u] for k in range(4))
+            for p in range(128)) for u in range(0, 48, 16)] for i in range(6)]) + net.weights["bias"][::16], 0)
+        out = hidden @ net.weights["out"][::16] + net.weights["out_bias"]
+        return -np.log(language.softmax(out)[np.arange(6), label]).mean()
+
+    net.weights["out"][[u for u in range(48) if u % 16]] = 0
+    net.weights = {k: v.astype(np.float32) for k, v in net.weights.items()}
+    grads = net.gradients(cut, label)
+    for name, at in (("filter", (3, 0)), ("out", (16, 1)), ("embed", (cut[0, 3], 2))):
+        value = net.weights[name][at]
+        net.weights[name][at] = value + 1e-2
+        up = loss()
+        net.weights[name][at] = value - 1e-2
+        down = loss()
+        net.weights[name][at] = value
+        assert abs((up - down) / 2e-2 - grads[name][at]) < 2e-3
+
+
+def words_of(text):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def test_license_places_against_brute_force(spark, small, docs, empty):
+    licensed = spark.createDataFrame([
+        (100, "Released Under the MIT License. under the mit license; CC BY-NC 4.0 under the mit"),
+        (101, "apache license version 2 apache license, VERSION 2.0"), (102, "cc by cc by nc by nc"),
+        (103, "Redistribution and use in source and binary forms with or without modification are permitted "
+              "provided that the following conditions are met:")], "doc_id long, text string")
+    every = small.select("doc_id", "text").unionByName(docs.select("doc_id", "text")).unionByName(licensed)
+    text = collections.defaultdict(list)
+    for r in every.collect():
+        text[r.doc_id].append(r.text)
+    for r in licenses.find(every).collect():
+        want = []
+        for t in text[r.doc_id]:
+            words = words_of(t)
+            places = sorted((i, k) for k, p in licenses.PHRASES.items() for i in range(len(words))
+                            if words[i:i + len(p.split())] == p.split())
+            want.append((len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None,
+                         ",".join(sorted({k for _, k in places}))))
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) in want
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+    found = {r.doc_id: r.labels for r in licenses.find(licensed).collect()}
+    assert found == {100: "cc-by-nc,mit", 101: "apache-2", 102: "cc-by-nc", 103: "bsd"}
+    assert rows(licenses.find(empty)) == []
+
+
+def test_automaton_matching_statistics():
+    rng = random.Random(1)
+    for _ in range(60):
+        texts = {str(k): " ".join(rng.choice("abc") for _ in range(rng.randint(2, 9))) for k in range(3)}
+        automaton = licenses.Automaton(texts, {"p": "a b c"})
+        sources = [*[t.split() for t in texts.values()], ["a", "b", "c"]]
+        query = [rng.choice("abc") for _ in range(25)]
+        number = {}
+        for t in sources:
+            for w in t:
+                number.setdefault(w, len(number))
+        for end, (_, length) in enumerate(automaton.stream([number[w] for w in query if w in number]
+                                                           if all(w in number for w in query) else []), 1):
+            best = max(n for n in range(end + 1) if n == 0 or any(
+                s[i:i + n] == query[end - n:end] for s in sources for i in range(len(s))))
+            assert length == best
+
+
+def test_huffman_code_is_canonical_and_whole():
+    rng = np.random.default_rng(1)
+    for n, kinds in ((0, 5), (1, 5), (511, 3), (512, 40), (513, 1), (100_000, 30_000), (1024, 2)):
+        share = 1 / np.arange(1, kinds + 1) ** 1.2
+        ids = rng.choice(kinds, n, p=share / share.sum()) if n else np.zeros(0, int)
+        lengths = huffman.code_lengths(np.bincount(ids, minlength=1))
+        used = lengths[lengths > 0].astype(int)
+        assert not n or (used.max() <= huffman.LONGEST and sum(2.0 ** -used) <= 1)
+        code = huffman.Code(lengths)
+        string, _, checkpoints = code.encode(ids)
+        assert (code.decode(string, n, checkpoints) == ids).all()
+        block = 1  # a block can be decoded by itself
+        if len(checkpoints) > 1:
+            part = ids[block * huffman.BLOCK:(block + 1) * huffman.BLOCK]
+            assert (code.decode(string, len(part), checkpoints[1:2]) == part).all()
+
+
+def brute_ids(texts, end):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(tokens.default_vocabulary())
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
+
+
+def test_words_give_the_ids_of_whole_texts(small):
+    texts = [r.text for r in small.collect()][:60] + [
+        "a b　c", "ẞΣΑΣ ́x", "é ́ x", "a\x1cb c\x85d\xa0e", "<|endoftext|> it's I'LL 12 34", "",
+        "Don't! X.", "İstanbul, ǅ. K² a.b c\". (x) ,, A'S. ς. Σ", "ﬁ! ½. Ⅷ, a̐! <|endoftext|>."]
+    got = tokens.Encoder(tokens.default_vocabulary())(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids[:-1] for ids in brute_ids(texts, 0)]
+
+
+def test_id_files_round_trip(spark, small, docs, empty):
+    every = small.select("doc_id", "text").filter("doc_id > 20").unionByName(docs.select("doc_id", "text"))
+    held = every.collect()
+    ids = brute_ids([r.text for r in held], 2)
+    crc = [zlib.crc32(np.array(i, "<u4").tobytes()) for i in ids]
+    order = sorted(range(len(held)), key=lambda k: (held[k].doc_id is not None, held[k].doc_id or 0, crc[k]))
+    start, want = 0, []
+    for k in order:
+        want.append((held[k].doc_id, start, len(ids[k]), crc[k]))
+        start += len(ids[k])
+    assert sorted(rows(huffman.round_trip(spark, every, rows_each=40)), key=lambda r: r[1]) == want
+    assert rows(huffman.round_trip(spark, empty)) == []
+
+
+def test_packing(spark, small, docs, empty):
+    every = small.select("doc_id", "text").filter("doc_id > 20").unionByName(docs.select("doc_id", "text"))
+    got = packing.pack(every).collect()
+    held = every.collect()
+    want = collections.Counter()
+    for r, ids in zip(held, brute_ids([r.text for r in held], 0)):
+        for k in range(0, len(ids), 2048):
+            part = np.array(ids[k:k + 2048], "<u4")
+            want[(r.doc_id, k // 2048, k, len(part), zlib.crc32(part.tobytes()))] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by) <= -(-sum(r.length for r in got) // 2048) + 1
+    assert rows(packing.pack(empty)) == []
+
+
+def test_local_search_empties_bins_that_best_fit_leaves():
+    rng = np.random.default_rng(4)
+    better, instances = 0, [np.array([510] * 6 + [270] * 6 + [260] * 6 + [230] * 12)]
+    for _ in range(20):  # triples that nearly fill a bin
+        a, b = rng.integers(250, 420, 40), rng.integers(250, 420, 40)
+        instances.append(np.concatenate([a, b, 1000 - rng.integers(0, 40, 40) - a - b]))
+    for lengths in instances:
+        first = packing.best_fit(lengths, 1000)
+        search = packing.Search(lengths, first, 1000)
+        squares = [int((search.fill ** 2).sum())]
+        step = search.step
+        search.step = lambda v: (step(v), squares.append(int((search.fill ** 2).sum())))[0]
+        bins = search.run()
+        fill = np.bincount(bins, lengths)
+        assert fill.max() <= 1000 and fill.sum() == lengths.sum() and squares == sorted(squares)
+        assert (fill > 0).sum() <= first.max() + 1
+        better += (fill > 0).sum() < first.max() + 1
+    assert better >= 5
+
+
+def test_warc(spark, empty, tmp_path):
+    big = "é" * 30_000
+    pages = spark.createDataFrame([(1, "http://a/\r\nb", "x"), (2, None, "x"), (3, "u", None), (4, "u", ""), (5, "u", big),
+                                   (6, "u", big), (None, "u", "x"), (7, "u", "long " * 40_000), (7, "u", "long " * 40_000)],
+                                  "page_id long, url string, html string").withColumn("key", F.lit(1))
+    con = awkward_sql(spark, tmp_path, warc.SQL, pages=pages)
+    assert compare(spark, con, "", lambda *_: warc.round_trip(spark, pages), warc.SQL) is None
+    got = {r.page_id: r.record_type for r in warc.round_trip(spark, pages, min_bytes=10).collect()}
+    assert got == {1: "response", 2: "response", 3: "response", 4: "response", 5: "revisit", 6: "response",
+                   7: "response", None: "response"}
+    assert rows(warc.round_trip(spark, pages.limit(0))) == []
+
+
+def test_lost_segments_are_told(spark):
+    ready(spark)
+    pages = spark.createDataFrame([(7, "u", "long " * 40_000), (8, "u", "short")], "page_id long, url string, html string")
+    from loomframe.llm.shared import new_folder
+    files = warc.write(pages.coalesce(1), new_folder(spark, "warc"), segment=1000)
+    assert {r.page_id: r.verified for r in warc.read(files).collect()} == {7: True, 8: True}
+    first = files.filter(F.contains("path", F.lit("/pages-")))
+    assert {r.page_id: r.verified for r in warc.read(first).collect()} == {7: False, 8: True}
+
+
+def test_chunked_framing():
+    for n in (0, 1, 4095, 4096, 4097, 20_000):
+        assert warc.unchunked(warc.chunked(b"q" * n)) == b"q" * n
+    with pytest.raises(ValueError):
+        warc.unchunked(warc.chunked(b"q" * 100)[:50])
+
+
+def test_near_copies_of_awkward_rows(spark, docs, empty, tmp_path):
+    con = awkward_sql(spark, tmp_path, near_copies.SQL, documents=docs.select("doc_id", "text"))
+    names = ["doc_id", "n_shingles", "component_id"]
+    assert compare(spark, con, "", lambda *_: near_copies.find(docs).select(*names), near_copies.SQL) is None
+    assert rows(near_copies.find(empty)) == [] and rows(near_copies.first_of_each(empty)) == []
+    kept = near_copies.first_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 6, 7, 8, 9, None, 10]))  # 11 repeats 4
+
+
+@pytest.mark.parametrize("group", [near_copies.GROUP, 7])
+def test_one_large_family(spark, monkeypatch, group):
+    """Copies of one text with a few changed words: most pairs are no links, some chains are."""
+    ready(spark)
+    rng = random.Random(2)
+    base = [f"b{i}" for i in range(80)]
+    texts = []
+    for k in range(120):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(80)] = f"x{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    texts += [" ".join(base[:60] + [f"y{k}-{i}" for i in range(20)]) for k in range(20)]
+    texts += ["a b c d", "A b c d", "a b c d e", "p q", "q p", ""]
+    grams = [set(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else set()
+             for w in (t.lower().split() for t in texts)]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if grams[a] and 100 * len(grams[a] & grams[b]) >= 75 * len(grams[a] | grams[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    monkeypatch.setattr(near_copies.links, "__defaults__", (group,))
+    for least in (3, 10**6):  # with and without frequent n-grams
+        monkeypatch.setattr(near_copies, "BATCH_LEAST", least)
+        df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(4)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_copies.find(df).collect()}
+        assert got == {k: (len(g), root[k]) for k, g in enumerate(grams)}
+
+
+def test_components(spark):
+    ready(spark)
+    edges = [(k, k + 1) for k in range(60)] + [(100, 101), (101, 102), (102, 100), (200, 200)] + [(300, k) for k in range(301, 360)]
+    got = dict(rows(components.components(spark.createDataFrame(edges, "a long, b long"))))
+    want = {**{k: 0 for k in range(61)}, **{k: 100 for k in (100, 101, 102)}, **{k: 300 for k in range(300, 360)}}
+    assert got == want
+    assert rows(components.components(spark.createDataFrame([], "a long, b long"))) == []
+
+
+def test_decontamination_of_awkward_rows(spark, docs, empty, tmp_path):
+    bench = spark.createDataFrame([(1, SENTENCE), (2, "one"), (3, None), (4, ""), (None, SENTENCE), (10, SENTENCE),
+                                   (5, "x " + SENTENCE + " y"), (6, "éé ßß")], "item_id long, text string")
+    con = awkward_sql(spark, tmp_path, decontaminate.SQL, documents=docs.select("doc_id", "text"), benchmark=bench)
+    assert compare(spark, con, "", lambda *_: decontaminate.find(docs, bench), decontaminate.SQL) is None
+    few = decontaminate.find(docs, bench, limit=40)  # one block per item or so
+    assert sorted(rows(few), key=str) == sorted(rows(decontaminate.find(docs, bench)), key=str)
+    clean = decontaminate.clean(docs, bench)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [1, 2, 3, 6, 9, 10]
+    assert rows(decontaminate.find(empty, bench)) == []
+    assert not any(r.contaminated for r in decontaminate.find(docs, bench.limit(0)).collect())
+
+
+def test_url_filters(spark, tmp_path):
+    ready(spark)
+    seen = ["http://www.EXAMPLE.net/en/1?q#f", "https://example.net/en", "ftp://net/", "http://net", "http://xnet/", None,
+            "no scheme", "http://a.org/fr/?x", "http://org/fr/", "http://b.example.com/de/x://y", "://example.com/de/",
+            "http://example.com/DE/", "http://", "http://..net/", "http://example.net:80/en/", "http://a.net#/", "http://net/é"]
+    pages = spark.createDataFrame([(k // 2, u) for k, u in enumerate(seen + seen[:3])] + [(None, seen[0])] + [(99, seen[0])] * 9,
+                                  "page_id long, url string").withColumn("host", F.lit("mine"))
+    con = awkward_sql(spark, tmp_path, urls.SQL, pages=pages)
+    for each in (urls.ROWS_EACH, 2):
+        assert compare(spark, con, "", lambda *_: urls.judge(pages, rows_each=each), urls.SQL) is None
+    assert rows(urls.judge(pages.limit(0))) == []
+    rules = [("a.b", "/", "block"), ("a.b", "/x", "allow"), ("a.b", "/x/y", "block"), ("b", "/x/y/z/long", "allow"),
+             ("A.b", "/", "allow"), ("", "", "block")]
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(spark.createDataFrame(
+        [(1, "h://q.a.b/x/y/z"), (2, "h://a.b/x/"), (3, "h://a.b/w"), (4, "h://b/x/y/z/longer"), (5, "h://c.b/"), (6, "none"),
+         (7, "h://a.b/x/y/z/long")], "page_id long, url string"), urls.rule_table(spark, rules)).collect()}
+    assert got == {1: ("a.b/x/y", "block"), 2: ("a.b/x", "allow"), 3: ("a.b/", "block"), 4: ("b/x/y/z/long", "allow"),
+                   5: (None, "allow"), 6: ("", "block"), 7: ("b/x/y/z/long", "allow")}
+
+
+def test_url_plan_has_no_python(spark):
+    plan = urls.judge(table(spark, SMALL, "pages"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan) and "CartesianProduct" not in plan
+
+
+PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            luhn = sum(d if k % 2 == 0 else 2 * d - 9 * (d > 4) for k, d in enumerate(reversed(digits))) % 10 == 0
+            if [True, kind == 1 and all(int(p) <= 255 for p in m[0].split(".")), 16 <= len(digits) <= 19 and luhn,
+                    8 <= len(digits) <= 15][kind]:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_patterns_against_plain_expressions():
+    rng = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rng.choice("aB1 2.3@@..+-(45)é\n0") for _ in range(rng.randint(0, 40)))
+        assert pii.base_spans(text) == brute_spans(text)
+
+
+def test_personal_data(spark, small, docs, empty):
+    every = small.select("doc_id", "text").filter("doc_id > 20").unionByName(docs.select("doc_id", "text"))
+    text = collections.defaultdict(list)
+    for r in every.collect():
+        text[r.doc_id].append(r.text or "")
+    for r in pii.find(every).collect():
+        want = []
+        for t in text[r.doc_id]:
+            spans = sorted(brute_spans(t))
+            joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+            want.append((*[sum(s[0] == k for s in spans) for k in range(4)], hashlib.sha256(joined.encode()).hexdigest()))
+        assert tuple(r)[1:6] in want
+        base = next(b for b, w in zip(text[r.doc_id], want) if w == tuple(r)[1:6])
+        assert {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in brute_spans(base)} <= set(r.spans.split(",")) | {""}
+    assert rows(pii.find(empty)) == []
+    field = pii.fit(small)
+    said = "call +1 (988) 555-2485 now, or 1 (988) 555-2485 later; it costs 300 in 1999-2000, version 4.0.1"
+    base = pii.base_spans(said)
+    assert [said[a:b] for _, a, b in field.added(said, base)] == ["1 (988) 555-2485"]
+    assert pii.masked(said, base) == said.replace("+1 (988) 555-2485", "<PHONE>", 1)
+    masked = pii.mask(docs, field, "n_chars")
+    assert masked.columns == docs.columns and masked.count() == docs.count()
+
+
+def test_words_of_bytes():
+    rng = random.Random(3)
+    import pyarrow as pa
+    texts = ["".join(rng.choice("aZ09 \n\t_.é日\x00\x1c") for _ in range(rng.randint(0, 30))) for _ in range(300)] + [None]
+    data, offsets = arrow_text.utf8(pa.array(["skipped", *texts]).slice(1))
+    for kind, pattern in ((arrow_text.SPACED, rb"[^\x20\x09-\x0D]+"), (arrow_text.ALNUM_LOWER, rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")):
+        starts, stops, first = arrow_text.word_bounds(data, offsets, kind)
+        h = arrow_text.word_hashes(data, starts, stops, kind)
+        seen = {}
+        for k, t in enumerate(texts):
+            raw = (t or "").encode()
+            want = re.findall(pattern, raw.lower() if kind is arrow_text.ALNUM_LOWER else raw)
+            got = [bytes(kind[1][data[a:b]]) for a, b in zip(starts[first[k]:first[k + 1]], stops[first[k]:first[k + 1]])]
+            assert got == want
+            for w, x in zip(want, h[first[k]:first[k + 1]]):
+                assert seen.setdefault(w, x) == x
+        assert len(set(seen.values())) == len(seen)
