@@ -3,14 +3,14 @@
 Documents with the same set of n-grams are one *node*. The join runs in these steps, all of
 which read whole texts and whose results do not depend on any limit below:
 
-1. Frequent n-grams: every Arrow batch reports its most repeated ones; the largest sums are
-   put last in the global order of n-grams. This only decides how much work is done.
+1. Global order of n-grams: every Arrow batch reports its most used words and its most
+   repeated n-grams; n-grams with most uncommon words come first, those with the largest
+   sums last. This only decides how much work is done.
 2. Groups: nodes that share their smallest n-gram under a hash (taken among the frequent
    ones if those are half of the set) form a group, so similar nodes mostly meet in one.
 3. Token-group matrix: for each n-gram in the prefix of some node, the groups whose union of
-   prefixes has it. A node with n n-grams links only to nodes that share ``SHARED`` n-grams
-   of the first n - ceil(t n) + SHARED of both. So the number of prefix n-grams that a query
-   node has in a group's union bounds what it can share with any member.
+   prefixes has it. The number of prefix n-grams that a query node has in a group's union,
+   and the sizes of the members that have them, bound what it can share with any member.
 4. Opening: only groups with enough of them are opened. Query and members meet with their
    full sets; the overlap with the members' full union is the second bound, then members are
    compared by bit counts. Each opened block reports a spanning forest of its links.
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.llm import arrow_text as at
@@ -37,40 +37,52 @@ from loomframe.llm.components import components
 from loomframe.llm.shared import only, stored
 
 WORDS, PERCENT = 5, 75
-SHARED = 4
+#: Prefixes are longer than need be by this many n-grams, or by this part of the set.
+SHARED, SHARED_PART = 4, 16
 #: Frequent n-grams: most reported per batch, least repetitions there and in sum, most kept.
-BATCH_MOST, BATCH_LEAST, TOTAL_LEAST, KEPT = 20_000, 3, 16, 100_000
+BATCH_MOST, BATCH_LEAST, TOTAL_LEAST, KEPT = 100_000, 2, 6, 500_000
+#: Common words.
+COMMON = 30_000
 #: Members opened together.
 GROUP = 2048
+HITS = ("node", "grp", "hits", "n", "least", "most")
 #: Prefix entries in one task of the matrix.
 PART_ROWS = 1 << 20
 
 
-def _ceil_share(n: np.ndarray, percent: int) -> np.ndarray:
-    return -(-n * percent // 100)
-
-
-def sets_of(data: np.ndarray, offsets: np.ndarray, words: int):
-    """Distinct n-gram hashes of each row in ascending order, and the rows' first places."""
+def sets_of(data: np.ndarray, offsets: np.ndarray, words: int, common: np.ndarray | None = None):
+    """Distinct n-gram hashes of each row in ascending order, the rows' first places, and how
+    many words of each n-gram are not ``common``."""
     starts, stops, first = at.word_bounds(data, offsets, at.SPACED_LOWER)
     h = at.word_hashes(data, starts, stops, at.SPACED_LOWER)
     count = np.diff(first)
     row = np.repeat(np.arange(len(count)), count)
     runs = at.run_hashes(h, words)
     inside = row[:len(runs)] == row[words - 1:] if len(runs) else np.zeros(0, bool)
-    grams, owner = [runs[inside]], [row[:len(runs)][inside]]
+    # Words of each run that are not common.
+    rare = np.zeros(len(h), np.int64) if common is None else ~_among(h, common)
+    upto = np.concatenate([[0], np.cumsum(rare)])
+    strange = upto[words:][:len(runs)] - upto[:-words][:len(runs)] if len(runs) else np.zeros(0, np.int64)
+    grams, owner, rarity = [runs[inside]], [row[:len(runs)][inside]], [strange[inside]]
     for short in range(1, words):
         rows = np.flatnonzero(count == short)
         if len(rows):
             grams.append(at.run_hashes(h, short)[first[rows]])
             owner.append(rows)
-    gram, owner = np.concatenate(grams), np.concatenate(owner)
+            rarity.append(upto[first[rows] + short] - upto[first[rows]])
+    gram, owner, rarity = np.concatenate(grams), np.concatenate(owner), np.concatenate(rarity)
     order = np.lexsort((gram, owner))
-    gram, owner = gram[order], owner[order]
+    gram, owner, rarity = gram[order], owner[order], rarity[order]
     new = np.ones(len(gram), bool)
     new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
-    gram, owner = gram[new], owner[new]
-    return gram, np.searchsorted(owner, np.arange(len(count) + 1))
+    gram, owner, rarity = gram[new], owner[new], rarity[new]
+    return gram, np.searchsorted(owner, np.arange(len(count) + 1)), rarity
+
+
+def _among(values: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
+    if not len(sorted_keys):
+        return np.zeros(len(values), bool)
+    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, values), len(sorted_keys) - 1)] == values
 
 
 def node_of(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -81,9 +93,14 @@ def node_of(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Order:
-    """Global order of n-grams: ordinary ones by hash, then frequent ones by count."""
+    """Global order of n-grams: those with most uncommon words first, frequent ones last.
 
-    def __init__(self, frequent: dict[int, int], words: int, percent: int):
+    An n-gram with uncommon words hardly occurs twice by chance, so prefixes hold what only
+    copies share. Ties go by hash.
+    """
+
+    def __init__(self, frequent: dict[int, int], words: int, percent: int, common: np.ndarray | None = None):
+        self.common = np.zeros(0, np.uint64) if common is None else common
         keys = np.array(sorted(frequent), np.uint64)
         self.keys, self.words, self.percent = keys, words, percent
         self.counts = np.array([frequent[int(k)] for k in keys], np.int64)
@@ -109,27 +126,44 @@ class Order:
             out[filled] = np.minimum.reduceat(value, first[:-1][filled])
         return out
 
-    def prefixes(self, gram: np.ndarray, first: np.ndarray, count: np.ndarray):
+    def prefixes(self, gram: np.ndarray, first: np.ndarray, count: np.ndarray, rarity: np.ndarray):
         """n-grams of all prefixes, their counts, and their rows."""
         n = np.diff(first)
-        share = _ceil_share(n, self.percent)
-        size = np.minimum(n, n - share + np.minimum(SHARED, share))
+        size = prefix_size(n, self.percent)
         row = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((gram, count, row))
+        order = np.lexsort((gram, -rarity, count, row))
         kept = order[np.arange(len(gram)) - first[row] < size[row]]
         return gram[kept], count[kept], row[kept]
 
 
-def needed(n: np.ndarray, percent: int) -> np.ndarray:
-    """Prefix n-grams that a set of n shares with each set it links to, at least."""
-    return np.minimum(SHARED, _ceil_share(_ceil_share(n, percent), percent))
+def prefix_size(n, percent: int, least=np.minimum, most=np.maximum):
+    """Length of the prefix of a set of n, for arrays or (with other functions) columns."""
+    share = (n * percent + 99) // 100 if least is np.minimum else F.floor((n * percent + 99) / 100)
+    part = n // SHARED_PART if least is np.minimum else F.floor(n / SHARED_PART)
+    floor = SHARED if least is np.minimum else F.lit(SHARED)
+    return least(n, n - share + least(share, most(floor, part)))
+
+
+def needed(n: Column, least: Column, most: Column, percent: int) -> Column:
+    """Prefix n-grams that a set of n shares with a set of ``least`` to ``most``, if they link.
+
+    Linked sets share o = t (n + m) / (1 + t) n-grams. Of these at most n - prefix (or, where
+    the other's prefix ends first, m - its prefix) lie behind the prefixes. The difference
+    is smallest at one end of the range; 2 make up for the rounding in between.
+    """
+    def at_size(m: Column) -> Column:
+        shared = F.ceil(percent * (n + m) / (100 + percent))
+        behind = F.greatest(n - prefix_size(n, percent, F.least, F.greatest),
+                            m - prefix_size(m, percent, F.least, F.greatest))
+        return shared - behind
+    return F.greatest(F.lit(1), F.least(at_size(least), at_size(most)) - 2)
 
 
-def _pieces(batch: pa.RecordBatch, column: int, words: int):
-    """(rows from, to, n-grams, first) of an Arrow batch, piece by piece."""
+def _pieces(batch: pa.RecordBatch, column: int, words: int, common: np.ndarray | None = None):
+    """(rows from, to, n-grams, first, uncommon words) of an Arrow batch, piece by piece."""
     data, offsets = at.utf8(batch.column(column))
     for i, j in at.pieces(offsets):
-        yield i, j, *sets_of(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
+        yield i, j, *sets_of(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words, common)
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -142,7 +176,7 @@ def frequent_grams(docs: DataFrame, words: int = WORDS) -> dict[int, int]:
         for batch in batches:
             seen: set[int] = set()
             parts = []
-            for _, _, gram, first in _pieces(batch, 0, words):
+            for _, _, gram, first, _ in _pieces(batch, 0, words):
                 node = node_of(gram, first).tolist()
                 fresh = np.zeros(len(node), bool)
                 for k, x in enumerate(node):
@@ -159,12 +193,35 @@ def frequent_grams(docs: DataFrame, words: int = WORDS) -> dict[int, int]:
     return {r[0] % (1 << 64): r[1] for r in rows}
 
 
+def common_words(docs: DataFrame) -> np.ndarray:
+    """Hashes of the most used words: sums of what every batch uses most."""
+    def run(batches):
+        for batch in batches:
+            data, offsets = at.utf8(batch.column(0))
+            parts = [np.zeros(0, np.uint64)]
+            counts = [np.zeros(0, np.int64)]
+            for i, j in at.pieces(offsets):
+                starts, stops, _ = at.word_bounds(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], at.SPACED_LOWER)
+                word, n = np.unique(at.word_hashes(data[offsets[i]:offsets[j]], starts, stops, at.SPACED_LOWER),
+                                    return_counts=True)
+                parts.append(word[n > 1])
+                counts.append(n[n > 1])
+            word, where = np.unique(np.concatenate(parts), return_inverse=True)
+            total = np.bincount(where, np.concatenate(counts), len(word)).astype(np.int64)
+            most = np.argsort(-total, kind="stable")[:BATCH_MOST]
+            yield pa.RecordBatch.from_arrays([_longs(word[most]), _longs(total[most])], names=["word", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")) \
+        .orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    return np.array(sorted(r[0] % (1 << 64) for r in rows), np.uint64)
+
+
 def describe(docs: DataFrame, order: Order) -> DataFrame:
     """doc_id, text_hash, n, node, grp of every document."""
     def run(batches):
         for batch in batches:
             out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-            for _, _, gram, first in _pieces(batch, 2, order.words):
+            for _, _, gram, first, _ in _pieces(batch, 2, order.words):
                 out[0].append(np.diff(first))
                 out[1].append(node_of(gram, first))
                 out[2].append(order.groups(gram, first, order.count(gram)))
@@ -175,39 +232,40 @@ def describe(docs: DataFrame, order: Order) -> DataFrame:
 
 
 def _entries(docs: DataFrame, order: Order, frequent: bool) -> Iterator:
-    """Function over batches that yields (n-gram, node, group, needed) of prefix entries."""
+    """Function over batches that yields (n-gram, node, group, size of set) of prefix entries."""
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for _, _, gram, first in _pieces(batch, 0, order.words):
+            for _, _, gram, first, rarity in _pieces(batch, 0, order.words, order.common):
                 count = order.count(gram)
                 group, node = order.groups(gram, first, count), node_of(gram, first)
                 fresh = np.zeros(len(node), bool)
                 for k, x in enumerate(node.tolist()):
                     fresh[k] = x not in seen
                     seen.add(x)
-                need = needed(np.diff(first), order.percent)
-                prefix, often, row = order.prefixes(gram, first, count)
+                n = np.diff(first)
+                prefix, often, row = order.prefixes(gram, first, count, rarity)
                 kept = fresh[row] & ((often > 0) == frequent)
                 prefix, row = prefix[kept], row[kept]
-                yield prefix, node[row], group[row], need[row]
+                yield prefix, node[row], group[row], n[row]
     return run
 
 
 def ordinary_hits(docs: DataFrame, order: Order, parts: int) -> DataFrame:
-    """node, grp, hits: prefix n-grams, not frequent ones, that a node has in a group's union.
+    """node, grp, hits, n, least, most: prefix n-grams, not frequent ones, that a node (of n) has
+    in a group's union, and the sizes of the members that have them.
 
     Entries travel in packed form, by the hash of their n-gram.
     """
-    entries = _entries(docs, order, False)
+    entries, percent = _entries(docs, order, False), order.percent
 
     def pack(batches):
-        for prefix, node, group, need in entries(batches):
+        for prefix, node, group, n in entries(batches):
             part = (at.mix(prefix) % np.uint64(parts)).astype(np.int64)
             by = np.argsort(part, kind="stable")
             used, begin = np.unique(part[by], return_index=True)
             # Column by column, so that repeated nodes and groups compress.
-            blobs = [b"".join(c[rows].tobytes() for c in (prefix, node, group, need.astype(np.uint8)))
+            blobs = [b"".join(c[rows].tobytes() for c in (prefix, node, group, n.astype(np.uint32)))
                      for rows in np.split(by, begin[1:])] if len(used) else []
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(blobs, pa.binary())],
                                              names=["part", "entries"])
@@ -220,21 +278,20 @@ def ordinary_hits(docs: DataFrame, order: Order, parts: int) -> DataFrame:
         for part in list(blobs):
             table = [[], [], [], []]
             for blob in blobs.pop(part):
-                n = len(blob) // 25
+                n = len(blob) // 28
                 for k in range(3):
                     table[k].append(np.frombuffer(blob, np.uint64, n, 8 * n * k))
-                table[3].append(np.frombuffer(blob, np.uint8, n, 24 * n).astype(np.uint64))
+                table[3].append(np.frombuffer(blob, np.uint32, n, 24 * n).astype(np.uint64))
             table = np.stack([np.concatenate(c) for c in table], axis=1)
-            for node, group, hits, need in _matrix(table):
-                yield pa.RecordBatch.from_arrays([_longs(node), _longs(group), _longs(hits), _longs(need)],
-                                                 names=["node", "grp", "hits", "need"])
+            for columns in _matrix(table, percent):
+                yield pa.RecordBatch.from_arrays([_longs(c) for c in columns], names=HITS)
 
     return docs.select("text").mapInArrow(pack, "part long, entries binary").repartition(parts, "part") \
-        .mapInArrow(meet, "node long, grp long, hits long, need long")
+        .mapInArrow(meet, ", ".join(f"{c} long" for c in HITS))
 
 
-def _matrix(table: np.ndarray, limit: int = 1 << 20):
-    """(node, group, hits, needed) of a part, summed over n-grams in slices of the work."""
+def _matrix(table: np.ndarray, percent: int, limit: int = 1 << 20):
+    """Columns ``HITS`` of a part, summed over n-grams in slices of the work."""
     gram, node = table[:, 0], table[:, 1]
     order = np.lexsort((node, gram))
     table = table[order]
@@ -248,11 +305,13 @@ def _matrix(table: np.ndarray, limit: int = 1 << 20):
     if not len(table):
         return
     table = table[np.lexsort((table[:, 2], table[:, 0]))]
-    gram, node, group, need = table.T
+    gram, node, group, n = table.T
+    n = n.astype(np.int64)
     new_cell = np.concatenate([[True], (gram[1:] != gram[:-1]) | (group[1:] != group[:-1])])
     cell_at = np.flatnonzero(new_cell)
     cell_size = np.diff(np.append(cell_at, len(table)))
     cell_group = group[cell_at]
+    cell_least, cell_most = np.minimum.reduceat(n, cell_at), np.maximum.reduceat(n, cell_at)
     new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
     gram_no = np.cumsum(new_gram) - 1
     cell_gram = gram_no[cell_at]
@@ -265,14 +324,17 @@ def _matrix(table: np.ndarray, limit: int = 1 << 20):
         entry = np.repeat(np.arange(start, stop), cells[start:stop])
         inner = np.arange(len(entry)) - np.repeat(np.cumsum(cells[start:stop]) - cells[start:stop], cells[start:stop])
         cell = first_cell[gram_no[entry]] + inner
-        kept = (cell_group[cell] != group[entry]) | (cell_size[cell] > 1)
+        kept = ((cell_group[cell] != group[entry]) | (cell_size[cell] > 1)) \
+            & (100 * cell_most[cell] >= percent * n[entry]) & (percent * cell_least[cell] <= 100 * n[entry])
         entry, cell = entry[kept], cell[kept]
         if len(entry):
             pair = np.lexsort((cell_group[cell], node[entry]))
-            x, g, w = node[entry][pair], cell_group[cell][pair], need[entry][pair]
+            entry, cell = entry[pair], cell[pair]
+            x, g = node[entry], cell_group[cell]
             new = np.concatenate([[True], (x[1:] != x[:-1]) | (g[1:] != g[:-1])])
             at_new = np.flatnonzero(new)
-            yield x[at_new], g[at_new], np.diff(np.append(at_new, len(x))), w[at_new]
+            yield (x[at_new], g[at_new], np.diff(np.append(at_new, len(x))), n[entry[at_new]],
+                   np.minimum.reduceat(cell_least[cell], at_new), np.maximum.reduceat(cell_most[cell], at_new))
         start = stop
 
 
@@ -282,12 +344,25 @@ def frequent_hits(docs: DataFrame, order: Order) -> DataFrame:
 
     def run(batches):
         for columns in entries(batches):
-            yield pa.RecordBatch.from_arrays([_longs(c) for c in columns], names=["gram", "node", "grp", "need"])
-    rows = stored(docs.select("text").mapInArrow(run, "gram long, node long, grp long, need long").distinct())
-    matrix = rows.groupBy("gram", "grp").agg(F.count(F.lit(1)).alias("members"))
+            yield pa.RecordBatch.from_arrays([_longs(c) for c in columns], names=["gram", "node", "grp", "n"])
+    rows = stored(docs.select("text").mapInArrow(run, "gram long, node long, grp long, n long").distinct())
+    matrix = rows.groupBy("gram", "grp").agg(
+        F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
     return rows.withColumnRenamed("grp", "own").join(matrix, "gram") \
         .filter((F.col("grp") != F.col("own")) | (F.col("members") > 1)) \
-        .groupBy("node", "grp").agg(F.count(F.lit(1)).alias("hits"), F.max("need").alias("need"))
+        .filter((100 * F.col("most") >= order.percent * F.col("n")) & (order.percent * F.col("least") <= 100 * F.col("n"))) \
+        .groupBy("node", "grp").agg(F.count(F.lit(1)).alias("hits"), F.max("n").alias("n"),
+                                    F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+def qualifying(hits: DataFrame, percent: int) -> DataFrame:
+    """node, grp of the groups to open: enough prefix n-grams in the group's union."""
+    n = F.col("n")
+    met = hits.groupBy("node", "grp").agg(F.sum("hits").alias("hits"), F.max("n").alias("n"),
+                                          F.min("least").alias("least"), F.max("most").alias("most"))
+    least = F.greatest("least", F.ceil(percent * n / 100))
+    most = F.least("most", F.floor(100 * n / percent))
+    return met.filter(F.col("hits") >= needed(n, least, most, percent)).select("node", "grp")
 
 
 def _linked(sizes: np.ndarray, bits: np.ndarray, k: int, others: np.ndarray, percent: int) -> np.ndarray:
@@ -355,7 +430,7 @@ def links(docs: DataFrame, described: DataFrame, candidates: DataFrame, order: O
     def fetch(batches):
         for batch in batches:
             node, work = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
-            for i, j, gram, first in _pieces(batch, 1, words):
+            for i, j, gram, first, _ in _pieces(batch, 1, words):
                 same = node_of(gram, first).view(np.int64) == node[i:j]  # ids may repeat with other texts
                 rows = [(k, t) for k in np.flatnonzero(same).tolist() for t in work[i + k].as_py()]
                 if rows:
@@ -410,14 +485,13 @@ def find(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     """
     slim = only(docs, doc_id="doc_id", text="text")
     known = slim.filter("doc_id IS NOT NULL")
-    order = Order(frequent_grams(known, words), words, percent)
+    order = Order(frequent_grams(known, words), words, percent, common_words(known))
     described = stored(describe(slim, order))
     usable = described.filter("doc_id IS NOT NULL")
     total = described.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-total * (100 - percent) // (100 * PART_ROWS)))
-    candidates = stored(ordinary_hits(known, order, parts).unionByName(frequent_hits(known, order))
-                        .groupBy("node", "grp").agg(F.sum("hits").alias("hits"), F.max("need").alias("need"))
-                        .filter("hits >= need"))
+    candidates = stored(qualifying(
+        ordinary_hits(known, order, parts).unionByName(frequent_hits(known, order)), percent))
     roots = components(links(known, usable, candidates, order))
     nodes = usable.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
