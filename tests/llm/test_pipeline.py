@@ -4,7 +4,7 @@ import collections
 
 import pytest
 from conftest import SMALL
-from test_operators import DOCS, SENTENCE, brute_spans
+from test_llm_operators import DOCS, SENTENCE, brute_spans
 
 import corpus_pipeline
 from loomframe.llm import pii
