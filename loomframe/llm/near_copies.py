@@ -407,6 +407,21 @@ def open_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, perc
     return edges
 
 
+#: Bits of the filter that keeps texts nobody asks for out of the shuffle (1 MB, whatever the data).
+FILTER_BITS = 1 << 23
+
+
+def asked_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is in ``ids``, and a few others: a bit map of hashed ids, of fixed size."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = stored(ids.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("_bucket"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("_bits")))
+    place = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = docs.join(F.broadcast(bits), F.bitmap_bucket_number(spot) == F.col("_bucket"))
+    return near.filter(F.floor(byte / F.pow(F.lit(2.0), place % 8)) % 2 == 1).select(*docs.columns)
+
+
 _TASK = "array<struct<grp:long,low:int,high:int,member:boolean,block:int>>"
 
 
@@ -456,7 +471,7 @@ def links(docs: DataFrame, described: DataFrame, candidates: DataFrame, order: O
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([rows[k][5] for k in side], pa.int64()) for side in zip(*edges)], names=["a", "b"])
 
-    texts = docs.select("doc_id", "text").join(work, "doc_id").select("node", "text", "work")
+    texts = asked_for(docs.select("doc_id", "text"), roles).join(work, "doc_id").select("node", "text", "work")
     sets = texts.mapInArrow(fetch, "grp long, low int, high int, member boolean, block int, node long, grams binary")
     return sets.repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high", "node") \
         .mapInArrow(compare, "a long, b long")
