@@ -1,10 +1,11 @@
 """Licence scans with a generalised suffix automaton over the words of licence templates.
 
 A document's words are streamed through the automaton, which gives at each word the length
-of the longest run ending there that some template has (the matching statistics). Runs that
-cannot be extended and have ``LONG`` words or more are chained per template, in order of
-place in both texts with gaps of at most ``GAP`` words; a chain covers a span of the document
-and a part of the template. A template covered to ``COVERED`` or more gives its label.
+of the longest run ending there that some template has (the matching statistics); the suffix
+links give that of every other template. Runs of ``LONG`` words or more that cannot be extended
+within their template are chained per template, in order of place in both texts with gaps of at
+most ``GAP`` words, to cover as much as they can; a chain covers a span of the document and a
+part of the template. A template covered to ``COVERED`` or more gives its label.
 Base phrases are strings of the same automaton, found at every place.
 
 Null or empty text has no words. Every row is judged by itself, repeated rows alike.
@@ -93,6 +94,15 @@ class Automaton:
                 up = self.ends[self.link[state]]
                 up[k] = min(place, up.get(k, place))
         self.ends[0] = {}
+        #: State -> {template: (its longest suffix of the state's strings, where that ends)}
+        self.held: list[dict[int, tuple[int, int]]] = [{}]
+        for state in range(1, len(self.next)):
+            held, s = {}, state
+            while self.length[s] >= LONG:
+                for k, place in self.ends[s].items():
+                    held.setdefault(k, (self.length[s], place))
+                s = self.link[s]
+            self.held.append(held)
         own = {}
         for p, ids in enumerate(finals):
             state = 0
@@ -167,27 +177,50 @@ def scan(automaton: Automaton, runs: list[tuple[int, list[int]]]):
     """
     places, matches = [], {}
     for start, ids in runs:
-        stats = list(automaton.stream(ids))
-        for k, (state, length) in enumerate(stats):
+        open_runs: dict[int, tuple[int, int]] = {}  # template: length and end of its run up to here
+        for k, (state, length) in enumerate(automaton.stream(ids)):
             places += [(start + k + 1 - automaton.phrase_sizes[p], p) for p in automaton.found[state]
                        if length >= automaton.phrase_sizes[p]]
-            if length >= LONG and (k + 1 == len(stats) or stats[k + 1][1] <= length):
-                for template, end in automaton.ends[state].items():
-                    matches.setdefault(template, []).append((start + k + 1 - length, end + 1 - length, length))
-    spans = []
-    for template, found in matches.items():
-        open_chains: list[list] = []  # [covered words, next word, next template word, first word]
-        for word, place, length in sorted(found):
-            fits = [c for c in open_chains if place >= c[2] and 0 <= word - c[1] <= GAP]
-            if fits:
-                chain = max(fits)
-                chain[0] += length
-                chain[1:3] = word + length, place + length
-            else:
-                open_chains = [c for c in open_chains if word - c[1] <= GAP or not spans.append((template, c))]
-                open_chains.append([length, word + length, place + length, word])
-        spans += [(template, c) for c in open_chains]
-    return places, [(t, min(1.0, c[0] / automaton.sizes[t]), c[3], c[1] - 1) for t, c in spans]
+            longest = {t: (min(n, length), end) for t, (n, end) in automaton.held[state].items()} \
+                if length >= LONG else {}
+            _close(matches, open_runs, longest, start + k)
+            open_runs = longest
+        _close(matches, open_runs, {}, start + len(ids))
+    return places, [(t, min(1.0, covered / automaton.sizes[t]), first, last)
+                    for t, found in matches.items() for covered, first, last in chains(found)]
+
+
+def _close(matches: dict, open_runs: dict, longest: dict, word: int) -> None:
+    """Adds the runs up to ``word`` that the template's run behind it does not extend."""
+    for t, (length, end) in open_runs.items():
+        if t not in longest or longest[t][0] <= length:
+            matches.setdefault(t, []).append((word - length, end + 1 - length, length))
+
+
+def chains(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(covered words, first word, last word) of chains of one template's matches.
+
+    ``found``: (word, template word, length). A match goes on from the chain that covers most.
+    Chains are taken by covered words; each match counts for one chain.
+    """
+    found = sorted(found)
+    best: list[tuple[int, int]] = []  # covered words, match before or -1
+    near: list[int] = []
+    for m, (word, place, length) in enumerate(found):
+        near = [p for p in near if word - found[p][0] - found[p][2] <= GAP]
+        covered, before = max(((best[p][0], p) for p in near if found[p][0] + found[p][2] <= word
+                               and found[p][1] + found[p][2] <= place), default=(0, -1))
+        best.append((covered + length, before))
+        near.append(m)
+    out, used = [], set()
+    for m in sorted(range(len(found)), key=lambda m: (-best[m][0], m)):
+        covered, first, last = 0, m, m
+        while m >= 0 and m not in used:
+            used.add(m)
+            covered, first, m = covered + found[m][2], m, best[m][1]
+        if covered:
+            out.append((covered, found[first][0], found[last][0] + found[last][2] - 1))
+    return out
 
 
 def scan_rows(automaton: Automaton, data: np.ndarray, offsets: np.ndarray):

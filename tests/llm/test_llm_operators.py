@@ -182,6 +182,52 @@ def test_automaton_matching_statistics():
             assert length == best
 
 
+def license_labels(text):
+    import pyarrow as pa
+    automaton = licenses.Automaton(licenses.TEMPLATES, licenses.PHRASES)
+    _, found = licenses.scan_rows(automaton, *arrow_text.utf8(pa.array([text])))
+    return {automaton.names[t]: round(c, 2) for t, c, *_ in sorted(found.get(0, ((), ()))[1], key=lambda s: s[1])}
+
+
+def test_templates_that_share_words_do_not_hide_each_other():
+    got = license_labels("licensed under the terms of the GNU General Public License")
+    assert got["gpl"] == 0.71 and got["gpl-notice"] == 0.31
+    # A run of one template that another goes on for a word longer.
+    got = license_labels("it is licensed under the GNU General Public License as published")
+    assert got["gpl"] == 1.0
+    for name, text in licenses.TEMPLATES.items():
+        assert license_labels(f"so {text} then")[name] == 1.0
+
+
+def test_matches_per_template_against_brute_force(monkeypatch):
+    rng = random.Random(4)
+    for _ in range(200):
+        texts = {str(k): " ".join(rng.choice("abcd") for _ in range(rng.randint(4, 12))) for k in range(3)}
+        automaton = licenses.Automaton(texts, {"p": "a b c"})
+        number = {}
+        for t in [*texts.values(), "a b c"]:
+            for w in t.split():
+                number.setdefault(w, len(number))
+        query = [rng.choice(list(number)) for _ in range(25)]
+        got = {}
+        monkeypatch.setattr(licenses, "chains", lambda found: got.setdefault(len(got), sorted(found)) and [])
+        licenses.scan(automaton, [(0, [number[w] for w in query])])
+        want = []
+        for t in texts.values():
+            s = t.split()
+            size = [max(n for n in range(e + 1) if n == 0 or any(s[i:i + n] == query[e - n:e] for i in range(len(s))))
+                    for e in range(len(query) + 1)] + [0]
+            runs = [(e - size[e], size[e]) for e in range(1, len(query) + 1) if size[e] >= licenses.LONG and size[e + 1] <= size[e]]
+            want += [runs] if runs else []
+        assert sorted([(w, n) for w, _, n in f] for f in got.values()) == sorted(sorted(r) for r in want)
+
+
+def test_chains_cover_most():
+    # The short match far on in the template must not cut the chain in two.
+    assert licenses.chains([(0, 0, 5), (6, 20, 3), (10, 6, 6)]) == [(11, 0, 15), (3, 6, 8)]
+    assert licenses.chains([(0, 0, 5), (30, 6, 6)]) == [(6, 30, 35), (5, 0, 4)]
+
+
 def test_huffman_code_is_canonical_and_whole():
     rng = np.random.default_rng(1)
     for n, kinds in ((0, 5), (1, 5), (511, 3), (512, 40), (513, 1), (100_000, 30_000), (1024, 2)):
