@@ -4,12 +4,16 @@ Nodes of a document's graph are its tokens (between ASCII white space) with a di
 ``@``; all others are certainly outside. Edges join
 
 * neighbours in the text (nothing but white space between them),
-* repeated tokens, each with the next one that has the same letters and digits,
+* repeated tokens, each with the next one that has the same letters and digits (short ones
+  have a table of their own; octets must have the same dots too),
 * similar tokens, each with the next one of the same shape of at least ``SHAPE`` characters,
+* the tokens of neighbouring groups of digits, as in phones and cards, with those of the next
+  groups that have the same digits however grouped, or the same shape,
 
 so distant mentions share potentials and the graph grows with the tokens, not with pairs.
 Tokens inside base matches are fixed to their kind; the others get marginals by loopy
-sum-product message passing (``ROUNDS`` damped rounds over all edges at once). A token whose
+sum-product message passing (damped rounds over all edges at once until no message changes by
+``SETTLED``; where they do not settle, steps shrink after ``ROUNDS`` rounds). A token whose
 likeliest kind has ``CERTAIN`` or more becomes a span, joined with neighbours of that kind.
 
 The weights are trained here, by pseudo-likelihood, on a sample of at most about ``SAMPLE``
@@ -33,7 +37,9 @@ from pyspark.sql import functions as F
 from loomframe.llm.shared import only
 
 KINDS = ("email", "ip", "card", "phone")
-SHAPE, ROUNDS, CERTAIN = 8, 12, 0.95
+SHAPE, ROUNDS, SETTLED, CERTAIN = 8, 100, 1e-3, 0.95
+#: Digits of neighbouring groups that are linked: from a phone without area code to a card.
+GROUPED = (7, 19)
 SAMPLE, TOKENS = 3000, 100
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -136,26 +142,58 @@ def _shape(text: str) -> str:
     return re.sub("[a-z]+", "a", re.sub("[0-9]", "9", text.strip(_EDGE).lower()))
 
 
+def _same(text: str) -> str:
+    """What repeated tokens have in common."""
+    t = text.strip(_EDGE).lower()
+    if t.count(".") == 3 and not any(c.isalpha() for c in t):
+        return t
+    return "".join(c for c in t if c.isalnum() or c == "@")
+
+
+def _groups(tokens: list[Token]):
+    """(first, last, digits, shape) of neighbouring tokens of digits, two or more, or one."""
+    digits = ["" if "@" in t.text or any(c.isalpha() for c in t.text) else "".join(_DIGIT.findall(t.text))
+              for t in tokens]
+    for first, start in enumerate(digits):
+        joined, last = start, first
+        while joined and len(joined) <= GROUPED[1]:
+            if len(joined) >= GROUPED[0]:
+                yield first, last, joined, " ".join(_shape(t.text) for t in tokens[first:last + 1])
+            last += 1
+            if last == len(tokens) or not tokens[last].adjacent or not digits[last]:
+                break
+            joined += digits[last]
+
+
 def edges_of(tokens: list[Token]) -> list[np.ndarray]:
-    """Pairs of tokens for each edge type: neighbours, repeated, similar."""
+    """Pairs of tokens for each edge type: neighbours, repeated, similar, short repeated."""
     chain = [(k - 1, k) for k, t in enumerate(tokens) if t.adjacent]
-    repeated, similar, last_same, last_shape = [], [], {}, {}
+    repeated, similar, short = {}, {}, {}  # as sets in order
+
+    def link(last: dict, key: str, first: int, end: int, into: dict):
+        a, b = last.get(key, (0, first))
+        if b < first:
+            into.update(((min(a + k, b), min(first + k, end)), None) for k in range(max(b - a, end - first) + 1))
+        last[key] = first, end
+
+    last_same, last_shape, last_digits, last_groups = {}, {}, {}, {}
     for k, t in enumerate(tokens):
-        same = "".join(c for c in t.text.lower() if c.isalnum() or c == "@")
-        if len(same) >= SHAPE:
-            if same in last_same:
-                repeated.append((last_same[same], k))
-            last_same[same] = k
+        if same := _same(t.text):
+            link(last_same, same, k, k, repeated if len(same) >= GROUPED[0] else short)
         shape = _shape(t.text)
-        if len(shape) >= SHAPE and (shape.count("9") >= SHAPE or "@" in shape):
-            if shape in last_shape and (last_shape[shape], k) not in repeated[-1:]:
-                similar.append((last_shape[shape], k))
-            last_shape[shape] = k
-    return [np.array(e, np.int64).reshape(-1, 2) for e in (chain, repeated, similar)]
+        if len(shape) >= SHAPE:
+            link(last_shape, shape, k, k, similar)
+    for first, last, digits, shape in _groups(tokens):
+        link(last_digits, digits, first, last, repeated)
+        if first < last:
+            link(last_groups, shape, first, last, similar)
+    similar = [e for e in similar if e not in repeated and e not in short]
+    short = [e for e in short if e not in repeated]
+    return [np.array(list(e), np.int64).reshape(-1, 2) for e in (chain, repeated, similar, short)]
 
 
 #: Prior of the label tables: repeated and similar tokens agree unless training says otherwise.
-PRIOR = (0.0, 2.0, 1.0)
+PRIOR = (0.0, 2.0, 1.0, 0.5)
 
 
 class SkipChain:
@@ -177,13 +215,13 @@ class SkipChain:
         y = np.array([t.label for t in flat])
         labels = self.unary.shape[1]
         one_hot = np.eye(labels)[y]
-        edges, first = [[], [], []], 0
+        edges, first = [[] for _ in PRIOR], 0
         for document in documents:
             for kind, e in enumerate(edges_of(document)):
                 edges[kind].append(e + first)
             first += len(document)
-        around = np.zeros((3, len(y), labels))
-        for kind in range(3):
+        around = np.zeros((len(PRIOR), len(y), labels))
+        for kind in range(len(PRIOR)):
             a, b = np.concatenate(edges[kind]).T
             np.add.at(around[kind], a, one_hot[b])
             np.add.at(around[kind], b, one_hot[a])
@@ -195,7 +233,7 @@ class SkipChain:
         for step in range(1, steps + 1):
             seen = x * (rng.random(x.shape) >= drop)
             seen[:, 0] = 1
-            near = around * (rng.random((3, len(y), 1)) >= drop)
+            near = around * (rng.random((len(PRIOR), len(y), 1)) >= drop)
             score = seen @ self.unary + np.einsum("knl,klm->nm", near, self.pair)
             error = (_softmax(score) - one_hot) * weight[:, None]
             table = np.einsum("knl,nm->klm", near, error)
@@ -216,18 +254,24 @@ class SkipChain:
         pairs = np.concatenate(types)
         if not len(pairs):
             return _softmax(unary)
-        kind = np.repeat(np.arange(3), [len(e) for e in types])
+        kind = np.repeat(np.arange(len(PRIOR)), [len(e) for e in types])
         source, target = np.concatenate([pairs, pairs[:, ::-1]]).T
         table = self.pair[np.concatenate([kind, kind])]
         back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
         message = np.zeros((len(source), unary.shape[1]))
-        for _ in range(ROUNDS):
+        step, change, done = 0.5, SETTLED, 0
+        while change >= SETTLED and step >= SETTLED:
             total = unary.copy()
             np.add.at(total, target, message)
             out = (total[source] - message[back])[:, :, None] + table
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-            message = 0.5 * message + 0.5 * (new - new.max(axis=1, keepdims=True))
+            new -= new.max(axis=1, keepdims=True)
+            change = np.abs(new - message).max()
+            message += step * (new - message)
+            done += 1
+            if done > ROUNDS:
+                step *= 0.98
         total = unary.copy()
         np.add.at(total, target, message)
         return _softmax(total)

@@ -480,6 +480,29 @@ def test_personal_data(spark, small, docs, empty):
     assert masked.columns == docs.columns and masked.count() == docs.count()
 
 
+def linked(text, kind):
+    tokens = pii.tokens_of(text, [])
+    return {(tokens[a].text, tokens[b].text) for a, b in pii.edges_of(tokens)[kind]}
+
+
+def test_grouped_and_short_mentions_are_linked():
+    phones = linked("+1 (988) 555-2485 first, (988) 555-2485 then, 988-555-2485 last", 1)
+    assert {("(988)", "(988)"), ("555-2485", "555-2485"), ("(988)", "988-555-2485"), ("555-2485", "988-555-2485")} <= phones
+    assert {("4111", "4111111111111111"), ("1111", "4111111111111111")} <= linked("card 4111 1111 1111 1111 - or 4111111111111111", 1)
+    assert linked("555-2485 or 555-2485", 1) == {("555-2485", "555-2485")}
+    assert linked("10.0.0.1 not 10001 but 10.0.0.1", 1) == {("10.0.0.1", "10.0.0.1")}
+    assert linked("on 7, off 7", 3) == {("7,", "7")} and linked("10.0.0.1 or 10.0.0.2", 2) == {("10.0.0.1", "10.0.0.2")}
+    assert linked("(988) 555-2485 or (212) 555-0199", 2) >= {("(988)", "(212)"), ("555-2485", "555-0199")}
+
+
+def test_a_base_match_speaks_for_all_its_repeats():
+    field = pii.SkipChain()
+    field.pair = np.stack([p * np.eye(5) for p in (1.0, 9.0, 9.0, 9.0)])
+    said = "call +1 (988) 555-2485 first; " + "then dial (988) 555-2485 again; " * 60
+    added = field.added(said, pii.base_spans(said))
+    assert [said[a:b] for k, a, b in added if k == 3] == ["988) 555-2485"] * 60
+
+
 def test_words_of_bytes():
     rng = random.Random(3)
     import pyarrow as pa
