@@ -15,6 +15,8 @@ Tokens inside base matches are fixed to their kind; the others get marginals by
 sum-product message passing (damped rounds over all edges at once until no message changes by
 ``SETTLED``; where they do not settle, steps shrink after ``ROUNDS`` rounds). A token whose
 likeliest kind has ``CERTAIN`` or more becomes a span, joined with neighbours of that kind.
+Addresses that the base pattern does not read (dots in brackets, octets parted by white space,
+IPv6) have the features of addresses, and training leaves them out, as it does not know them.
 
 The weights are trained here, by pseudo-likelihood, on a sample of at most about ``SAMPLE``
 documents with such tokens (``TOKENS`` tokens of each), labelled by the base patterns.
@@ -26,6 +28,7 @@ Null text has no spans. Repeated rows get the same spans.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from dataclasses import dataclass
 
@@ -49,7 +52,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_NUMBER = re.compile(r"[0-9]+")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _WORD_BEFORE = re.compile(r"([^\x20\x09-\x0D]{1,24})[\x20\x09-\x0D]+\Z")
 _EDGE = " \t.,;:!?\"'()[]{}<>"
 _CUES = {"tel", "phone", "call", "fax", "mobile", "mail", "email", "contact", "card", "visa", "ip", "host", "server"}
@@ -89,6 +94,42 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+_BRACKETED = re.compile(r"[\[({] ?(?:\.|dot) ?[\])}]", re.IGNORECASE)
+_DOT = r"[ \t]*+(?:\.|[\[({] ?(?:\.|dot) ?[\])}])[ \t]*+"
+_SPELLED = re.compile(rf"(?<![0-9])[0-9]++(?:{_DOT}[0-9]++){{3}}", re.IGNORECASE)
+_IP6 = re.compile(r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]*+:[0-9A-Fa-f]*+:)[0-9A-Fa-f:]++[0-9.]*+(?![0-9A-Za-z:])")
+
+
+def octets_of(text: str) -> list[str]:
+    """The four parts of an IPv4 address in any spelling, or none."""
+    t = _BRACKETED.sub(".", text)
+    parts = t.replace(".", " ").split()
+    whole = len(parts) == 4 and t.count(".") in (0, 3) and all(
+        p.isascii() and p.isdigit() and len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) < 256 for p in parts)
+    return parts if whole else []
+
+
+def is_ip6(text: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(text))
+    except ValueError:
+        return False
+
+
+def spelled_addresses(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, how) of addresses that are no base matches; how as in ``Token.spelled``."""
+    base = {(a, b) for a, b, k in spans if k == 1}
+    found = []
+    if "." in text or "dot" in text.lower():
+        found = [(*m.span(), 1 if _SPACE.search(m[0]) else 2) for m in _SPELLED.finditer(text)
+                 if m.span() not in base and octets_of(m[0])]
+    if text.count(":") > 1:
+        for m in _IP6.finditer(text):
+            if is_ip6(t := m[0].rstrip(".")):
+                found.append((m.start(), m.start() + len(t), 2))
+    return sorted(found)
+
+
 @dataclass
 class Token:
     start: int
@@ -97,11 +138,15 @@ class Token:
     before: str
     adjacent: bool  # only white space since the token before
     label: int  # kind + 1 inside a base match, else 0
+    #: Touches an address in another spelling: 2, or 1 where white space parts it; 0 if not.
+    spelled: int = 0
+    inside: tuple[int, int] | None = None  # that address in the text
 
 
 def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[Token]:
     out: list[Token] = []
     spans = sorted((a, b, k) for k, a, b in base)
+    others, other = spelled_addresses(text, spans), 0
     nearest, last_end = 0, -1
     for m in _TOKEN.finditer(text):
         while nearest < len(spans) and spans[nearest][1] <= m.start():
@@ -113,8 +158,12 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[Token]:
                 break
             k += 1
         before = _WORD_BEFORE.search(text, max(0, m.start() - 32), m.start())
-        out.append(Token(m.start(), m.end(), m[0][:200], before[1] if before else "",
-                         last_end >= 0 and not text[last_end:m.start()].strip(), label))
+        while other < len(others) and others[other][1] <= m.start():
+            other += 1
+        a, b, how = others[other] if other < len(others) and others[other][0] < m.end() else (-1, -1, 0)
+        adjacent = last_end >= 0 and (not text[last_end:m.start()].strip() or 0 <= a < last_end)
+        out.append(Token(m.start(), m.end(), m[0][:200], before[1] if before else "", adjacent, label,
+                         how, (a, b) if how else None))
         last_end = m.end()
     return out
 
@@ -131,11 +180,15 @@ def features(token: Token) -> list[bool]:
     n, letters = len(digits), sum(c.isalpha() for c in t)
     parts = t.split(".")
     octets = len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts)
+    cue = token.before.strip(_EDGE).lower() in _CUES
+    if token.spelled and not token.label:  # what else it is made of says nothing more
+        return [name in ("one", "octets") or (name == "octets_small" and token.spelled > 1) or (name == "cue" and cue)
+                for name in FEATURES]
     return [True, "@" in t, "." in t.rpartition("@")[2] and "@" in t, 1 <= n <= 3, 4 <= n <= 6, 7 <= n <= 9,
             10 <= n <= 15, 16 <= n <= 19, n >= 20, octets, octets and all(len(p) <= 3 for p in parts), letters > 0,
             2 * letters > len(t), "+" in token.text, "(" in token.text or ")" in token.text, "-" in t, "=" in t,
             '"' in token.text or "'" in token.text, 16 <= n <= 19 and luhn(digits),
-            token.before.strip(_EDGE).lower() in _CUES, n > 0 and letters == 0 and "@" not in t]
+            cue, n > 0 and letters == 0 and "@" not in t]
 
 
 def _shape(text: str) -> str:
@@ -144,7 +197,7 @@ def _shape(text: str) -> str:
 
 def _same(text: str) -> str:
     """What repeated tokens have in common."""
-    t = text.strip(_EDGE).lower()
+    t = _BRACKETED.sub(".", text.strip(_EDGE).lower())
     if t.count(".") == 3 and not any(c.isalpha() for c in t):
         return t
     return "".join(c for c in t if c.isalnum() or c == "@")
@@ -180,6 +233,12 @@ def edges_of(tokens: list[Token]) -> list[np.ndarray]:
     for k, t in enumerate(tokens):
         if same := _same(t.text):
             link(last_same, same, k, k, repeated if len(same) >= GROUPED[0] else short)
+        first, parts = k, []
+        while t.spelled == 1 and first >= 0 and tokens[first].spelled == 1 and len(parts) < 4:
+            parts = _NUMBER.findall(tokens[first].text) + parts
+            first -= 1
+        if len(parts) == 4:  # octets parted by white space
+            link(last_same, ".".join(parts), first + 1, k, repeated)
         shape = _shape(t.text)
         if len(shape) >= SHAPE:
             link(last_shape, shape, k, k, similar)
@@ -214,7 +273,8 @@ class SkipChain:
         x = np.array([features(t) for t in flat], float)
         y = np.array([t.label for t in flat])
         labels = self.unary.shape[1]
-        one_hot = np.eye(labels)[y]
+        known = np.array([t.label > 0 or not t.spelled for t in flat])[:, None]
+        one_hot = np.eye(labels)[y] * known
         edges, first = [[] for _ in PRIOR], 0
         for document in documents:
             for kind, e in enumerate(edges_of(document)):
@@ -227,8 +287,8 @@ class SkipChain:
             np.add.at(around[kind], b, one_hot[a])
         rng = np.random.default_rng(seed)
         # Rare kinds count as much as common ones.
-        weight = 1 / np.sqrt(np.maximum(np.bincount(y, minlength=labels), 1))[y]
-        weight = weight / weight.sum()
+        weight = 1 / np.sqrt(np.maximum(np.bincount(y, minlength=labels), 1))[y] * known[:, 0]
+        weight = weight / max(weight.sum(), 1e-300)
         mean, square = [0.0, 0.0], [0.0, 0.0]
         for step in range(1, steps + 1):
             seen = x * (rng.random(x.shape) >= drop)
@@ -291,6 +351,8 @@ class SkipChain:
             whole = text[t.start:t.end]
             start = t.start + len(whole) - len(whole.lstrip(_EDGE))
             end = t.end - len(whole) + len(whole.rstrip(_EDGE))
+            if label == 2 and t.inside:
+                start, end = max(start, t.inside[0]), min(end, t.inside[1])
             if start >= end:
                 continue
             if out and last == k - 1 and t.adjacent and out[-1][0] == label - 1:
@@ -308,9 +370,20 @@ def plausible(kind: int, text: str) -> bool:
         name, _, host = text.partition("@")
         return bool(name and host)
     if kind == 1:
-        parts = text.split(":")[0].split(".")
-        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)
-    return 13 <= digits <= 19 if kind == 2 else 9 <= digits <= 15
+        return bool(octets_of(text.split(":")[0])) or is_ip6(text)
+    if kind == 2:
+        return 13 <= digits <= 19
+    return 9 <= digits <= 15 or digits == 8 and ("+" in text or not dated("".join(_DIGIT.findall(text))))
+
+
+def dated(digits: str) -> bool:
+    """Do eight digits read as a date or as two years?"""
+    def year(y: str) -> bool:
+        return "1500" <= y < "2100"
+    def day(a: str, b: str) -> bool:
+        return "01" <= min(a, b) <= "12" and "01" <= max(a, b) <= "31"
+    head, tail = digits[:4], digits[4:]
+    return year(head) and (year(tail) or day(tail[:2], tail[2:])) or year(tail) and day(head[:2], head[2:])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -329,13 +402,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, per_doc: int = TOKENS) -> SkipCha
             rows = []
             for text in batch.column(0).to_pylist():
                 tokens = tokens_of(text, base_spans(text))[:per_doc]
-                rows.append([[t.text, t.before, str(int(t.adjacent)), str(t.label)] for t in tokens])
+                rows.append([[t.text, t.before, str(int(t.adjacent)), str(t.label), str(t.spelled)] for t in tokens])
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.list_(pa.string())))], names=["tokens"])
 
     rows = able.filter(draw < share).limit(2 * sample).select("text").mapInArrow(
         run, "tokens array<array<string>>").collect()
     documents = sorted([tuple(tuple(t) for t in r[0]) for r in rows])
-    return SkipChain().train([[Token(0, 0, t, b, a == "1", int(y)) for t, b, a, y in d] for d in documents])
+    return SkipChain().train([[Token(0, 0, t, b, a == "1", int(y), int(s)) for t, b, a, y, s in d] for d in documents])
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:

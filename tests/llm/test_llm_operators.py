@@ -503,6 +503,26 @@ def test_a_base_match_speaks_for_all_its_repeats():
     assert [said[a:b] for k, a, b in added if k == 3] == ["988) 555-2485"] * 60
 
 
+@pytest.fixture(scope="module")
+def field(small):
+    return pii.fit(small)
+
+
+def test_one_added_span_of_each_kind(field):
+    def added(said):
+        return [(pii.KINDS[k], said[a:b]) for k, a, b in field.added(said, pii.base_spans(said))]
+    for spelled in ("10[.]0[.]0[.]1", "192.168.0[.]1", "10(.)0(.)0(.)1", "10[dot]0[dot]0[dot]1", "2001:db8::1", "fe80::1"):
+        assert added(f"the server {spelled} is down, and server {spelled}.") == [("ip", spelled)] * 2
+        assert pii.plausible(1, spelled)
+    assert ("ip", "10[.]0[.]0[.]1") in added("see http://10[.]0[.]0[.]1/a there")
+    assert ("ip", "10 . 0 . 0 . 1") in added("server 10.0.0.1 up, server 10 . 0 . 0 . 1 up, server 10.0.0.1 up")
+    assert added("call +12345678 or 12345678 now") == [("phone", "12345678")]
+    assert added("card 4111.1111.1111.1111 now") == [("card", "4111.1111.1111.1111")]
+    assert added("mail someone@b.example and some|one@b|example now")[-1:] == [("email", "some|one@b|example")]
+    for other in ("from 1999-2000 on", "on 2024-01-31 and 31.01.2024", "at 10:20:30", "1. 2. 3. 4. steps", "version 4.0.1", "std::1"):
+        assert added(other) == []
+
+
 def test_words_of_bytes():
     rng = random.Random(3)
     import pyarrow as pa
