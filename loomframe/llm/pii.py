@@ -1,7 +1,9 @@
 """Personal data: base patterns, and a skip-chain conditional random field that adds to them.
 
-Nodes of a document's graph are its tokens (between ASCII white space) with a digit or an
-``@``; all others are certainly outside. Edges join
+Nodes of a document's graph are its tokens (between ASCII white space; runs of more than
+``LONG_RUN`` characters are parted further, at commas, brackets, quotes, other signs that part
+fields, and all that is not ASCII) with a digit or an ``@``; all others are certainly outside.
+Tokens are looked at whole, however long. Edges join
 
 * neighbours in the text (nothing but white space between them),
 * repeated tokens, each with the next one that has the same letters and digits (short ones
@@ -31,6 +33,7 @@ import hashlib
 import ipaddress
 import re
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,7 @@ KINDS = ("email", "ip", "card", "phone")
 SHAPE, ROUNDS, SETTLED, CERTAIN = 8, 100, 1e-3, 0.95
 #: Digits of neighbouring groups that are linked: from a phone without area code to a card.
 GROUPED = (7, 19)
+LONG_RUN = 200
 SAMPLE, TOKENS = 3000, 100
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -53,7 +57,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMBER = re.compile(r"[0-9]+")
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_RUN = re.compile(r"[^\x20\x09-\x0D]++")
+_PIECE = re.compile(r"""[^\x20\x09-\x0D,;|&=<>{}\[\]()"'`\x80-\U0010FFFF]++""")
+_WANTED = re.compile(r"[0-9@]")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _WORD_BEFORE = re.compile(r"([^\x20\x09-\x0D]{1,24})[\x20\x09-\x0D]+\Z")
 _EDGE = " \t.,;:!?\"'()[]{}<>"
@@ -130,6 +136,15 @@ def spelled_addresses(text: str, spans: list[tuple[int, int, int]]) -> list[tupl
     return sorted(found)
 
 
+class Seen(NamedTuple):
+    """What the field takes from a token; texts that may be long are hashed."""
+    features: tuple[bool, ...]
+    same: str  # what repeated tokens have in common
+    shape: str
+    digits: str  # of a token without letters; never more than tell that it is too long to be grouped
+    parts: str  # octets, if white space parts the address
+
+
 @dataclass
 class Token:
     start: int
@@ -141,6 +156,34 @@ class Token:
     #: Touches an address in another spelling: 2, or 1 where white space parts it; 0 if not.
     spelled: int = 0
     inside: tuple[int, int] | None = None  # that address in the text
+    kept: Seen | None = None
+
+    @property
+    def seen(self) -> Seen:
+        if self.kept is None:
+            t = self.text
+            digits = "" if "@" in t or any(c.isalpha() for c in t) else "".join(_DIGIT.findall(t))
+            self.kept = Seen(tuple(features(self)), _short(_same(t)), _short(_shape(t)), digits[:GROUPED[1] + 1],
+                             ".".join(_NUMBER.findall(t)) if self.spelled == 1 else "")
+        return self.kept
+
+
+def _short(key: str) -> str:
+    return key if len(key) <= 64 else hashlib.sha256(key.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _pieces(text: str):
+    """(start, end, first piece of a run) of the tokens."""
+    for run in _RUN.finditer(text):
+        if run.end() - run.start() <= LONG_RUN:
+            if _WANTED.search(run[0]):
+                yield *run.span(), True
+            continue
+        first = True
+        for m in _PIECE.finditer(text, *run.span()):
+            if _WANTED.search(m[0]):
+                yield *m.span(), first
+                first = False
 
 
 def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[Token]:
@@ -148,23 +191,24 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[Token]:
     spans = sorted((a, b, k) for k, a, b in base)
     others, other = spelled_addresses(text, spans), 0
     nearest, last_end = 0, -1
-    for m in _TOKEN.finditer(text):
-        while nearest < len(spans) and spans[nearest][1] <= m.start():
+    for start, end, first in _pieces(text):
+        while nearest < len(spans) and spans[nearest][1] <= start:
             nearest += 1
         label, k = 0, nearest
-        while k < len(spans) and spans[k][0] < m.end():
-            if spans[k][1] > m.start():
+        while k < len(spans) and spans[k][0] < end:
+            if spans[k][1] > start:
                 label = spans[k][2] + 1
                 break
             k += 1
-        before = _WORD_BEFORE.search(text, max(0, m.start() - 32), m.start())
-        while other < len(others) and others[other][1] <= m.start():
+        before = _WORD_BEFORE.search(text, max(0, start - 32), start)
+        while other < len(others) and others[other][1] <= start:
             other += 1
-        a, b, how = others[other] if other < len(others) and others[other][0] < m.end() else (-1, -1, 0)
-        adjacent = last_end >= 0 and (not text[last_end:m.start()].strip() or 0 <= a < last_end)
-        out.append(Token(m.start(), m.end(), m[0][:200], before[1] if before else "", adjacent, label,
+        a, b, how = others[other] if other < len(others) and others[other][0] < end else (-1, -1, 0)
+        gap = text[last_end:start].strip()
+        adjacent = last_end >= 0 and (not gap or 0 <= a < last_end or not first and not gap.strip("()"))
+        out.append(Token(start, end, text[start:end], before[1] if before else "", adjacent, label,
                          how, (a, b) if how else None))
-        last_end = m.end()
+        last_end = end
     return out
 
 
@@ -205,13 +249,12 @@ def _same(text: str) -> str:
 
 def _groups(tokens: list[Token]):
     """(first, last, digits, shape) of neighbouring tokens of digits, two or more, or one."""
-    digits = ["" if "@" in t.text or any(c.isalpha() for c in t.text) else "".join(_DIGIT.findall(t.text))
-              for t in tokens]
+    digits = [t.seen.digits for t in tokens]
     for first, start in enumerate(digits):
         joined, last = start, first
         while joined and len(joined) <= GROUPED[1]:
             if len(joined) >= GROUPED[0]:
-                yield first, last, joined, " ".join(_shape(t.text) for t in tokens[first:last + 1])
+                yield first, last, joined, " ".join(t.seen.shape for t in tokens[first:last + 1])
             last += 1
             if last == len(tokens) or not tokens[last].adjacent or not digits[last]:
                 break
@@ -231,15 +274,15 @@ def edges_of(tokens: list[Token]) -> list[np.ndarray]:
 
     last_same, last_shape, last_digits, last_groups = {}, {}, {}, {}
     for k, t in enumerate(tokens):
-        if same := _same(t.text):
+        if same := t.seen.same:
             link(last_same, same, k, k, repeated if len(same) >= GROUPED[0] else short)
         first, parts = k, []
         while t.spelled == 1 and first >= 0 and tokens[first].spelled == 1 and len(parts) < 4:
-            parts = _NUMBER.findall(tokens[first].text) + parts
+            parts = tokens[first].seen.parts.split(".") + parts
             first -= 1
         if len(parts) == 4:  # octets parted by white space
             link(last_same, ".".join(parts), first + 1, k, repeated)
-        shape = _shape(t.text)
+        shape = t.seen.shape
         if len(shape) >= SHAPE:
             link(last_shape, shape, k, k, similar)
     for first, last, digits, shape in _groups(tokens):
@@ -270,7 +313,7 @@ class SkipChain:
         flat = [t for d in documents for t in d]
         if not flat:
             return self
-        x = np.array([features(t) for t in flat], float)
+        x = np.array([t.seen.features for t in flat], float)
         y = np.array([t.label for t in flat])
         labels = self.unary.shape[1]
         known = np.array([t.label > 0 or not t.spelled for t in flat])[:, None]
@@ -306,7 +349,7 @@ class SkipChain:
 
     def marginals(self, tokens: list[Token]) -> np.ndarray:
         """Label probabilities of each token by loopy message passing; base labels are fixed."""
-        unary = np.array([features(t) for t in tokens], float) @ self.unary
+        unary = np.array([t.seen.features for t in tokens], float) @ self.unary
         fixed = np.array([t.label for t in tokens])
         unary[fixed > 0] = -50
         unary[fixed > 0, fixed[fixed > 0]] = 0
@@ -402,13 +445,16 @@ def fit(docs: DataFrame, sample: int = SAMPLE, per_doc: int = TOKENS) -> SkipCha
             rows = []
             for text in batch.column(0).to_pylist():
                 tokens = tokens_of(text, base_spans(text))[:per_doc]
-                rows.append([[t.text, t.before, str(int(t.adjacent)), str(t.label), str(t.spelled)] for t in tokens])
+                rows.append([[str(int(t.adjacent)), str(t.label), str(t.spelled),
+                              "".join("01"[f] for f in t.seen.features), *t.seen[1:]] for t in tokens])
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.list_(pa.string())))], names=["tokens"])
 
     rows = able.filter(draw < share).limit(2 * sample).select("text").mapInArrow(
         run, "tokens array<array<string>>").collect()
     documents = sorted([tuple(tuple(t) for t in r[0]) for r in rows])
-    return SkipChain().train([[Token(0, 0, t, b, a == "1", int(y), int(s)) for t, b, a, y, s in d] for d in documents])
+    return SkipChain().train([[
+        Token(0, 0, "", "", a == "1", int(y), int(s), None, Seen(tuple(b == "1" for b in bits), *keys))
+        for a, y, s, bits, *keys in d] for d in documents])
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:

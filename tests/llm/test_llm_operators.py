@@ -523,6 +523,22 @@ def test_one_added_span_of_each_kind(field):
         assert added(other) == []
 
 
+def test_long_runs_are_seen_whole(field):
+    def added(said):
+        return [(pii.KINDS[k], said[a:b]) for k, a, b in field.added(said, pii.base_spans(said))]
+    filler = '"name":"somebody","place":"elsewhere",' * 20
+    assert added("{" + filler + '"tel":"988-555-2485","x":"+1 (988) 555-2485"}') == [("phone", "988-555-2485")]
+    assert [t.text for t in pii.tokens_of("電話" * 200 + "988-555-2485" + "番号" * 50, [])] == ["988-555-2485"]
+    grouped = pii.tokens_of("x," * 150 + "(988)555-2485,y and +1 (988) 555-2485", [])
+    assert [(t.text, t.adjacent) for t in grouped[:2]] == [("988", False), ("555-2485", True)]
+    # Different tokens with the same beginning; an at behind it.
+    long = "a1" * 150
+    assert linked(f"{long}b {long}c", 1) == set() and linked(f"{long}b {long}b", 1) == {(f"{long}b", f"{long}b")}
+    token = pii.tokens_of(f"{long}@b.example", [])[0]
+    assert dict(zip(pii.FEATURES, token.seen.features))["at_dot"]
+    assert len(pii.tokens_of("x" * 2_000_000, [])) == 0  # in linear time
+
+
 def test_words_of_bytes():
     rng = random.Random(3)
     import pyarrow as pa
