@@ -7,6 +7,7 @@ from loomframe.llm import (
     huffman,
     language,
     licenses,
+    manifest,
     near_copies,
     packing,
     pii,
@@ -68,3 +69,8 @@ def op6_warc_round_trip(spark, sf_dir):
 @plan.add()
 def op10_personal_data(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@plan.add(manifest.SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    return manifest.verify(table(spark, sf_dir, "documents"))
