@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from loomframe.llm import (
+    centroids,
     decontaminate,
     huffman,
     language,
@@ -74,3 +75,8 @@ def op10_personal_data(spark, sf_dir):
 @plan.add(manifest.SQL)
 def op11_merkle_manifest(spark, sf_dir):
     return manifest.verify(table(spark, sf_dir, "documents"))
+
+
+@plan.add(centroids.SQL)
+def op13_centroid_clusters(spark, sf_dir):
+    return centroids.report(table(spark, sf_dir, "embeddings"))
