@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.places import join_pieces, sorted_parts, unrolled
+from loomframe.llm.places import join_pieces, ranked, sorted_parts, unrolled
 from loomframe.llm.shared import only, stored
 
 FANOUT = 16
@@ -128,11 +128,8 @@ def manifest(rows: DataFrame, group: str, order: list[str], fanout: int = FANOUT
     rest = [c for c in kept if c != group and c not in order]
     ranged, pieces = sorted_parts(unrolled(rows, *kept), [group], [*order, *rest, "copy"])
     groups = pieces.groupBy(group).agg(F.max("size").alias("leaves"))
-    # The groups are numbered like rows, as a single group of their own.
-    listed, heads = sorted_parts(groups.withColumn("all", F.lit(0)), ["all"], [group])
-    numbered = stored(join_pieces(listed, heads, ["all"]).select(
-        F.col(group).alias("_group"), "leaves", F.col("size").alias("groups"),
-        (F.col("at") + F.col("shift")).alias("tree")))
+    numbered = stored(ranked(groups, group).select(
+        F.col(group).alias("_group"), "leaves", F.col("places").alias("groups"), F.col("place").alias("tree")))
     largest, count = numbered.agg(F.max("leaves"), F.max("groups")).first()
     if not count:
         empty = rows.select(*kept, F.lit("").alias("top"), F.array().cast(_PATH).alias("path")).filter("false")

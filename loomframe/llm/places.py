@@ -53,3 +53,10 @@ def join_pieces(ranged: DataFrame, pieces: DataFrame, group: list[str]) -> DataF
     other = pieces.withColumnsRenamed({c: f"_{c}" for c in ["part", *group]})
     same = [ranged["part"] == other["_part"], *[ranged[c].eqNullSafe(other[f"_{c}"]) for c in group]]
     return ranged.join(other, reduce(lambda a, b: a & b, same)).drop("_part", *[f"_{c}" for c in group])
+
+
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """All rows as one group: with ``place`` and ``places``, the number of rows."""
+    ranged, pieces = sorted_parts(df.withColumn("_all", F.lit(0)), ["_all"], list(order))
+    joined = join_pieces(ranged, pieces, ["_all"])
+    return joined.select(*df.columns, (F.col("at") + F.col("shift")).alias("place"), F.col("size").alias("places"))

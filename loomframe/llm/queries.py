@@ -9,6 +9,7 @@ from loomframe.llm import (
     language,
     licenses,
     manifest,
+    mixing,
     near_copies,
     packing,
     pii,
@@ -80,3 +81,8 @@ def op11_merkle_manifest(spark, sf_dir):
 @plan.add(centroids.SQL)
 def op13_centroid_clusters(spark, sf_dir):
     return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+@plan.add()
+def op12_mixture(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
