@@ -181,7 +181,7 @@ WITH RECURSIVE d AS (SELECT doc_id, source, concat(
     list_transform(range(8 * length(doc_id::VARCHAR)), lambda j: CASE WHEN j % 8 = 0
         THEN ascii(substr(doc_id::VARCHAR, (j // 8 + 1)::INT, 1)) ELSE 0 END::BIGINT) AS bits FROM documents),
 e AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
-    CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, bits), lambda c, b:
+    CASE WHEN doc_id IS NOT NULL AND xor(list_reduce(list_prepend(4294967295::BIGINT, bits), lambda c, b:
         xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 5 = 0
         THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS changed FROM d),
 l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
