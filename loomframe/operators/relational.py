@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from loomframe.functions.columns import mapped
 from loomframe.operators.joins import skew_join, union_all
-from loomframe.operators.ordered import Ordered, row_number, run_sum, whole_sum
+from loomframe.operators.ordered import Ordered, row_number, run_sum
+from loomframe.operators.quantiles import column_summary, exact_quantiles, unpivot  # noqa: F401
 from loomframe.session import stored
 
 # -- projections and filters --------------------------------------------------
@@ -147,45 +148,12 @@ def row_weights(df: DataFrame, label: str) -> DataFrame:
     return enrich(df, class_weights(df, label), [label], ["weight"])
 
 
-def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form ``(keep..., column, value)`` of numeric columns."""
-    return df.unpivot(list(keep), [F.col(c).cast("double").alias(c) for c in cols],
-                      "column", "value") if cols else df
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float],
-                    by: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolated quantiles per (group, column), long form.
-
-    Equal values collapse to counts, running counts give each value its
-    positions, and only the two values around each wanted position are kept;
-    no group is ever held in one aggregation buffer.
-    """
-    keys = [*by, "column"]
-    values = unpivot(df, cols, by).filter(F.col("value").isNotNull())
-    counts = stored(values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")))
-    placed = Ordered(counts, keys, ["value"]).scan(
-        _upto=run_sum(F.col("_n")), _total=whole_sum(F.col("_n")))
-    aggs, out = [F.max("_total").alias("count")], []
-    for name, p in probs.items():
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        aggs += [F.min(F.when(F.col("_upto") > F.floor(spot), F.col("value"))).alias(f"_lo_{name}"),
-                 F.min(F.when(F.col("_upto") > F.ceil(spot), F.col("value"))).alias(f"_hi_{name}")]
-        at = (F.col("count") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
-    return placed.groupBy(*keys).agg(*aggs).select(*keys, "count", *out)
-
-
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles and max, one row per column."""
-    moments = unpivot(df, cols).groupBy("column").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    return moments.join(exact_quantiles(df, cols, QUARTILES), "column").select(
-        "column", "count", "mean", "std", *QUARTILES)
+    return column_summary(df, cols, QUARTILES).select("column", "count", "mean", "std", *QUARTILES)
 
 
 def box_stats(df: DataFrame, group: Sequence[str], cols: Sequence[str],
@@ -195,9 +163,7 @@ def box_stats(df: DataFrame, group: Sequence[str], cols: Sequence[str],
     if normalise:
         top = df.agg(*[F.max(c).alias(c) for c in cols]).first()
         df = df.withColumns({c: F.try_divide(F.col(c), F.lit(top[c])) for c in cols})
-    means = unpivot(df, cols, group).groupBy(*group, "column").agg(F.avg("value").alias("mean"))
-    return means.join(exact_quantiles(df, cols, QUARTILES, group), [*group, "column"]).select(
-        *group, "column", *QUARTILES, "mean")
+    return column_summary(df, cols, QUARTILES, group).select(*group, "column", *QUARTILES, "mean")
 
 
 def run_band(df: DataFrame, step: str, value: str, z: float = 2.576) -> DataFrame:
