@@ -44,16 +44,23 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
 
 
-def _positions(probs: Mapping[str, float], total: Column) -> list[Column]:
-    spots = [(total - 1) * F.lit(float(p)) for p in probs.values()]
-    return [f(s).cast("long") for s in spots for f in (F.floor, F.ceil)]
+def _spots(probs: Sequence[float], total: Column) -> Column:
+    """Positions (from 0, not whole) of the quantiles among ``total`` values."""
+    return F.transform(F.expr(f"array({', '.join(f'{float(p)!r}D' for p in probs)})"), lambda p: (total - 1) * p)
 
 
-def column_summary(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float],
-                   by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, sample std and linear-interpolated quantiles per (group, column).
+def _ranks(probs: Sequence[float], total: Column, above: bool) -> Column:
+    spots = _spots(probs, total)
+    below = F.transform(spots, lambda s: F.floor(s))
+    return F.concat(below, F.transform(spots, lambda s: F.ceil(s))) if above else below
 
-    Nulls are left out; a column without values in a group has no row there.
+
+def _selected(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str],
+              above: bool = True) -> DataFrame:
+    """The values at the quantiles' positions (and, with ``above``, at the next ones).
+
+    One row per value: how many values lie before it, how often it occurs, and the whole
+    column's count, mean and squared deviations.
     """
     keys = [*by, "column"]
     values = unpivot(df, cols, by).filter(F.col("value").isNotNull()).withColumn("_code", code(F.col("value")))
@@ -70,7 +77,7 @@ def column_summary(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float
         F.sum(F.col("_n") * (F.col("_var") + F.pow(F.col("_sum") / F.col("_n") - mean, F.lit(2.0)))).over(whole).alias("_m2"))
 
     def holding(buckets: DataFrame) -> DataFrame:
-        ranks = F.array(*_positions(probs, F.col("_total")))
+        ranks = _ranks(probs, F.col("_total"), above)
         return buckets.filter(F.exists(ranks, lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_n"))))
 
     known = stored(holding(placed))
@@ -91,12 +98,23 @@ def column_summary(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float
         known = stored(known.filter(~open_).unionByName(holding(finer.select(known.columns))))
         rows, buckets = known.filter(open_).agg(F.sum("_n"), F.count(F.lit(1))).first()
 
+    return known.withColumnRenamed("_lo", "_value").drop("_hi", "_code")
+
+
+def column_summary(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float],
+                   by: Sequence[str] = ()) -> DataFrame:
+    """count, mean, sample std and linear-interpolated quantiles per (group, column).
+
+    Nulls are left out; a column without values in a group has no row there.
+    """
+    keys = [*by, "column"]
+    known = _selected(df, cols, list(probs.values()), by)
     aggs, out = [], []
-    positions = _positions(probs, F.col("_total"))
-    for i, (name, p) in enumerate(probs.items()):
-        for side, rank in (("lo", positions[2 * i]), ("hi", positions[2 * i + 1])):
+    for name, p in probs.items():
+        spot = (F.col("_total") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
             here = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
-            aggs.append(F.max(F.when(here, F.col("_lo"))).alias(f"_{side}_{name}"))
+            aggs.append(F.max(F.when(here, F.col("_value"))).alias(f"_{side}_{name}"))
         at = (F.col("count") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (at - F.floor(at))).alias(name))
@@ -106,6 +124,12 @@ def column_summary(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float
         *keys, "count", "mean", F.when(n > 1, F.sqrt(F.col("_m2") / (n - 1))).alias("std"), *out)
 
 
+def cut_values(df: DataFrame, cols: Sequence[str], parts: int) -> DataFrame:
+    """column, value: the values at every ``1 / parts`` of each column's rows, each once."""
+    probs = [k / parts for k in range(1, parts)]
+    return _selected(df, cols, probs, [], above=False).select("column", F.col("_value").alias("value")).distinct()
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float],
                     by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles per (group, column), long form."""

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomframe.operators import distributions, quantiles
+from loomframe.operators import boosting, distributions, quantiles
 
 PROBS = {"least": 0.0, "a": 0.1, "median": 0.5, "b": 0.937, "most": 1.0}
 
@@ -98,3 +98,89 @@ def test_histogram_of_odd_values(spark, right):
     assert sorted(got["a"]) == bins
     assert sorted(got["b"]) == [(k, 0, 0, 0) for k in range(3)]
     assert sorted(r[:2] for r in got[None]) == ([(0, 1), (1, 0), (2, 0)] if right else [(0, 0), (1, 1), (2, 0)])
+
+
+def plain_tree(bins, g, h, columns, s):
+    """Leaf-wise growth on whole arrays: list of (rows, value), in no order."""
+    def best(rows):
+        found = None
+        for c in columns:
+            for last in range(bins.max() + 1):
+                left = rows[bins[rows, c] <= last]
+                right = rows[bins[rows, c] > last]
+                if min(len(left), len(right)) < max(1, s.least_rows) or min(h[left].sum(), h[right].sum()) < s.least_weight:
+                    continue
+                gain = sum(score(g[x].sum(), h[x].sum()) for x in (left, right)) - score(g[rows].sum(), h[rows].sum())
+                if gain > 1e-12 and (found is None or gain > found[0] + 1e-9):
+                    found = gain, left, right
+        return found
+
+    def score(a, b):
+        return max(abs(a) - s.l1, 0) ** 2 / (b + s.l2)
+
+    leaves = [(np.arange(len(g)), 0, best(np.arange(len(g))))]
+    while len(leaves) < s.leaves:
+        able = [x for x in leaves if x[2] and x[1] < s.depth]
+        if not able:
+            break
+        top = max(able, key=lambda x: x[2][0])
+        leaves = [x for x in leaves if x is not top] + [(rows, top[1] + 1, best(rows)) for rows in top[2][1:]]
+    return [(rows, -s.rate * np.sign(g[rows].sum()) * max(abs(g[rows].sum()) - s.l1, 0) / (h[rows].sum() + s.l2))
+            for rows, _, _ in leaves]
+
+
+@pytest.mark.parametrize("settings", [
+    {"trees": 3, "leaves": 6, "depth": 3, "bins": 8, "least_rows": 3},
+    {"trees": 2, "leaves": 16, "depth": 7, "bins": 16, "l1": 0.3, "l2": 1.4, "least_rows": 1},
+    {"trees": 10, "leaves": 2, "depth": 1, "bins": 5, "rate": 0.5}])
+def test_leafwise_trees_equal_a_plain_version(spark, settings):
+    rng = random.Random(8)
+    data = []
+    for i in range(400):
+        a, b, c = rng.gauss(0, 1), float(rng.randrange(5)), rng.random()
+        y = int(a + (b == 2) - 2 * (c > .8) + rng.gauss(0, .5) > .4)
+        data.append((i, None if i % 17 == 0 else a, float("nan") if i % 23 == 0 else b, c, 7.0, y))
+    df = spark.createDataFrame([*data, (999, 1.0, 1.0, 1.0, 7.0, None)], "id long, a double, b double, c double, k double, y int")
+    names = ["a", "b", "c", "k"]
+    model = boosting.fit_leafwise(df.repartition(3), names, "y", "id", **settings)
+    s = model.settings
+    bins = np.array([[0 if x is None or x != x else 1 + sum(cut <= x for cut in own) for x, own in zip(row[1:5], model.cuts)]
+                     for row in data])
+    y = np.array([row[5] for row in data])
+    margin = np.full(len(y), math.log(y.mean() / (1 - y.mean())))
+    assert len(model.trees) == s.trees
+    for _ in range(s.trees):
+        p = 1 / (1 + np.exp(-margin))
+        for rows, value in plain_tree(bins, p - y, p * (1 - p), [0, 1, 2, 3], s):
+            margin[rows] += value
+    got = {r.id: r.prediction for r in model.score(df, ["id"], "margin").collect()}
+    assert len(got) == 401 and all(math.isclose(got[i], m, abs_tol=1e-6) for i, m in enumerate(margin))
+    per_tree = [sum(t == n for t, *_ in model.splits()) + 1 for n in range(s.trees)]
+    assert max(per_tree) <= s.leaves and max(d for _, d, *_ in model.splits()) < s.depth
+    assert "k" not in {c for _, _, c, _, _ in model.splits()}
+    chance = {r.id: r.prediction for r in model.score(df, ["id"]).collect()}
+    assert all(math.isclose(chance[i], 1 / (1 + math.exp(-got[i])), rel_tol=1e-9) for i in got)
+
+
+def test_leafwise_trees_of_odd_tables(spark):
+    schema = "id long, a double, y int"
+    none = boosting.fit_leafwise(spark.createDataFrame([], schema), ["a"], "y", "id")
+    assert none.trees == [] and none.score(spark.createDataFrame([(1, 2.0, 0)], schema), ["id"], "margin").first()[1] == 0
+    alike = spark.createDataFrame([(i, None, i % 2) for i in range(60)], schema)
+    flat = boosting.fit_leafwise(alike, ["a"], "y", "id", trees=2)
+    assert flat.splits() == [] and abs(flat.score(alike, ["id"]).first()[1] - 0.5) < 1e-9
+    one = boosting.fit_leafwise(alike.withColumn("y", F.lit(1)), ["a"], "y", "id", trees=1)
+    assert one.score(alike, ["id"]).first()[1] > 0.99
+
+
+def test_leafwise_trees_sample_rows_and_columns(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(i, rng.random(), rng.random(), int(rng.random() < 0.4)) for i in range(500)],
+                               "id long, a double, b double, y int")
+    fit = dict(trees=4, leaves=4, rows_share=0.5, columns_share=0.5, least_rows=5)
+    model = boosting.fit_leafwise(df, ["a", "b"], "y", "id", **fit)
+    again = boosting.fit_leafwise(df.repartition(7), ["a", "b"], "y", "id", **fit)
+    assert model.splits() == again.splits()
+    for tree in range(4):
+        assert len({c for t, _, c, _, _ in model.splits() if t == tree}) <= 1
+    assert all(150 < t.sums[2, 0].sum() < 350 for t in model.trees)
