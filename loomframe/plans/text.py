@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomframe.functions.columns import mixed_draw, mixed_key
 from loomframe.functions.columns import sentence_tokens as sentence_column
+from loomframe.operators import sentences as sn
 from loomframe.operators import text as t
 from loomframe.operators.baskets import basket_strings
 from loomframe.plans.registry import Registry, rounded
@@ -119,6 +120,51 @@ def sentence_tokens(spark, sf_dir):
         "doc_id", F.posexplode(sentence_column(F.col("text"))).alias("sentence", "words"))
 
 
+#: Tokens, their types and counts, and what is learnt from them. Patterns as in ``sentences``.
+TYPED = r"""WITH tok AS (SELECT doc_id, w, generate_subscripts(w, 1) AS i, unnest(w) AS t FROM (SELECT doc_id,
+    list_filter(string_split_regex(text, '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w FROM documents)),
+typed AS (SELECT *, CASE WHEN regexp_full_match(r, '[0-9][0-9.,]*') THEN '##' ELSE r END AS word, ends_with(c, '.') AND NOT ends_with(c, '..') AS stop
+    FROM (SELECT *, lower(regexp_replace(c, '\.$', '')) AS r FROM (SELECT doc_id, i, t, regexp_replace(regexp_replace(t,
+        '^["''(\[{«“„]+', ''), '["'')\]}»”,;:!?]+$', '') AS c FROM tok))),
+nxt AS (SELECT *, lead(word) OVER o AS next, lead(t) OVER o AS follows FROM typed WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+tot AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (stop)::DOUBLE AS k FROM typed WHERE word <> ''),
+eac AS (SELECT word, count(*)::DOUBLE AS n, count(*) FILTER (stop)::DOUBLE AS k,
+    length(word) - length(replace(word, '.', '')) AS inside FROM typed WHERE word <> '' GROUP BY word),
+abr AS (SELECT word, CASE WHEN k > 0 AND regexp_matches(word, '[\p{L}#]') THEN -2 * ((k * ln(q) + (n - k) * ln(1 - q))
+        - (k * ln(0.99::DOUBLE) + (n - k) * ln(1 - 0.99::DOUBLE))) * exp(-(length(word) - inside + 1.0::DOUBLE)) * (inside + 1)
+        * pow(length(word) - inside + 1.0::DOUBLE, k - n) END AS score FROM eac, (SELECT k / n AS q FROM tot)),
+aft AS (SELECT next AS word, count(*)::DOUBLE AS m FROM nxt WHERE stop AND word <> '' AND next <> '' AND NOT regexp_full_match(word, '\p{L}')
+    AND word NOT IN (SELECT word FROM abr WHERE score >= 0.3::DOUBLE) GROUP BY next),
+par AS (SELECT word, m, greatest(n - m, 0) AS o, n, b, t FROM aft JOIN eac USING (word), (SELECT sum(m) AS b FROM aft), (SELECT n AS t FROM tot)),
+sta AS (SELECT word, CASE WHEN m / b > n / t THEN 2 * (m * ln(m / b) + CASE WHEN m < b THEN (b - m) * ln(1 - m / b) ELSE 0 END
+        + CASE WHEN o > 0 THEN o * ln(o / (t - b)) ELSE 0 END + CASE WHEN o < t - b THEN (t - b - o) * ln(1 - o / (t - b)) ELSE 0 END
+        - m * ln(n / t) - (b - m) * ln(1 - n / t) - o * ln(n / t) - (t - b - o) * ln(1 - n / t)) END AS score FROM par),
+ends AS (SELECT *, follows IS NULL OR regexp_matches(t, '[!?]["'')\]}»”]*$') OR CASE
+    WHEN regexp_matches(t, '(\.\.+|…)["'')\]}»”]*$') THEN capital
+    WHEN regexp_matches(t, '\.["'')\]}»”]*$') THEN NOT (word IN (SELECT word FROM abr WHERE score >= 0.3::DOUBLE) OR regexp_full_match(word, '\p{L}'))
+        OR capital AND next IN (SELECT word FROM sta WHERE score >= 30 AND regexp_matches(word, '^\p{L}')) ELSE false END AS last
+    FROM (SELECT *, regexp_matches(regexp_replace(follows, '^["''(\[{«“„]+', ''), '^\p{Lu}') AS capital FROM nxt)),
+"""
+
+
+@plan.add(TYPED + r"""z AS (SELECT 'abbreviation' AS kind, word, round(score, 6) + 0.0::DOUBLE AS score, coalesce(score >= 0.3::DOUBLE, false) AS chosen FROM abr
+    UNION ALL SELECT 'starter', word, round(score, 6) + 0.0::DOUBLE, coalesce(score >= 30 AND regexp_matches(word, '^\p{L}'), false) FROM sta) SELECT * FROM z""")
+def sentence_rules(spark, sf_dir):
+    """Every word's score as an abbreviation, and as the start of a sentence."""
+    rules = sn.learn(_docs(spark, sf_dir), "text")
+    kinds = (("abbreviation", rules.abbreviations), ("starter", rules.starters))
+    a, b = (rounded(df, 6).select(F.lit(kind).alias("kind"), "word", "score", "chosen") for kind, df in kinds)
+    return a.unionByName(b)
+
+
+@plan.add(TYPED + r"""num AS (SELECT doc_id, i, t, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ends),
+cut AS (SELECT doc_id, s, regexp_extract_all(string_agg(t, ' ' ORDER BY i), '[\p{L}\p{N}'']+') AS words FROM num GROUP BY doc_id, s)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1)::INT AS sentence, words FROM cut WHERE len(words) > 0""")
+def learnt_sentences(spark, sf_dir):
+    return sn.split_sentences(_docs(spark, sf_dir), "text", ["doc_id"])
+
+
 @plan.add(r"""WITH b AS (SELECT page_id // 25 AS doc, page_id, array_to_string(regexp_extract_all(html,
   '(?s)<div\b[^>]*\bclass="(?:[^"]*\s)?ad(?:\s[^"]*)?"[^>]*>(.*?)</div>', 1), '') AS t FROM pages),
 c AS (SELECT doc, page_id, replace(replace(replace(replace(replace(regexp_replace(t,
