@@ -152,9 +152,9 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID, apart: boo
     def run(batches):
         encode = tokens.encoder(vocabulary, apart)
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                ids = [x + end for x in encode([t or "" for t in part.column(1).to_pylist()])]
+            for first, last in tokens.batches(batch.column(1)):
+                part = batch.slice(first, last - first)
+                ids = [x + end for x in encode(part.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([_narrow(x) for x in ids], pa.binary()),
                      pa.array([zlib.crc32(x) for x in ids], pa.int64())], names=["doc_id", "ids", "crc"])

@@ -43,10 +43,10 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
         encode = tokens.encoder(vocabulary, apart)
         step = 4 * capacity
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
+            for first, last in tokens.batches(batch.column(1)):
+                part = batch.slice(first, last - first)
                 rows = []
-                for row, ids in enumerate(encode([t or "" for t in part.column(1).to_pylist()])):
+                for row, ids in enumerate(encode(part.column(1))):
                     ids += end
                     rows += [(row, k, k * capacity, len(ids[k * step:(k + 1) * step]) // 4,
                               zlib.crc32(ids[k * step:(k + 1) * step])) for k in range(-(-len(ids) // step))]

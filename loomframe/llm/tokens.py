@@ -1,23 +1,30 @@
-"""Token ids of whole texts in Arrow batches, with the ids of words kept per process.
+"""Token ids of whole texts in Arrow batches, each distinct word of a batch encoded once.
 
 Where a vocabulary's rules drop white space and no rule looks across it, a text's ids are
-those of its words in a row, so a distinct word goes through the tokenizer once per process,
-and a word with marks behind it as word and marks. ``apart=False`` encodes each text in one
-piece, for all other vocabularies.
+those of its words in a row, and those of a word are the ids of the marks before it, of its
+core, and of the marks behind it. Distinct words and cores are found and joined again as
+Arrow and numpy columns. Cores are encoded many at a time, as one text that is cut at the
+ids that end a word; those of plain lower-case letters skip the rules, which leave them as
+they are. Nothing is kept between batches. ``apart=False`` encodes each text in one piece,
+for all other vocabularies.
 """
 
 from __future__ import annotations
 
 import functools
-from itertools import chain
+import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Characters of words after which the kept ids are thrown away, some 100 MB with them.
-KEPT = 4_000_000
+#: Words put together at a time, words gathered at a time, and bytes of text in a batch.
+JOINED, _SLICE, BATCH = 250, 1 << 20, 8 << 20
 ID_TYPE = "<u4"
-#: Marks that end a word; no rule of the vocabulary joins them to letters.
+#: Marks around a word; no rule of the vocabulary joins them to letters or digits.
 _MARKS = ",.;:!?&%$*#|()\""
+#: What the vocabulary's rules cut lower-case ASCII text into (a fixed value).
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 def default_vocabulary() -> str:
@@ -25,18 +32,52 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def batches(column: pa.Array, limit: int = BATCH):
+    """Row ranges of at most about ``limit`` bytes; a longer text stands alone."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size, dtype=np.int64)
+    first = 0
+    while first < len(size):
+        before = int(ends[first] - size[first])
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield first, last
+        first = last
+
+
+class Ragged:
+    """Id lists of numbered words: ``data`` and where each begins and how long it is."""
+
+    def __init__(self, data: np.ndarray, size: np.ndarray):
+        self.data, self.size = data, size.astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def take(self, index: np.ndarray) -> Ragged:
+        """The lists at these numbers, behind one another."""
+        size = self.size[index]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        out = np.empty(ends[-1], ID_TYPE)
+        for a in range(0, len(index), _SLICE):
+            b = min(a + _SLICE, len(index))
+            base = self.start[index[a:b]] - (ends[a:b] - ends[a])
+            out[ends[a]:ends[b]] = self.data[np.repeat(base, size[a:b]) + np.arange(ends[b] - ends[a])]
+        return Ragged(out, size)
+
+
 class Encoder:
     """Texts to the little-endian 32-bit ids of all of each, without special ids added."""
 
     def __init__(self, path: str, apart: bool = True):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model without the rules, for words that the rules don't change.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.apart = apart
-        self.known: dict[str, bytes] = {"": b""}
-        self.size = 0
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.final[number] = bool(suffix) and token.endswith(suffix)
@@ -45,43 +86,93 @@ class Encoder:
         return [np.array(e.ids, ID_TYPE).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only, encoded as one text: the last id of each is marked."""
-        ids = np.array(self.whole_ids(" ".join(words)), ID_TYPE)
-        stops = np.flatnonzero(self.final[ids]) + 1
-        if len(stops) != len(words):
-            return self.whole(words)
-        data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
-        return [data[a:b] for a, b in zip(at, at[1:])]
-
-    def whole_ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: pa.Array | list) -> list[bytes]:
+        """The ids of each text; null is empty."""
+        column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list)
+                              else texts.cast(pa.large_string()), "")
         if not self.apart:
-            return self.whole(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(set(chain.from_iterable(split)).difference(self.known))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        if self.size > KEPT:
-            self.known, self.size = {"": b""}, 0
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        parts = {}
-        for word in words:
-            core = word.rstrip(_MARKS)
-            if core.isascii() and core.isalpha() and not core.islower() or core != word and core.isalpha():
-                parts[word] = (core.lower() if core.isascii() else core, word[len(core):])
-        wanted = words.difference(parts).union(chain.from_iterable(parts.values())).difference(self.known)
-        self.size += sum(map(len, wanted)) + sum(map(len, parts))
-        known = self.known
-        letters = [w for w in wanted if w.isalpha()]
-        rest = list(wanted.difference(letters))
-        known.update(zip(rest, self.whole(rest)))
-        for at in range(0, len(letters), 2000):
-            known.update(zip(letters[at:at + 2000], self._letters(letters[at:at + 2000])))
-        known.update({word: known[a] + known[b] for word, (a, b) in parts.items()})
+            return self.whole(column.to_pylist())
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        found = self._words(words.dictionary.cast(pa.string())).take(words.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(found.size)])[split.offsets.to_numpy()].tolist()
+        return [found.data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+    def _words(self, words: pa.Array) -> Ragged:
+        """Ids of distinct words, by those of the marks around them and of their cores."""
+        core = pc.ascii_trim(words, characters=_MARKS)
+        right = pc.ascii_ltrim(words, characters=_MARKS)
+        front = pc.subtract(pc.binary_length(words), pc.binary_length(right)).to_numpy()
+        back = pc.subtract(pc.binary_length(right), pc.binary_length(core)).to_numpy()
+        # Other marks, such as apostrophes, may belong with those around them; so may the
+        # vocabulary's whole tokens.
+        fine = pc.match_substring_regex(core, r"^[\p{L}\p{N}](?:(?s:.)*[\p{L}\p{N}])?$")
+        for token in self.added:
+            fine = pc.and_(fine, pc.invert(pc.match_substring(words, token)))
+        fine = fine.to_numpy(zero_copy_only=False)
+        lower = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
+        middle = pc.if_else(pa.array(fine), lower, words)
+        around = np.flatnonzero(fine & (front + back > 0))
+        some = words.take(pa.array(around)).to_pylist()
+        marks = {"": 0}
+        numbers = np.zeros((len(words), 3), np.int64)
+        for row, word, a, b in zip(around.tolist(), some, front[around].tolist(), back[around].tolist()):
+            numbers[row, 0] = marks.setdefault(word[:a], len(marks))
+            numbers[row, 2] = marks.setdefault(word[len(word) - b:], len(marks))
+        coded = middle.dictionary_encode()
+        known = self._cores(coded.dictionary)
+        numbers[:, 1] = coded.indices.to_numpy() + len(marks)
+        ids = [np.frombuffer(x, ID_TYPE) for x in self.whole(list(marks))]
+        pieces = Ragged(np.concatenate([*ids, known.data]),
+                        np.concatenate([np.array([len(x) for x in ids], np.int64), known.size])).take(numbers.ravel())
+        return Ragged(pieces.data, pieces.size.reshape(-1, 3).sum(1))
+
+    def _cores(self, cores: pa.Array) -> Ragged:
+        """Ids of distinct cores, whatever is in them."""
+        ascii_ = pc.string_is_ascii(cores)
+        low = pc.and_(pc.ascii_is_alpha(cores), pc.ascii_is_lower(cores))
+        wide = pc.and_(pc.and_(pc.utf8_is_alpha(cores), pc.utf8_is_lower(cores)),
+                       pc.equal(pc.utf8_normalize(cores, "NFC"), cores))
+        plain = pc.or_(low, pc.and_(pc.invert(ascii_), wide)).to_numpy(zero_copy_only=False)
+        letters = pc.and_(pc.utf8_is_alpha(cores), pc.invert(ascii_)).to_numpy(zero_copy_only=False) & ~plain
+        mixed = ascii_.to_numpy(zero_copy_only=False) & ~plain
+        for token in self.added:
+            mixed &= ~pc.match_substring(cores, token).to_numpy(zero_copy_only=False)
+        mixed &= pc.greater(pc.binary_length(cores), 0).to_numpy(zero_copy_only=False)
+        rest = ~(plain | letters | mixed)
+        size, parts, order = np.zeros(len(cores), np.int64), [], []
+        for kind, tokenizer in ((plain, self.plain), (letters, self.tokenizer), (mixed, self.tokenizer), (rest, None)):
+            rows = np.flatnonzero(kind)
+            listed = cores.take(pa.array(rows)).to_pylist()
+            for at in range(0, len(rows), JOINED):
+                some = listed[at:at + JOINED]
+                counts = [len(_PARTS.findall(w.lower())) for w in some] if kind is mixed else None
+                ids = None if tokenizer is None else self._joined(some, counts, tokenizer)
+                if ids is None:
+                    alone = [np.frombuffer(x, ID_TYPE) for x in self.whole(some)]
+                    ids = np.concatenate(alone), np.array([len(x) for x in alone], np.int64)
+                parts.append(ids[0])
+                size[rows[at:at + JOINED]] = ids[1]
+            order.append(rows)
+        if not parts:
+            return Ragged(np.zeros(0, ID_TYPE), size)
+        by_kind = np.concatenate(order)
+        place = np.empty(len(by_kind), np.int64)
+        place[by_kind] = np.arange(len(by_kind))
+        return Ragged(np.concatenate(parts), size[by_kind]).take(place)
+
+    def _joined(self, words: list[str], counts: list[int] | None, tokenizer) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words encoded as one text, and how many each has; None if they can't be told apart.
+
+        A word has as many ids that end a part as counts say (else one).
+        """
+        text = " ".join(words)
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID_TYPE)
+        stops = np.flatnonzero(self.final[ids]) + 1
+        ends = np.arange(1, len(words) + 1) if counts is None else np.cumsum(counts)
+        if len(stops) != ends[-1] or (counts is not None and min(counts) == 0) or stops[-1] != len(ids):
+            return None
+        return ids, np.diff(stops[ends - 1], prepend=0)
 
 
 @functools.lru_cache(maxsize=4)

@@ -254,11 +254,24 @@ def brute_ids(texts, end):
 def test_words_give_the_ids_of_whole_texts(small):
     texts = [r.text for r in small.collect()][:60] + [
         "a b　c", "ẞΣΑΣ ́x", "é ́ x", "a\x1cb c\x85d\xa0e", "<|endoftext|> it's I'LL 12 34", "",
-        "Don't! X.", "İstanbul, ǅ. K² a.b c\". (x) ,, A'S. ς. Σ", "ﬁ! ½. Ⅷ, a̐! <|endoftext|>."]
+        "Don't! X.", "İstanbul, ǅ. K² a.b c\". (x) ,, A'S. ς. Σ", "ﬁ! ½. Ⅷ, a̐! <|endoftext|>.",
+        "(\"Foo\") #tag $12.50, ((a1b22c)) .5 ?x? '(it's)' ,'s, \"'re\" |'ll| (É1) (日本) 3rd. (x<|endoftext|>y)",
+        "'", "''s", "a'", "(a')", "('a)", "1'2", ".", "...a...", "a.b.c.", "\r\n (\tx\t) \x0b!", "ŉ (ŉ) ǆ ʼn ⅷ (ⅷ) ª º ͺ"]
+    low = [chr(c) for c in range(1, 0x3000) if chr(c).isalpha()]
+    texts += [" ".join(low[k:k + 400]) for k in range(0, len(low), 400)]
+    texts += [" ".join(f"({a}b{a}).{a}1" for a in low[k:k + 400]) for k in range(0, len(low), 400)]
     got = tokens.Encoder(tokens.default_vocabulary())(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids[:-1] for ids in brute_ids(texts, 0)]
 
 
+def test_batches_of_text_cover_all_rows():
+    import pyarrow as pa
+    texts = pa.array([None, "a" * 10, "", "b" * 50, "é" * 3, None])
+    got = list(tokens.batches(texts, 12))
+    assert [k for a, b in got for k in range(a, b)] == list(range(6)) and len(got) == 3
+    assert tokens.Encoder(tokens.default_vocabulary())(pa.array([None, ""])) == [b"", b""]
+
+
 def test_id_files_round_trip(spark, small, docs, empty):
     every = small.select("doc_id", "text").filter("doc_id > 20").unionByName(docs.select("doc_id", "text"))
     held = every.collect()
