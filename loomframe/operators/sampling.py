@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loomframe.functions.columns import mixed_draw, mixed_key
 from loomframe.operators.joins import skew_join
 from loomframe.operators.ordered import (
-    Ordered, last_known, null_safe, row_number, run_sum, whole_count)
+    Ordered, groups_fit, last_known, null_safe, row_number, run_sum, whole_count)
 from loomframe.operators.relational import keep_ids
 from loomframe.session import stored
 
@@ -41,12 +41,20 @@ def shuffled_heads(df: DataFrame, row_id: str, by: Sequence[str], sizes: Mapping
     """Add one boolean per name of ``sizes``: whether the row is among that many first rows of
     its group in shuffled order (a size may use ``_of``, the group's rows, and ``by``).
 
-    Rows are counted per group and range of keys first. That gives the range in which each
-    cut falls; rows of other ranges are settled by one comparison and never sorted.
+    Groups within the row limit are ranked by a plain window. Otherwise rows are counted per
+    group and range of keys first. That gives the range in which each cut falls; rows of
+    other ranges are settled by one comparison and never sorted.
     """
     text = F.col(row_id).cast("string")
     if salt:
         text = F.concat(F.col(salt).cast("string"), F.lit(":"), text)
+    if groups_fit(df, by):
+        whole = Window.partitionBy(*by)
+        placed = df.withColumn("_key", mixed_key(text, seed)).select(
+            *df.columns, F.row_number().over(whole.orderBy("_key", row_id)).alias("_rank"),
+            F.count(F.lit(1)).over(whole).alias("_of"))
+        return placed.select(*df.columns, *[F.coalesce(F.col("_rank") <= size, F.lit(False)).alias(name)
+                                            for name, size in sizes.items()])
     keyed = df.withColumn("_key", mixed_key(text, seed)).withColumn(
         "_range", F.floor(mixed_draw(F.col("_key")) * RANGES).cast("int"))
     group = Window.partitionBy(*by, F.lit(0)) if by else Window.partitionBy(F.lit(0))  # at most RANGES rows

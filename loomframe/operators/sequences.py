@@ -207,24 +207,36 @@ def window_length(seconds: float, factor: int, rate: int = 100) -> int:
     return int(seconds * rate / factor)
 
 
+#: Blocks of a run are so many window lengths (or strides) long.
+WINDOWS_EACH = 8
+
+
 def sliding_windows(df: DataFrame, run: Sequence[str], order: Sequence[str], length: int,
                     stride: int, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Full windows of ``length`` rows every ``stride`` rows of a run.
 
-    Each row goes to the windows that hold it (at most length / stride, rounded
-    up), so a window is a group of exactly ``length`` rows.
+    A run is cut into blocks some windows long, each with the next ``length - 1`` rows behind
+    it, so a row is shuffled about once, however many windows hold it.  Windows are sliced
+    out of their block's rows; ``keep`` columns are those of a window's first row.
     """
     at = Ordered(df, run, order).scan(_n=row_number(), _total=whole_count())
-    pos, last = F.col("_n") - 1, F.col("_total") - length
-    first_start = F.greatest(F.lit(0), F.ceil((pos - length + 1) / stride)) * stride
-    last_start = F.floor(F.least(pos, last) / stride) * stride
-    starts = F.when((last >= 0) & (first_start <= last_start),
-                    F.sequence(first_start, last_start, F.lit(stride).cast("long")))
-    spread = at.withColumn("start", F.explode(starts))
-    rows = F.array_sort(F.collect_list(F.struct(F.col("_n"), *cols)))
-    grouped = spread.groupBy(*run, *keep, "start").agg(rows.alias("_rows"))
-    return grouped.select(*run, *keep, "start",
-                          *[F.col("_rows").getField(c).alias(c) for c in cols])
+    size = WINDOWS_EACH * max(length, stride)
+    pos = F.col("_n") - 1
+    block = F.floor(pos / size)
+    # The halo is shorter than a block, so a row lies in the one before at most.
+    blocks = F.when((pos % size < length - 1) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))
+    halo = at.withColumn("_block", F.explode(blocks))
+    value = F.struct(F.col("_n"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate([*cols, *keep])])
+    grouped = halo.groupBy(*run, "_block").agg(F.array_sort(F.collect_list(value)).alias("_rows"),
+                                               F.max("_total").alias("_total"))
+    first = F.col("_block") * size
+    begin = F.ceil(first / stride) * stride
+    last = F.least(first + size - 1, F.col("_total") - length)
+    starts = F.when(begin <= last, F.sequence(begin, last, F.lit(stride).cast("long")))
+    cut = grouped.select(*run, "_rows", first.alias("_first"), F.explode(starts).alias("start")).select(
+        *run, "start", F.slice("_rows", (F.col("start") - F.col("_first") + 1).cast("int"), length).alias("_rows"))
+    return cut.select(*run, *[F.get("_rows", F.lit(0))[f"_v{len(cols) + i}"].alias(c) for i, c in enumerate(keep)],
+                      "start", *[F.col("_rows").getField(f"_v{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def slice_rows(df: DataFrame, part: Sequence[str], order: Sequence[str], start: int,
