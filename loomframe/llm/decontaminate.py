@@ -34,8 +34,8 @@ OUT = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string
 class Suffixes:
     """The benchmark side: word numbers of all items and their distinct windows."""
 
-    def __init__(self, items: list[tuple[str, str]], width: int = WINDOW):
-        items = sorted(items)
+    def __init__(self, items: list[tuple[str | None, str]], width: int = WINDOW):
+        items = sorted(items, key=lambda i: (i[0] is None, i[0] or "", i[1]))
         column = pa.array([t for _, t in items], pa.string())
         data, offsets = at.utf8(column)
         starts, stops, first = at.word_bounds(data, offsets, at.ALNUM_LOWER)
@@ -154,10 +154,16 @@ def _union(old: bytes | None, words: np.ndarray) -> tuple[bytes, int]:
     return np.stack([starts, stops], axis=1).astype("<u4").tobytes(), len(words)
 
 
+def _before(a: tuple, b: tuple) -> bool:
+    """Whether match a (words, place, item) is the one to report rather than b."""
+    key = [(-size, place, name is None, name or "") for size, place, name in (a, b)]
+    return key[0] < key[1]
+
+
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> list[DataFrame]:
     """The items in parts whose text fits the limit in expectation."""
-    items = only(benchmark, item_id="item_id", text="text").filter("item_id IS NOT NULL AND text IS NOT NULL") \
-        .select(F.col("item_id").cast("string").alias("item_id"), "text")
+    items = only(benchmark, item_id="item_id", text="text").filter("text IS NOT NULL") \
+        .select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-2 * total // limit)) if total > limit else 1
     if n == 1:
@@ -190,11 +196,11 @@ def _meet(docs: DataFrame, suffixes: Suffixes) -> DataFrame:
                     words, runs = np.unique(found[1:3, a:b], axis=1)
                     hit = np.unique(np.concatenate([np.arange(w, w + m) for w, m in zip(words, runs)])) - first[r]
                     hits[i + r] = _union(hits[i + r], hit)[0]
-                    seen = {suffixes.names[k] for k in np.unique(found[3, a:b])}
+                    seen = {suffixes.names[k] for k in np.unique(found[3, a:b])} - {None}
                     items[i + r] = sorted(seen.union(items[i + r] or ()))
-                    if best[r][0] > size[i + r]:
-                        size[i + r], place[i + r] = best[r][0], int(best[r][1] - first[r])
-                        name[i + r] = suffixes.names[best[r][2]]
+                    new = (best[r][0], int(best[r][1] - first[r]), suffixes.names[best[r][2]])
+                    if not size[i + r] or _before(new, (size[i + r], place[i + r], name[i + r])):
+                        size[i + r], place[i + r], name[i + r] = new
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(len(carried))]
                 + [text, pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())),
@@ -225,9 +231,14 @@ def searched(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES) ->
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that share no window with the benchmark."""
-    return searched(docs, benchmark, **settings).filter("_hits IS NULL") \
-        .withColumnRenamed("_text", "text").select(*docs.columns)
+    """The rows of ``docs`` that share no window with the benchmark.
+
+    The other columns travel in one, so none of them can clash with the search's own.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    packed = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("_row"), "text")
+    return searched(packed, benchmark, **settings).filter("_hits IS NULL") \
+        .select(*[F.col("_text" if c == "text" else f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
@@ -253,23 +264,23 @@ def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
 SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''),
+b AS (SELECT item_id::VARCHAR AS item, coalesce(item_id::VARCHAR, chr(0) || row_number() OVER ()) AS own, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-    FROM benchmark WHERE item_id IS NOT NULL),
-bw AS (SELECT item, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM (SELECT item, w, least(10, len(w)) AS l,
+    FROM benchmark),
+bw AS (SELECT item, own, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM (SELECT item, own, w, least(10, len(w)) AS l,
     unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
 dw AS (SELECT r, i, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM (SELECT r, w, l,
     unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw))),
-m AS (SELECT r, i, l, item FROM dw JOIN bw USING (l, s)),
+m AS (SELECT r, i, l, item, own FROM dw JOIN bw USING (l, s)),
 h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS p FROM m) GROUP BY r),
 t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT r, item FROM m) GROUP BY r),
-c AS (SELECT DISTINCT r, item, ip - i AS k, i, l FROM (SELECT m.r, m.item, m.i, m.l, p.ip FROM m JOIN dw USING (r, i, l)
-    JOIN (SELECT item, i AS ip, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM (SELECT item, w, least(10, len(w)) AS l,
+    FROM (SELECT DISTINCT r, item FROM m WHERE item IS NOT NULL) GROUP BY r),
+c AS (SELECT DISTINCT r, item, own, ip - i AS k, i, l FROM (SELECT m.r, m.item, m.own, m.i, m.l, p.ip FROM m JOIN dw USING (r, i, l)
+    JOIN (SELECT own, i AS ip, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM (SELECT own, w, least(10, len(w)) AS l,
         unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)) p
-        ON p.item = m.item AND p.l = m.l AND p.s = dw.s)),
-g AS (SELECT *, i - row_number() OVER (PARTITION BY r, item, k ORDER BY i) AS run FROM c),
-e AS (SELECT r, item, min(i) - 1 AS at_word, max(i + l) - min(i) AS size FROM g GROUP BY r, item, k, run),
+        ON p.own = m.own AND p.l = m.l AND p.s = dw.s)),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY r, own, k ORDER BY i) AS run FROM c),
+e AS (SELECT r, item, min(i) - 1 AS at_word, max(i + l) - min(i) AS size FROM g GROUP BY r, item, own, k, run),
 x AS (SELECT r, size, at_word, item FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY size DESC, at_word, item) AS o
     FROM e) WHERE o = 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,

@@ -182,9 +182,14 @@ def judge(docs: DataFrame, **settings) -> DataFrame:
 
 
 def passed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps; measured twice rather than joined by id."""
-    limits = stored(fences(stored(sketches(measures(docs))), **settings))
-    return _held_to(measures(docs, tuple(docs.columns)), limits).filter("kept").select(*docs.columns)
+    """The rows of ``docs`` that ``judge`` keeps; measured twice rather than joined by id.
+
+    A row travels in one column, so its columns can't clash with what is measured.
+    """
+    limits = stored(fences(stored(sketches(measures(docs, ("lang", "source")))), **settings))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    measured = measures(docs.select(row, "lang", "source", "text"), ("_row", "lang", "source"))
+    return _held_to(measured, limits).filter("kept").select("_row.*")
 
 
 #: The same in DuckDB.

@@ -218,8 +218,10 @@ def read(files: DataFrame) -> DataFrame:
         origin, held = None, []
 
         def whole():
-            """The record of the held segments, or nothing without its first one."""
-            if held and held[0][1] <= 1:
+            """The record of the held segments; without the first one, what is left of its payload."""
+            if held and held[0][1] > 1:
+                yield _page(origin), None, None, "response", None, False
+            elif held:
                 numbers = [h[1] for h in held]
                 block = b"".join(h[4] for h in held)
                 sound = numbers == list(range(1, len(held) + 1)) and held[-1][2] == len(block)

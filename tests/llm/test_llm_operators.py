@@ -350,6 +350,8 @@ def test_lost_segments_are_told(spark):
     assert {r.page_id: r.verified for r in warc.read(files).collect()} == {7: True, 8: True}
     first = files.filter(F.contains("path", F.lit("/pages-")))
     assert {r.page_id: r.verified for r in warc.read(first).collect()} == {7: False, 8: True}
+    rest = files.filter(~F.contains("path", F.lit("/pages-")))
+    assert {(r.page_id, r.payload_bytes, r.verified) for r in warc.read(rest).collect()} == {(7, None, False)}
 
 
 def test_chunked_framing():
@@ -421,6 +423,30 @@ def test_decontamination_of_awkward_rows(spark, docs, empty, tmp_path):
     assert not any(r.contaminated for r in decontaminate.find(docs, bench.limit(0)).collect())
 
 
+def test_passages_of_items_without_id(spark):
+    """They are hits without items; repeated ones, and blocks, change nothing."""
+    ready(spark)
+    docs = spark.createDataFrame([(1, "so " + SENTENCE), (2, "nothing here"), (3, "two " + LONG)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, SENTENCE), (None, SENTENCE), ("b", LONG), ("a", LONG), (None, LONG)],
+                                  "item_id string, text string")
+    for limit in (decontaminate.BLOCK_BYTES, 30_000):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated, r.longest, r.longest_at, r.longest_item)
+               for r in decontaminate.find(docs, bench, limit=limit).collect()}
+        assert got == {1: (16, 0, True, 16, 1, None), 2: (0, 0, False, 0, None, None), 3: (3000, 2, True, 3000, 1, "a")}
+    assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [2]
+
+
+def test_filters_keep_columns_named_like_their_own(spark):
+    ready(spark)
+    names = ["n_words", "most_symbols", "symbols", "base_failed", "kept", "_measured", "_row", "n", "bucket", "ratio",
+             "_hits", "_items", "_longest", "_longest_at", "_longest_item", "_n_words", "_text"]
+    docs = spark.createDataFrame([(1, SENTENCE, "en", "a"), (2, "one", "en", "a")], "doc_id long, text string, lang string, source string") \
+        .withColumns({c: F.lit(f"my {c}") for c in names})
+    for kept in (quality.passed(docs), decontaminate.clean(docs, spark.createDataFrame([("x", "one")], "item_id string, text string"))):
+        assert kept.columns == docs.columns
+        assert rows(kept) == [(1, SENTENCE, "en", "a", *[f"my {c}" for c in names])]
+
+
 def test_url_filters(spark, tmp_path):
     ready(spark)
     seen = ["http://www.EXAMPLE.net/en/1?q#f", "https://example.net/en", "ftp://net/", "http://net", "http://xnet/", None,
