@@ -178,13 +178,13 @@ def count_ids(encoded: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                part = np.bincount(_widen(x.as_py()))
-                if len(part) > len(total):
-                    part[:len(total)] += total
-                    total = part
-                else:
-                    total[:len(part)] += part
+            held = {2: [], 4: []}  # by bytes per id
+            for x in batch.column(0).to_pylist():
+                held[x[0]].append(x[1:])
+            for wide, parts in held.items():
+                part = np.bincount(np.frombuffer(b"".join(parts), f"<u{wide}"), minlength=len(total))
+                part[:len(total)] += total
+                total = part
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())],
                                          names=["id", "n"])

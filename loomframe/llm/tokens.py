@@ -3,30 +3,49 @@
 Where a vocabulary's rules drop white space and no rule looks across it, a text's ids are
 those of its words in a row, and those of a word are the ids of the marks before it, of its
 core, and of the marks behind it. Distinct words and cores are found and joined again as
-Arrow and numpy columns. Cores are encoded many at a time, as one text that is cut at the
-ids that end a word; those of plain lower-case letters skip the rules, which leave them as
-they are. Nothing is kept between batches. ``apart=False`` encodes each text in one piece,
-for all other vocabularies.
+Arrow and numpy columns. Cores of plain lower-case letters go to the vocabulary's model
+itself, since its rules leave them as they are; the others are encoded many at a time, as one
+text that is cut at the ids that end a word. Nothing is kept between batches.
+``apart=False`` encodes each text in one piece, for all other vocabularies.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words put together at a time, words gathered at a time, and bytes of text in a batch.
-JOINED, _SLICE, BATCH = 250, 1 << 20, 8 << 20
+JOINED, _SLICE, BATCH = 250, 1 << 20, 24 << 20
 ID_TYPE = "<u4"
+#: Ids of words behind one another, and how many each has.
+Coded = tuple[np.ndarray, np.ndarray]
 #: Marks around a word; no rule of the vocabulary joins them to letters or digits.
 _MARKS = ",.;:!?&%$*#|()\""
+_MARK_NUMBER = np.zeros(256, np.int64)
+_MARK_NUMBER[list(_MARKS.encode())] = np.arange(1, len(_MARKS) + 1)
+#: The one letter whose lower case ends in a mark, which goes with those behind it.
+_DOTTED = "\u0130"
 #: What the vocabulary's rules cut lower-case ASCII text into (a fixed value).
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
+def _byte_letters() -> np.ndarray:
+    """The letter by which a byte-level vocabulary writes each byte: itself where it can be seen."""
+    letters = np.arange(256, dtype="<u4")
+    hidden = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+    letters[hidden] = 256 + np.arange(len(hidden))
+    letters[ord(" ")] = ord(" ")  # here, it parts words
+    return letters
+
+
+_LETTERS = _byte_letters()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -67,13 +86,10 @@ class Encoder:
     """Texts to the little-endian 32-bit ids of all of each, without special ids added."""
 
     def __init__(self, path: str, apart: bool = True):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The same model without the rules, for words that the rules don't change.
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.model = self.tokenizer.model
         self.apart = apart
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -107,15 +123,19 @@ class Encoder:
         # Other marks, such as apostrophes, may belong with those around them; so may the
         # vocabulary's whole tokens.
         fine = pc.match_substring_regex(core, r"^[\p{L}\p{N}](?:(?s:.)*[\p{L}\p{N}])?$")
-        for token in self.added:
+        for token in [*self.added, _DOTTED]:
             fine = pc.and_(fine, pc.invert(pc.match_substring(words, token)))
         fine = fine.to_numpy(zero_copy_only=False)
         lower = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
         middle = pc.if_else(pa.array(fine), lower, words)
-        around = np.flatnonzero(fine & (front + back > 0))
-        some = words.take(pa.array(around)).to_pylist()
-        marks = {"": 0}
         numbers = np.zeros((len(words), 3), np.int64)
+        marks = {"": 0, **{c: k for k, c in enumerate(_MARKS, 1)}}
+        # Most have one mark behind; its number comes from the word's last byte.
+        single = np.flatnonzero(fine & (front == 0) & (back == 1))
+        last = pc.binary_slice(words.take(pa.array(single)).cast(pa.binary()), -1)
+        numbers[single, 2] = _MARK_NUMBER[np.frombuffer(b"".join(last.to_pylist()), np.uint8)]
+        around = np.flatnonzero(fine & (front + back > 0) & ~((front == 0) & (back == 1)))
+        some = words.take(pa.array(around)).to_pylist()
         for row, word, a, b in zip(around.tolist(), some, front[around].tolist(), back[around].tolist()):
             numbers[row, 0] = marks.setdefault(word[:a], len(marks))
             numbers[row, 2] = marks.setdefault(word[len(word) - b:], len(marks))
@@ -131,28 +151,26 @@ class Encoder:
         """Ids of distinct cores, whatever is in them."""
         ascii_ = pc.string_is_ascii(cores)
         low = pc.and_(pc.ascii_is_alpha(cores), pc.ascii_is_lower(cores))
-        wide = pc.and_(pc.and_(pc.utf8_is_alpha(cores), pc.utf8_is_lower(cores)),
-                       pc.equal(pc.utf8_normalize(cores, "NFC"), cores))
-        plain = pc.or_(low, pc.and_(pc.invert(ascii_), wide)).to_numpy(zero_copy_only=False)
-        letters = pc.and_(pc.utf8_is_alpha(cores), pc.invert(ascii_)).to_numpy(zero_copy_only=False) & ~plain
+        alpha = pc.and_(pc.utf8_is_alpha(cores), pc.invert(ascii_))
+        plain = pc.or_(low, pc.and_(alpha, pc.utf8_is_lower(cores))).to_numpy(zero_copy_only=False)
+        letters = alpha.to_numpy(zero_copy_only=False) & ~plain
         mixed = ascii_.to_numpy(zero_copy_only=False) & ~plain
         for token in self.added:
             mixed &= ~pc.match_substring(cores, token).to_numpy(zero_copy_only=False)
         mixed &= pc.greater(pc.binary_length(cores), 0).to_numpy(zero_copy_only=False)
         rest = ~(plain | letters | mixed)
         size, parts, order = np.zeros(len(cores), np.int64), [], []
-        for kind, tokenizer in ((plain, self.plain), (letters, self.tokenizer), (mixed, self.tokenizer), (rest, None)):
+        for kind, rules in ((plain, self._plain), (letters, self._joined), (mixed, self._parted), (rest, self._alone)):
             rows = np.flatnonzero(kind)
-            listed = cores.take(pa.array(rows)).to_pylist()
-            for at in range(0, len(rows), JOINED):
-                some = listed[at:at + JOINED]
-                counts = [len(_PARTS.findall(w.lower())) for w in some] if kind is mixed else None
-                ids = None if tokenizer is None else self._joined(some, counts, tokenizer)
-                if ids is None:
-                    alone = [np.frombuffer(x, ID_TYPE) for x in self.whole(some)]
-                    ids = np.concatenate(alone), np.array([len(x) for x in alone], np.int64)
-                parts.append(ids[0])
-                size[rows[at:at + JOINED]] = ids[1]
+            for at in range(0, len(rows), _SLICE):
+                some = rows[at:at + _SLICE]
+                cuts = np.append(np.arange(0, len(some), JOINED), len(some))
+                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()),
+                                                                cores.take(pa.array(some))), " ")
+                for first, last, text in zip(cuts, cuts[1:], texts.to_pylist()):
+                    ids = rules(text) or self._alone(text)
+                    parts.append(ids[0])
+                    size[some[first:last]] = ids[1]
             order.append(rows)
         if not parts:
             return Ragged(np.zeros(0, ID_TYPE), size)
@@ -161,15 +179,34 @@ class Encoder:
         place[by_kind] = np.arange(len(by_kind))
         return Ragged(np.concatenate(parts), size[by_kind]).take(place)
 
-    def _joined(self, words: list[str], counts: list[int] | None, tokenizer) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of words encoded as one text, and how many each has; None if they can't be told apart.
+    def _plain(self, text: str) -> Coded | None:
+        """Ids of lower-case words that no rule parts, written in the letters of their bytes."""
+        if not text.isascii():
+            if not unicodedata.is_normalized("NFC", text):
+                return self._joined(text)
+            text = _LETTERS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids, size, tokenize = [], [], self.model.tokenize
+        for word in text.split(" "):
+            found = tokenize(word)
+            size.append(len(found))
+            ids += [token.id for token in found]
+        return np.array(ids, ID_TYPE), np.array(size, np.int64)
+
+    def _alone(self, text: str) -> Coded:
+        ids = [np.frombuffer(x, ID_TYPE) for x in self.whole(text.split(" "))]
+        return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+
+    def _parted(self, text: str) -> Coded | None:
+        return self._joined(text, [len(_PARTS.findall(w.lower())) for w in text.split(" ")])
+
+    def _joined(self, text: str, counts: list[int] | None = None) -> Coded | None:
+        """Ids of the words of a text, and how many each has; None if they can't be told apart.
 
         A word has as many ids that end a part as counts say (else one).
         """
-        text = " ".join(words)
-        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID_TYPE)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID_TYPE)
         stops = np.flatnonzero(self.final[ids]) + 1
-        ends = np.arange(1, len(words) + 1) if counts is None else np.cumsum(counts)
+        ends = np.arange(1, text.count(" ") + 2) if counts is None else np.cumsum(counts)
         if len(stops) != ends[-1] or (counts is not None and min(counts) == 0) or stops[-1] != len(ids):
             return None
         return ids, np.diff(stops[ends - 1], prepend=0)

@@ -260,6 +260,9 @@ def test_words_give_the_ids_of_whole_texts(small):
     low = [chr(c) for c in range(1, 0x3000) if chr(c).isalpha()]
     texts += [" ".join(low[k:k + 400]) for k in range(0, len(low), 400)]
     texts += [" ".join(f"({a}b{a}).{a}1" for a in low[k:k + 400]) for k in range(0, len(low), 400)]
+    pick = random.Random(5)
+    odd = [*"abXY09éÉñüßİıſςΣά漢́\xad\u200b\u3000'\".,;:!?&%$*#|()-_/<>@\t\n\r\x0c  \x00\x7f🙂ﬁǅʼ½²", "<|endoftext|>", "don't"]
+    texts += ["".join(pick.choices(odd, k=pick.randrange(60))) for _ in range(3000)]
     got = tokens.Encoder(tokens.default_vocabulary())(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids[:-1] for ids in brute_ids(texts, 0)]
 
