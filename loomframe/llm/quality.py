@@ -1,10 +1,17 @@
 """Quality rules: fixed base rules, and fences from quantile sketches per language and source.
 
 ``measures`` counts what the rules look at, over whole texts, in Arrow batches. ``sketches``
-summarises each measured ratio per (lang, source) as counts in buckets whose width grows
-with the value (relative error 1/16). Two sketches are merged by adding their counts, which
-is what the map-side aggregate does, and what joins small groups into their language's
-sketch. ``judge`` joins the fences derived from them to every document.
+summarises each measured ratio, and what it is a ratio of, per (lang, source) as counts in
+buckets whose width grows with the value (relative error 1/16). Two sketches are merged by
+adding their counts, which is what the map-side aggregate does, and what joins small groups
+into their language's sketch. ``judge`` joins the fences derived from them to every document.
+
+A fence lies ``STEPS`` quartile distances outside a group's quartiles. Most documents have no
+symbol, no repeated line and no repeated words, so those quartiles are often all 0; there the
+fence is what ``EVENTS`` occurrences make up in a document of the group's median size. So a
+source of long documents gets lower fences than one of short ones. Mean word length has a
+fence on either side; there, an occurrence is a word of twice the usual length, and where
+both quartiles are one (copies may fill a source) the fence is as far away as the language's.
 
 Null text has no words and fails the base rules. A null language or source is a group of
 its own. Repeated rows are judged one by one, alike. An empty table gives an empty result.
@@ -25,11 +32,10 @@ _IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 
 #: Groups with fewer documents use their language's sketch, and languages that of all.
 LEAST_GROUP = 50
-#: Fence: third quartile plus so many quartile distances, which count as at least ``LEAST_STEP``.
-STEPS = 4
-#: Measured ratio: its smallest quartile distance. Symbols and lines and words that are
-#: repeated in thousandths; mean word length in tenths of a character.
-LEAST_STEP = {"symbols": 20, "dup_lines": 100, "repeats": 50, "word_length": 10}
+#: Quartile distances, and occurrences in a document of median size, that a fence lies away.
+STEPS, EVENTS = 4, 4
+#: Words that one occurrence of a repeated run makes up at least: both of its places.
+REPEAT = 10
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
             "n_repeat_words long, n_lines long")
@@ -101,6 +107,12 @@ def ratios() -> dict[str, Column]:
             "word_length": of(10 * F.col("word_chars"), "n_words")}
 
 
+def sizes() -> dict[str, Column]:
+    """How many occurrences would make up a whole document, by ratio."""
+    return {"symbols": F.col("word_chars"), "dup_lines": F.col("n_lines"),
+            "repeats": F.floor(F.col("n_words") / REPEAT).cast("long"), "word_length": F.col("n_words")}
+
+
 def bucket(value: Column) -> Column:
     """Bucket of a whole number from 0: itself below 32, then 16 buckets for each doubling."""
     shift = F.greatest(F.length(F.bin(value)) - 5, F.lit(0))
@@ -114,18 +126,24 @@ def bucket_top(index: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """lang, source, ratio, bucket, n: the sketch of every ratio of every group.
+    """lang, source, ratio, bucket, n: the sketch of every ratio and size of every group.
 
     One row per group, ratio and occupied bucket (some hundred each), however many documents.
     """
     each = F.explode(F.array(*[F.struct(F.lit(name).alias("ratio"), bucket(value).alias("bucket"))
-                               for name, value in ratios().items()])).alias("r")
+                               for name, value in [*ratios().items(), *[
+                                   (f"size_{k}", v) for k, v in sizes().items()]]])).alias("r")
     return (measured.filter(~base_failed()).select("lang", "source", each)
             .groupBy("lang", "source", "r.ratio", "r.bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
-def fences(sketch: DataFrame, least_group: int = LEAST_GROUP, steps: int = STEPS) -> DataFrame:
-    """lang, source and the largest accepted value of each ratio, for every group."""
+#: Ratio and side of every fence.
+FENCES = ("most_symbols", "most_dup_lines", "most_repeats", "most_word_length", "least_word_length")
+
+
+def fences(sketch: DataFrame, least_group: int = LEAST_GROUP, steps: int = STEPS,
+           events: int = EVENTS) -> DataFrame:
+    """lang, source and the fences (``FENCES``, accepted themselves) of every group."""
     merged = [sketch.withColumn("level", F.lit(0)),
               sketch.withColumns({"source": F.lit(None).cast("string"), "level": F.lit(1)}),
               sketch.withColumns({"source": F.lit(None).cast("string"),
@@ -136,24 +154,39 @@ def fences(sketch: DataFrame, least_group: int = LEAST_GROUP, steps: int = STEPS
     ranked = counted.select("*", F.sum("n").over(group).alias("total"),
                             F.sum("n").over(group.orderBy("bucket")).alias("upto"))
     def quartile(part: int) -> Column:
-        return bucket_top(F.min(F.when(4 * F.col("upto") >= part * F.col("total"), F.col("bucket"))))
-    least = F.create_map(*[F.lit(x) for pair in LEAST_STEP.items() for x in pair])
-    fence = (ranked.groupBy("level", "lang", "source", "ratio")
-             .agg(F.max("total").alias("total"), quartile(1).alias("q1"), quartile(3).alias("q3"))
-             .withColumn("fence", F.col("q3") + steps * F.greatest(
-                 F.col("q3") - F.col("q1"), least[F.col("ratio")]))
-             .groupBy("level", "lang", "source").pivot("ratio", list(LEAST_STEP))
-             .agg(F.struct(F.max("fence").alias("fence"), F.max("total").alias("total"))))
-    names = list(LEAST_STEP)
-    fence = stored(fence)
+        return F.min(F.when(4 * F.col("upto") >= part * F.col("total"), F.col("bucket")))
+
+    names = [*ratios(), *[f"size_{k}" for k in sizes()]]
+    quartiles = F.struct(F.max("total").alias("total"), F.max("low").alias("low"),
+                         F.max("middle").alias("middle"), F.max("high").alias("high"), F.max("even").alias("even"))
+    wide = (ranked.groupBy("level", "lang", "source", "ratio")
+            .agg(F.max("total").alias("total"), quartile(1).alias("q1"), quartile(2).alias("q2"), quartile(3).alias("q3"))
+            .select("*", (bucket_top(F.col("q1") - 1) + 1).alias("low"), bucket_top(F.col("q2")).alias("middle"),
+                    bucket_top(F.col("q3")).alias("high"), (F.col("q1") == F.col("q3")).alias("even"))
+            .groupBy("level", "lang", "source").pivot("ratio", names).agg(quartiles))
+
+    def away(name: str) -> Column:
+        occurrence = F.col("word_length.high") if name == "word_length" else F.lit(1000)
+        occurring = F.floor(events * occurrence / F.greatest(F.col(f"size_{name}.middle"), F.lit(1)))
+        return F.greatest(steps * (F.col(f"{name}.high") - F.col(f"{name}.low")), occurring).cast("long")
+
+    fence = stored(wide.select(
+        "level", "lang", "source", F.col("symbols.total").alias("total"),
+        *[(F.col(f"{name}.high") + away(name)).alias(f"most_{name}") for name in ratios() if name != "word_length"],
+        F.col("word_length.low").alias("low"), F.col("word_length.high").alias("high"), F.col("word_length.even").alias("even"),
+        away("word_length").alias("away")))
     overall = fence.filter(F.col("level") == 2).first()  # one row, or none of an empty table
     level = [fence.filter(F.col("level") == k).alias(f"l{k}") for k in range(2)]
     both = level[0].join(level[1], F.col("l0.lang").eqNullSafe(F.col("l1.lang")), "left")
+
     def pick(name: str) -> Column:
-        return F.when(F.col(f"l0.{name}.total") >= least_group, F.col(f"l0.{name}.fence")) \
-            .when(F.col(f"l1.{name}.total") >= least_group, F.col(f"l1.{name}.fence")) \
-            .otherwise(F.lit(overall and overall[name]["fence"]).cast("long"))
-    return both.select("l0.lang", "l0.source", *[pick(n).alias(f"most_{n}") for n in names])
+        return F.when(F.col("l0.total") >= least_group, F.col(f"l0.{name}")) \
+            .when(F.col("l1.total") >= least_group, F.col(f"l1.{name}")) \
+            .otherwise(F.lit(overall and overall[name]).cast(fence.schema[name].dataType))
+    far = F.greatest(pick("away"), F.when(pick("even"), F.col("l1.away")))
+    lengths = {"most_word_length": pick("high") + far, "least_word_length": pick("low") - far}
+    return both.select("l0.lang", "l0.source", *[(lengths[name] if name in lengths else pick(name)).alias(name)
+                                                 for name in FENCES])
 
 
 def _held_to(measured: DataFrame, limits: DataFrame) -> DataFrame:
@@ -161,24 +194,24 @@ def _held_to(measured: DataFrame, limits: DataFrame) -> DataFrame:
     m, f = measured.alias("m"), limits.alias("f")
     joined = m.join(f, F.col("m.lang").eqNullSafe(F.col("f.lang"))
                     & F.col("m.source").eqNullSafe(F.col("f.source")), "left")
-    within = F.lit(True)
+    within = ratios()["word_length"] >= F.col("least_word_length")
     for name, value in ratios().items():
         within = within & (value <= F.col(f"most_{name}"))
     failed = base_failed()
-    return joined.select("m.*", *[f"most_{name}" for name in LEAST_STEP], failed.alias("base_failed"),
+    return joined.select("m.*", *FENCES, failed.alias("base_failed"),
                          F.when(failed, False).otherwise(within).alias("kept"))
 
 
 def judge(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, and the fences each document was held to.
 
-    Kept: passes the base rules and no ratio lies above its group's fence.
+    Kept: passes the base rules and no ratio lies outside its group's fences.
     """
     measured = stored(measures(docs))
     limits = fences(stored(sketches(measured)), **settings)
     return _held_to(measured, limits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        *[f"most_{name}" for name in LEAST_STEP])
+        *FENCES)
 
 
 def passed(docs: DataFrame, **settings) -> DataFrame:
@@ -214,28 +247,35 @@ v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
     1000 * n_repeat_words // greatest(n_words, 1) AS repeats, 10 * word_chars // greatest(n_words, 1) AS word_length FROM m),
 b AS (SELECT lang, source, u.ratio, u.v FROM (SELECT lang, source, unnest([
     {ratio: 'symbols', v: symbols}, {ratio: 'dup_lines', v: dup_lines}, {ratio: 'repeats', v: repeats},
-    {ratio: 'word_length', v: word_length}]) AS u FROM v WHERE NOT base_failed)),
+    {ratio: 'word_length', v: word_length}, {ratio: 'size_symbols', v: word_chars}, {ratio: 'size_dup_lines', v: n_lines},
+    {ratio: 'size_repeats', v: n_words // 10}, {ratio: 'size_word_length', v: n_words}]) AS u FROM v WHERE NOT base_failed)),
 s AS (SELECT lang, source, ratio, 16 * greatest(length(bin(v)) - 5, 0)
     + (v >> greatest(length(bin(v)) - 5, 0)::BIGINT) AS bucket FROM b),
 c AS (SELECT level, lang, source, ratio, bucket, count(*) AS n FROM (SELECT 0 AS level, * FROM s
     UNION ALL SELECT 1, lang, NULL, ratio, bucket FROM s UNION ALL SELECT 2, NULL, NULL, ratio, bucket FROM s) GROUP BY ALL),
 k AS (SELECT *, sum(n) OVER g AS total, sum(n) OVER (g ORDER BY bucket) AS upto FROM c
     WINDOW g AS (PARTITION BY level, lang, source, ratio)),
-q AS (SELECT level, lang, source, ratio, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS b1,
-    min(bucket) FILTER (4 * upto >= 3 * total) AS b3 FROM k GROUP BY ALL),
-t AS (SELECT *, (b1 - 16 * greatest(b1 // 16 - 1, 0) + 1) * power(2, greatest(b1 // 16 - 1, 0))::BIGINT - 1 AS q1,
-    (b3 - 16 * greatest(b3 // 16 - 1, 0) + 1) * power(2, greatest(b3 // 16 - 1, 0))::BIGINT - 1 AS q3 FROM q),
-f AS (SELECT level, lang, source, ratio, total, (q3 + 4 * greatest(q3 - q1, CASE ratio WHEN 'symbols' THEN 20
-    WHEN 'dup_lines' THEN 100 WHEN 'repeats' THEN 50 ELSE 10 END))::BIGINT AS fence FROM t),
-p AS (SELECT a.lang, a.source, a.ratio, CASE WHEN a.total >= 50 THEN a.fence WHEN l.total >= 50 THEN l.fence
-    ELSE g.fence END AS fence FROM f a JOIN f l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM a.lang AND l.ratio = a.ratio
+q AS (SELECT level, lang, source, ratio, max(total) AS total, min(bucket) FILTER (4 * upto >= total) - 1 AS b1,
+    min(bucket) FILTER (4 * upto >= 2 * total) AS b2, min(bucket) FILTER (4 * upto >= 3 * total) AS b3 FROM k GROUP BY ALL),
+t AS (SELECT *, b1 + 1 = b3 AS even, (b1 - 16 * greatest(b1 // 16 - 1, 0) + 1) * power(2, greatest(b1 // 16 - 1, 0))::BIGINT AS low,
+    (b2 - 16 * greatest(b2 // 16 - 1, 0) + 1) * power(2, greatest(b2 // 16 - 1, 0))::BIGINT - 1 AS middle,
+    (b3 - 16 * greatest(b3 // 16 - 1, 0) + 1) * power(2, greatest(b3 // 16 - 1, 0))::BIGINT - 1 AS high FROM q),
+f AS (SELECT a.level, a.lang, a.source, a.ratio, a.total, a.low, a.high, a.even, greatest(4 * (a.high - a.low),
+    4 * CASE a.ratio WHEN 'word_length' THEN a.high ELSE 1000 END // greatest(z.middle, 1)) AS away
+    FROM t a JOIN t z ON z.level = a.level AND z.lang IS NOT DISTINCT FROM a.lang
+        AND z.source IS NOT DISTINCT FROM a.source AND z.ratio = 'size_' || a.ratio),
+o AS (SELECT a.lang, a.source, a.ratio, l.away AS of_lang, CASE WHEN a.total >= 50 THEN a WHEN l.total >= 50 THEN l
+    ELSE g END AS f FROM f a JOIN f l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM a.lang AND l.ratio = a.ratio
     JOIN f g ON g.level = 2 AND g.ratio = a.ratio WHERE a.level = 0),
+p AS (SELECT lang, source, ratio, (f.high + far)::BIGINT AS fence, (f.low - far)::BIGINT AS least
+    FROM (SELECT *, CASE WHEN ratio = 'word_length' AND f.even THEN greatest(f.away, of_lang) ELSE f.away END AS far FROM o)),
 x AS (SELECT lang, source, max(fence) FILTER (ratio = 'symbols') AS most_symbols,
     max(fence) FILTER (ratio = 'dup_lines') AS most_dup_lines, max(fence) FILTER (ratio = 'repeats') AS most_repeats,
-    max(fence) FILTER (ratio = 'word_length') AS most_word_length FROM p GROUP BY ALL)
+    max(fence) FILTER (ratio = 'word_length') AS most_word_length,
+    max(least) FILTER (ratio = 'word_length') AS least_word_length FROM p GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     CASE WHEN base_failed THEN false ELSE symbols <= most_symbols AND dup_lines <= most_dup_lines
-        AND repeats <= most_repeats AND word_length <= most_word_length END AS kept,
-    most_symbols, most_dup_lines, most_repeats, most_word_length
+        AND repeats <= most_repeats AND word_length BETWEEN least_word_length AND most_word_length END AS kept,
+    most_symbols, most_dup_lines, most_repeats, most_word_length, least_word_length
 FROM v LEFT JOIN x ON v.lang IS NOT DISTINCT FROM x.lang AND v.source IS NOT DISTINCT FROM x.source
 """

@@ -86,6 +86,39 @@ def test_quality_of_awkward_rows(spark, docs, empty, tmp_path):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [4, 5, 5, 6]
 
 
+def _prose(pick, words, tables=False):
+    """Lines of five words of about five letters; with bars between the words if asked."""
+    text = ["".join(pick.choices("abcdefghijklmnop", k=pick.choice((4, 5, 5, 6)))) for _ in range(words)]
+    lines = [" | ".join(text[k:k + 5]) if tables else " ".join(text[k:k + 5]) for k in range(0, words, 5)]
+    return "\n".join(lines)
+
+
+def test_each_fence_rejects_what_is_unusual_in_its_group(spark):
+    pick = random.Random(3)
+    plain = [_prose(pick, 200) for _ in range(120)]
+    tables = [_prose(pick, 200, tables=True) for _ in range(120)]
+    long = [_prose(pick, 2000) for _ in range(60)]
+    often = _prose(pick, 1900).split("\n")
+    for k in range(0, 360, 30):
+        often[k] += " once told tale comes again"
+    odd = {"symbols": _prose(pick, 200) + " " + "# " * 40, "word_length": " ".join(w * 3 for w in _prose(pick, 200).split()),
+           "short": " ".join(_prose(pick, 200).replace("\n", "")[k] for k in range(0, 400, 2)),
+           "dup_lines": _prose(pick, 60) + "\none line" * 30}
+    texts = [*[("plain", f"p{k}", t) for k, t in enumerate(plain)], *[("tables", f"t{k}", t) for k, t in enumerate(tables)],
+             *[("long", f"l{k}", t) for k, t in enumerate(long)], *[("plain", k, t) for k, t in odd.items()],
+             ("plain", "bars", tables[0] + "\nso"), ("tables", "free", plain[0] + "\nso"), ("long", "repeats", "\n".join(often))]
+    docs = spark.createDataFrame([(k, t, "en", s, n) for k, (s, n, t) in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, name string")
+    names = {k: n for k, (_, n, _) in enumerate(texts)}
+    got = quality.judge(docs).collect()
+    assert {names[r.doc_id] for r in got if not r.kept} == {*odd, "bars", "repeats"}
+    by = {names[r.doc_id]: r for r in got}
+    assert not by["repeats"].base_failed and by["repeats"].n_repeat_words == 60
+    assert 1000 * by["dup_lines"].n_dup_lines // 42 > by["dup_lines"].most_dup_lines
+    # Longer documents, closer fences: one repeat weighs less in them.
+    assert by["l0"].most_repeats * 5 < by["p0"].most_repeats
+
+
 def test_sketch_buckets_hold_their_numbers(spark):
     got = spark.range(0, 100_000, 7).select("id", quality.bucket(F.col("id")).alias("b")) \
         .select("id", "b", quality.bucket_top(F.col("b")).alias("top")).collect()
