@@ -271,6 +271,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str | None = No
 
     Null text is empty and has only the end id. Documents with a null id come first; equal
     ids are ordered by the checksum of their ids. An empty table gives no files and no rows.
+    More than 2 ** ``LONGEST`` distinct ids have no code of that length, and raise ValueError.
     """
     encoded = token_ids(docs, vocabulary or tokens.default_vocabulary())
     path = new_folder(spark, "ids")

@@ -8,7 +8,9 @@ dealt evenly into shards of about ``SHARD_TOKENS`` ids, each packed by one task:
    room, or *exchanged* one for one, two for one, or one for two, against shorter pieces of
    a fuller bin. Every step makes the sum of squared fills larger, so the search ends; a bin
    that becomes empty is gone. A bin that no step improves is left, and the next is tried,
-   until the bound of the summed lengths is reached.
+   until the bound of the summed lengths is reached or ``PATIENCE`` bins in a row were left.
+   Pairs to give away come from a bin's eight longest pieces, pairs to take are a bin's two
+   shortest; so more sequences may remain than a full search would leave.
 
 A shard wastes at most what its own rest bins leave over, less than a thousandth of it.
 Null text is empty and has only the end id. Repeated rows are packed as separate documents.
