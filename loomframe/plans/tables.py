@@ -311,19 +311,20 @@ def title_label(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", c.title_label(name).alias("label"))
 
 
-METHODS = ("{'standardisation_method': 'minmax'}", "{'ranked_standardisation': False}",
-           "{'standardisation_method': 'ranked', 'a': 1}", "{'ranked_standardisation': True}",
-           "{'standardisation_method': 'meanstd'}", "{}")
+METHODS = {"view": "minmax", "click": "meanstd", "purchase": "ranked"}
 
 
-@plan.add("SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'minmax' WHEN 1 THEN 'meanstd' "
-          "WHEN 2 THEN 'ranked' WHEN 3 THEN 'ranked' WHEN 4 THEN 'meanstd' END AS std_method "
-          "FROM events")
+@plan.add("SELECT event_id, CASE event_type WHEN 'view' THEN 'minmax' WHEN 'click' THEN 'meanstd' "
+          "WHEN 'purchase' THEN 'ranked' WHEN 'error' THEN CASE WHEN value > 10 THEN 'ranked' ELSE 'meanstd' END "
+          "END AS std_method FROM events")
 def std_method_label(spark, sf_dir):
-    text = F.element_at(F.array(*[F.lit(m) for m in METHODS]),
-                        (F.pmod("event_id", F.lit(6)) + 1).cast("int"))
-    return table(spark, sf_dir, "events").select(
-        "event_id", c.std_method_label(text).alias("std_method"))
+    """From a parameter list written out of each event; errors write the older spelling, signups no known method."""
+    known = F.create_map(*[F.lit(x) for pair in METHODS.items() for x in pair])
+    new = F.format_string("'standardisation_method': '%s'", F.coalesce(known[F.col("event_type")], "event_type"))
+    old = F.format_string("'ranked_standardisation': %s", F.when(F.col("value") > 10, "True").otherwise("False"))
+    text = F.concat(F.lit("{'props': "), F.coalesce("props", F.lit("None")), F.lit(", "),
+                    F.when(F.col("event_type") == "error", old).otherwise(new), F.lit("}"))
+    return table(spark, sf_dir, "events").select("event_id", c.std_method_label(text).alias("std_method"))
 
 
 # -- SQL text -----------------------------------------------------------------
