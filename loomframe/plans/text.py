@@ -230,12 +230,11 @@ def result_by_id(spark, sf_dir):
 
 @plan.add("SELECT doc_id AS number, text || chr(10) AS text FROM documents")
 def read_corpus(spark, sf_dir):
-    # One folder per document, as the writer names the files in it; each ends with a line end.
-    path = _new_path(spark)
-    docs = table(spark, sf_dir, "documents").select("text", F.concat(F.col("doc_id").cast("string"), F.lit(" - text"))
-                                                    .alias("name"))
-    docs.repartition("name").write.partitionBy("name").text(path)
-    return files.read_corpus(spark, path, number=r"name=(\d+)").select("number", "text")
+    # One file per document; each row's text ends with a line end.
+    docs = table(spark, sf_dir, "documents").select("text", F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(" - text.txt")).alias("name"))
+    folders = files.write_each(docs, "name", "text", _new_path(spark))
+    return files.read_corpus(spark, folders).select("number", "text")
 
 
 @plan.add("""SELECT user_id::BIGINT AS subject_id, event_id::DOUBLE AS timestamp, (event_id % 25)::INT AS activity_id,

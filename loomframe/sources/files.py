@@ -1,4 +1,4 @@
-"""Readers: every one is a declared schema and a lazy scan."""
+"""Readers, each a declared schema and a lazy scan, and a writer of many small files."""
 
 from __future__ import annotations
 
@@ -9,6 +9,53 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomframe.session import stored
+
+
+def write_each(df: DataFrame, name: str, line: str, folder: str) -> list[str]:
+    """Write one text file per name (without ``/``) that holds its lines; gives the folders of files.
+
+    Every task has one folder for all its files, which costs far less than a folder and a
+    committed file per name. The folders of tasks that failed are not in the list.
+    """
+    def write(batches):
+        import contextlib
+        import os
+        import uuid
+        from urllib.parse import unquote, urlparse
+
+        import pyarrow as pa
+
+        parsed = urlparse(folder)
+        store, own = None, f"{folder}/{uuid.uuid4().hex}"
+        inner = unquote(urlparse(own).path)
+        if parsed.scheme not in ("", "file"):
+            from pyarrow import fs
+            store, inner = fs.FileSystem.from_uri(own)
+        last, files = None, contextlib.ExitStack()
+        with files:
+            for batch in batches:
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    if key != last:
+                        if last is None:
+                            store.create_dir(inner, recursive=True) if store else os.makedirs(inner)
+                        files.close()
+                        out = files.enter_context(store.open_output_stream(f"{inner}/{key}") if store
+                                                  else open(f"{inner}/{key}", "wb"))
+                        last = key
+                    out.write(text.as_buffer() if text.is_valid else b"")
+                    out.write(b"\n")
+        if last is not None:
+            yield pa.RecordBatch.from_pydict({"folder": [own]})
+
+    # A file's lines come one after the other, so a task has one open file.
+    rows = df.select(F.col(name).cast("string").alias("name"), F.col(line).cast("string").alias("line"))
+    rows = rows.repartition("name").sortWithinPartitions("name")
+    found = [r["folder"] for r in stored(rows.mapInArrow(write, "folder string")).collect()]  # one per task
+    if not found:  # an empty folder
+        df.sparkSession.createDataFrame([], "value string, part string").write.partitionBy("part").text(folder)
+    return found or [folder]
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema, quote: str = '"') -> DataFrame:
     """Comma-separated text with a header line; NaN and empty fields become null."""
@@ -73,7 +120,7 @@ def flat_messages(df: DataFrame) -> DataFrame:
                      *[F.col(f"headers.`{h}`").alias(n) for n, h in names.items()])
 
 
-def read_corpus(spark: SparkSession, path: str, glob: str = "*.txt", number: str = r"/(\d+)[^/]*$") -> DataFrame:
+def read_corpus(spark: SparkSession, path: str | list[str], glob: str = "*.txt", number: str = r"/(\d+)[^/]*$") -> DataFrame:
     """One row per text file with the number a pattern finds in its path (by default
     the digits its name starts with), in that order."""
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(

@@ -106,3 +106,25 @@ def test_logs_scores_and_submissions(spark, tmp_path):
     tables.save_submission(spark.createDataFrame([(1, "3 4")], "order_id int, products string"),
                            str(tmp_path / "sub"))
     assert rows(spark.read.csv(str(tmp_path / "sub"), header=True)) == [("1", "3 4")]
+
+
+def test_one_file_per_name_without_a_folder_each(spark, tmp_path):
+    df = spark.createDataFrame([*((f"{i} - a.txt", f"é{i}") for i in range(300)), ("7 - a.txt", "é7"), ("8 - a.txt", None),
+                                ("none - a.txt", "x")], "name string, line string")
+    folders = files.write_each(df, "name", "line", str(tmp_path / "many"))
+    assert 1 <= len(folders) <= 4  # the shuffle's tasks, not the names
+    got = dict(map(tuple, files.read_corpus(spark, folders).select("name", "text").collect()))
+    assert len(got) == 301 and got["7 - a.txt"] == "é7\né7\n" and got["none - a.txt"] == "x\n"
+    assert sorted(got["8 - a.txt"]) == sorted("é8\n\n")
+    none = files.write_each(df.limit(0), "name", "line", str(tmp_path / "none"))
+    assert files.read_corpus(spark, none).count() == 0
+    assert files.read_sensor_files(spark, none, "heart").count() == 0
+
+
+def test_queries_write_few_folders(spark, tmp_path):
+    from loomframe.plans import text
+    spark.createDataFrame([(i, f"text {i}") for i in range(60)] + [(None, "x"), (-4, None)], "doc_id long, text string"
+                          ).write.parquet(str(tmp_path / "documents.parquet"))
+    read = text.read_corpus(spark, str(tmp_path))
+    assert len({f.rsplit("/", 1)[0] for f in read.inputFiles()}) <= 4
+    assert rows(read) == sorted([(i, f"text {i}\n") for i in range(60)] + [(None, "x\n"), (None, "\n")], key=repr)
