@@ -240,13 +240,14 @@ def read_corpus(spark, sf_dir):
 @plan.add("""SELECT user_id::BIGINT AS subject_id, event_id::DOUBLE AS timestamp, (event_id % 25)::INT AS activity_id,
   CASE WHEN event_type <> 'error' THEN value::FLOAT END AS heart_rate FROM events""")
 def read_sensor_files(spark, sf_dir):
-    path = _new_path(spark)
     known = {"timestamp": F.col("event_id").cast("double"), "activity_id": (F.col("event_id") % 25).cast("int"),
              "heart_rate": F.when(F.col("event_type") != "error", F.col("value").cast("float"))}
-    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("subject"), *[
-        known.get(c, F.lit(None).cast("float")).alias(c) for c in files.SENSOR_COLUMNS])
-    rows.repartition("subject").write.partitionBy("subject").csv(path, sep=" ", nullValue="NaN")
-    return files.read_sensor_files(spark, path, "heart", subject=r"subject=(\d+)/")
+    line = F.concat_ws(" ", *[F.coalesce(known[c].cast("string"), F.lit("NaN")) if c in known else F.lit("NaN")
+                              for c in files.SENSOR_COLUMNS])
+    name = F.concat(F.lit("subject="), F.coalesce(F.col("user_id").cast("string"), F.lit("none")), F.lit(".csv"))
+    rows = table(spark, sf_dir, "events").select(name.alias("name"), line.alias("line"))
+    folders = files.write_each(rows, "name", "line", _new_path(spark))
+    return files.read_sensor_files(spark, folders, "heart", subject=r"subject=(\d+)\.csv$")
 
 
 @plan.add("""SELECT event_type, count(*) FILTER (event_id % 3 = 0) AS c0, count(*) FILTER (event_id % 3 = 1) AS c1,
