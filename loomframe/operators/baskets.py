@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.functions.columns import safe_ratio
 from loomframe.operators.joins import skew_join
-from loomframe.operators.ordered import Ordered, first_row, previous, run_sum
+from loomframe.operators.ordered import Ordered, first_row, groups_fit, previous, run_sum
 from loomframe.operators.relational import label_by_presence
 from loomframe.session import stored
 
@@ -92,23 +92,34 @@ def basket_transitions(orders: DataFrame, op: DataFrame) -> DataFrame:
     """Every product in an order or in the one before it, with both flags.
 
     One aggregate over the lines and the lines moved on by one order stands for
-    the two-way outer join; the flags combine on the map side.
+    the two-way outer join. Lines and orders move once, by user, and each line is
+    doubled where it then lies; only when a user has very many orders are the rows
+    of single orders dealt out instead.
     """
-    key = ["user_id", "predicted_order_num", "product_id"]
-    now = op.select("user_id", F.col("order_number").alias("predicted_order_num"), "product_id",
-                    F.lit(0).alias("in_prev_order"), F.lit(1).alias("in_cur_order"))
-    shifted = op.select("user_id", (F.col("order_number") + 1).alias("predicted_order_num"),
-                        "product_id", F.lit(1).alias("in_prev_order"),
-                        F.lit(0).alias("in_cur_order"))
-    pairs = now.unionByName(shifted).filter(F.col("predicted_order_num") >= 2)
-    pairs = pairs.groupBy(*key).agg(F.max("in_prev_order").alias("in_prev_order"),
-                                    F.max("in_cur_order").alias("in_cur_order"))
-    target = _prior(orders, "eval_set").select(
-        "user_id", F.col("order_number").alias("predicted_order_num"),
-        F.col("order_id").alias("predicted_order_id"))
-    return pairs.join(target, ["user_id", "predicted_order_num"]).select(
-        "user_id", "predicted_order_num", "predicted_order_id", "product_id", "in_prev_order",
-        "in_cur_order")
+    num, known = "predicted_order_num", F.col("user_id").isNotNull()
+    lines = op.filter(known).select("user_id", F.col("order_number").alias(num), "product_id")
+    target = _prior(orders, "eval_set").filter(known).select(
+        "user_id", F.col("order_number").alias(num), F.col("order_id").alias("predicted_order_id"))
+    rows = lines.withColumns({"_order": F.lit(None).cast(target.schema["predicted_order_id"].dataType),
+                              "_line": F.lit(True)}).unionByName(
+        target.select("user_id", num, F.lit(None).cast(lines.schema["product_id"].dataType).alias("product_id"),
+                      F.col("predicted_order_id").alias("_order"), F.lit(False).alias("_line")))
+    if groups_fit(orders, ["user_id"]):
+        rows = rows.repartition("user_id")
+    # A line counts for its own order and the next one, a target order for itself.
+    own = F.struct(F.lit(0).alias("step"), F.lit(0).alias("prev"), F.col("_line").cast("int").alias("cur"))
+    after = F.struct(F.lit(1).alias("step"), F.lit(1).alias("prev"), F.lit(0).alias("cur"))
+    rows = rows.withColumn("_for", F.explode(F.when(F.col("_line"), F.array(own, after)).otherwise(F.array(own))))
+    rows = rows.withColumn(num, F.col(num) + F.col("_for.step")).filter(F.col(num) >= 2)
+    pairs = rows.groupBy("user_id", num, "product_id", "_line", "_order").agg(
+        F.max("_for.prev").alias("in_prev_order"), F.max("_for.cur").alias("in_cur_order"),
+        F.count(F.lit(1)).alias("_times"))
+    # Copies of a target order give copies of its rows, as a join does.
+    found = F.collect_list(F.when(~F.col("_line"), F.struct(F.col("_order"), F.col("_times"))))
+    pairs = pairs.withColumn("_targets", found.over(Window.partitionBy("user_id", num)))
+    copies = F.flatten(F.transform("_targets", lambda t: F.array_repeat(t["_order"], t["_times"].cast("int"))))
+    return pairs.filter(F.col("_line")).select(
+        "user_id", num, F.explode(copies).alias("predicted_order_id"), "product_id", "in_prev_order", "in_cur_order")
 
 
 def _basket_sums(transitions: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomframe.operators.ordered import groups_fit
 from loomframe.session import group_limit, stored
 
 _names = itertools.count()
@@ -39,7 +40,10 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("the left side must be the preserved side")
-    hot = hot_keys(left if hot_from is None else hot_from, on, group_limit(left.sparkSession))
+    counted = left if hot_from is None else hot_from
+    if groups_fit(counted, on):
+        return left.join(right, on, how)
+    hot = hot_keys(counted, on, group_limit(left.sparkSession))
     if hot.isEmpty():
         return left.join(right, on, how)
     tag = f"_{next(_names)}"

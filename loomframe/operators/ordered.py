@@ -94,9 +94,21 @@ def null_safe(left: DataFrame, right: DataFrame, pairs) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
+#: Groups are first counted together in so many hashed parts.
+HASHED = 1 << 16
+
+
 def groups_fit(df: DataFrame, part: Sequence[str]) -> bool:
-    """Whether no group has more rows than the limit."""
+    """Whether no group has more rows than the limit.
+
+    Rows of whole parts are counted first, which leaves few rows to shuffle; groups by
+    themselves are only counted when a part is above the limit.
+    """
     limit = group_limit(df.sparkSession)
+    parts = df.groupBy(F.pmod(F.xxhash64(*[F.col(p) for p in part]), F.lit(HASHED)).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    if part and parts.filter(F.col("_rows") > limit).isEmpty():
+        return True
     return df.groupBy(*part).agg(F.count(F.lit(1)).alias("_rows")).filter(
         F.col("_rows") > limit).isEmpty()
 
@@ -123,6 +135,8 @@ class Ordered:
     # -- cutting large groups -------------------------------------------------
 
     def _cut(self, df: DataFrame, axis: Column | None) -> DataFrame:
+        if self.part and groups_fit(df, self.part):
+            return df
         if self.part:
             # At most rows / limit groups can be above the limit.
             large = df.groupBy(*self.part).agg(F.count(F.lit(1)).alias("_rows")).filter(

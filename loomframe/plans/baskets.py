@@ -115,6 +115,11 @@ def _op(spark, sf_dir):
     return stored(basket_lines(spark, sf_dir))
 
 
+def _products(spark, sf_dir):
+    """Written once, so that plans know how small the table is."""
+    return stored(basket_products(spark, sf_dir))
+
+
 # -- orders -------------------------------------------------------------------
 
 @plan.add(f"{BASE}, {DATED} SELECT * FROM dated")
@@ -175,7 +180,7 @@ def check_basket_counts(spark, sf_dir):
 
 @plan.add(f"{BASE}, {MOVES}, {SCORES}, {USERS} SELECT * FROM u_counts")
 def user_counts(spark, sf_dir):
-    return b.user_counts(_op(spark, sf_dir), basket_products(spark, sf_dir))
+    return b.user_counts(_op(spark, sf_dir), _products(spark, sf_dir))
 
 
 @plan.add(rounded_sql(f"{MOVES}, {SCORES}, {USERS}", ["user_id"],
@@ -201,7 +206,7 @@ def user_repeat_stats(spark, sf_dir):
                       _user_doubles(), "users"))
 def join_features(spark, sf_dir):
     return rounded(b.user_features(basket_orders(spark, sf_dir), _op(spark, sf_dir),
-                                   basket_products(spark, sf_dir)))
+                                   _products(spark, sf_dir)))
 
 
 # -- product and pair features ------------------------------------------------
@@ -231,7 +236,7 @@ PAIR_STEPS = f"{DATED}, {MOVES}, {SCORES}, {USERS}, {HISTORY}, {PAIRS}"
                        "position_in_cart_LOG_STD"], "pairs"))
 def user_product_counts(spark, sf_dir):
     op = _op(spark, sf_dir)
-    users = b.user_features(basket_orders(spark, sf_dir), op, basket_products(spark, sf_dir))
+    users = b.user_features(basket_orders(spark, sf_dir), op, _products(spark, sf_dir))
     return rounded(b.user_product_counts(_history(spark, sf_dir, op), users, hot_from=op))
 
 
@@ -240,7 +245,7 @@ def user_product_counts(spark, sf_dir):
 def user_product_recency(spark, sf_dir):
     op, orders = _op(spark, sf_dir), basket_orders(spark, sf_dir)
     dated = b.days_since_first(orders)
-    users = b.user_features(orders, op, basket_products(spark, sf_dir))
+    users = b.user_features(orders, op, _products(spark, sf_dir))
     return rounded(b.user_product_recency(_history(spark, sf_dir, op), dated, users, hot_from=op))
 
 
@@ -248,7 +253,7 @@ def user_product_recency(spark, sf_dir):
 
 def feature_matrix(spark, sf_dir):
     orders = stored(basket_orders(spark, sf_dir))
-    return b.all_features(orders, _op(spark, sf_dir), basket_products(spark, sf_dir))
+    return b.all_features(orders, _op(spark, sf_dir), _products(spark, sf_dir))
 
 
 @plan.add(f"{BASE}, {ALL_STEPS} SELECT user_id, product_id, order_id, eval_set, target, "

@@ -38,15 +38,17 @@ def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.pmod("l_partkey", F.lit(50)).alias("product_id"),
         "l_linenumber")
-    # One row per (order, product) before the join: copies collapse on the map side.
-    raw, lines = lines, lines.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("ln"))
+    # Cheap bounds: an order has at most its raw lines, a user buys a product at
+    # most once per order.
+    small = groups_fit(lines, ["order_id"])
+    # One row per (order, product) before the join. Lines move once, by order; copies
+    # collapse on the map side where an order has very many.
+    lines = (lines.repartition("order_id") if small else lines).groupBy("order_id", "product_id").agg(
+        F.min("l_linenumber").alias("ln"))
     orders = basket_orders(spark, sf_dir).select(
         "order_id", "user_id", "order_number", F.col("eval_set").alias("source"))
     op = lines.join(orders, "order_id")
-    # Cheap bounds: an order has at most its raw lines, a user buys a product at
-    # most once per order.
-    op = Ordered(op, ["order_id"], ["ln", "product_id"],
-                 small=groups_fit(raw, ["order_id"])).scan(add_to_cart_order=row_number())
+    op = Ordered(op, ["order_id"], ["ln", "product_id"], small=small).scan(add_to_cart_order=row_number())
     own = table(spark, sf_dir, "orders")
     op = Ordered(op, ["user_id", "product_id"], ["order_number"],
                  small=groups_fit(own, ["o_custkey"])).scan(_before=previous(F.col("order_number")))

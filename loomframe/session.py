@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Session setting: a group with more rows than this is cut into pieces.
 GROUP_LIMIT = "loomframe.groupRowLimit"
 DEFAULT_GROUP_LIMIT = 2_000_000
+#: Shuffled bytes of a task where the session sets nothing: the narrow rows here take
+#: many times that in memory.
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+DEFAULT_TASK_BYTES = "16m"
 
 
 def build_session(app: str = "loomframe", master: str | None = None, **conf) -> SparkSession:
@@ -23,11 +27,13 @@ def build_session(app: str = "loomframe", master: str | None = None, **conf) ->
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings: one time zone, adaptive plans, skewed joins split."""
+    """Runtime settings: one time zone, adaptive plans, skewed joins split, small tasks."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    if spark.conf.get(TASK_BYTES, None) is None:
+        spark.conf.set(TASK_BYTES, DEFAULT_TASK_BYTES)
     return spark
 
 

@@ -369,3 +369,37 @@ def test_akima_plan_grows_linearly(spark):
     for n in names:
         for r in sequences.interpolate_akima(df, "s", ["t"], [n]).collect():
             assert whole[(r["s"], r["t"])][n] == r[n]
+
+
+def test_transitions_move_lines_once_and_keep_copies(spark):
+    from loomframe.operators import baskets as b
+    orders = spark.createDataFrame([(1, 9, 1, "prior"), (2, 9, 2, "prior"), (2, 9, 2, "prior"), (3, 9, 3, "test"),
+                                    (4, None, 2, "prior")], "order_id long, user_id long, order_number long, eval_set string")
+    op = spark.createDataFrame([(9, 1, 5), (9, 1, None), (9, 2, 5), (9, 2, 6), (9, 2, 6), (9, 3, 7), (None, 2, 5)],
+                               "user_id long, order_number long, product_id long")
+    got = b.basket_transitions(orders, op)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(user_id" in plan
+    found = sorted(map(tuple, got.collect()), key=repr)
+    assert found == sorted(2 * [(9, 2, 2, 5, 1, 1), (9, 2, 2, 6, 0, 1), (9, 2, 2, None, 1, 0)], key=repr)
+
+
+def test_groups_are_counted_in_parts_first(spark):
+    from loomframe.operators.ordered import groups_fit
+    df = spark.range(100).select((F.col("id") % 10).alias("k"), F.when(F.col("id") < 40, F.col("id")).alias("some"))
+    for limit, k, some in ((9, False, False), (10, True, False), (59, True, False), (60, True, True), (100, True, True)):
+        spark.conf.set("loomframe.groupRowLimit", str(limit))
+        try:
+            assert (groups_fit(df, ["k"]), groups_fit(df, ["some"])) == (k, some)
+        finally:
+            spark.conf.unset("loomframe.groupRowLimit")
+
+
+def test_tasks_are_small_unless_the_session_says_otherwise(spark):
+    from loomframe.session import TASK_BYTES, prepare
+    spark.conf.unset(TASK_BYTES)
+    assert prepare(spark).conf.get(TASK_BYTES) in ("16m", "16MB", "16777216b")
+    spark.conf.set(TASK_BYTES, "8m")
+    assert prepare(spark).conf.get(TASK_BYTES) in ("8m", "8MB", "8388608b")
+    spark.conf.unset(TASK_BYTES)
+    prepare(spark)
