@@ -300,21 +300,25 @@ def all_features(orders: DataFrame, op: DataFrame, products: DataFrame) -> DataF
     dated = days_since_first(orders)
     # The largest intermediate result, read by three branches: written once.
     history = stored(purchase_history(op, dated))
-    users = user_features(orders, op, products, history)
+    # Read by two branches, one row per user; and one row per product, small enough to be
+    # sent to all tasks unless there are very many.
+    users = stored(user_features(orders, op, products, history))
+    wares = stored(product_features(op, orders, history))
     wanted = orders.filter(F.col("eval_set").isin("test", "train")).select(
         "user_id", "order_id", "eval_set")
-    # Everything known per user first, so the large pair table meets users once.
-    per_user = join_features([users, current_orders(dated, users), wanted], "user_id")
-    share = F.try_divide("times", "orders_TOT_COUNT")
-    pairs = skew_join(history, per_user, ["user_id"], hot_from=history).withColumns(
-        {"purchased_CNT": F.col("times"), "proportion_of_orders_containing_PROP": share})
-    pairs = pairs.select("*", *_recency())
-    rows = skew_join(pairs, product_features(op, orders, history), ["product_id"],
+    # The narrow history meets users' orders, lines and products before the wide table of users.
+    rows = skew_join(history, join_features([users.select("user_id"), wanted], "user_id"), ["user_id"],
                      hot_from=history)
-    rows = rows.select("user_id", "product_id", "order_id", "eval_set", *FEATURES)
     # Lines of earlier orders cannot match: the filter reaches the scan.
     recent = op.filter(F.col("source") != "prior")
-    return label_by_presence(rows, recent, ["order_id", "product_id"])
+    rows = label_by_presence(rows, recent, ["order_id", "product_id"])
+    rows = skew_join(rows, wares, ["product_id"], hot_from=history)
+    per_user = join_features([users, current_orders(dated, users)], "user_id")
+    share = F.try_divide("times", "orders_TOT_COUNT")
+    rows = skew_join(rows, per_user, ["user_id"], hot_from=history).withColumns(
+        {"purchased_CNT": F.col("times"), "proportion_of_orders_containing_PROP": share})
+    return rows.select("*", *_recency()).select(
+        "user_id", "product_id", "order_id", "eval_set", *FEATURES, "target")
 
 
 # -- predictions to baskets ---------------------------------------------------
