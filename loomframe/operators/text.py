@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.joins import skew_join
+from loomframe.operators.ordered import groups_fit
 from loomframe.session import spread, stored
 
 # Fixed value: words of two or more letters, digits or underscores of any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
 
+#: Base forms that are sent to all tasks; bytes of text in a block of documents, about.
+SENT_ROWS, BLOCK_BYTES = 100_000, 8 << 20
+
 
 def tokens(text: Column, lowercase: bool = True) -> Column:
     return F.regexp_extract_all(F.lower(text) if lowercase else text, F.lit(WORD), F.lit(0))
@@ -43,8 +47,17 @@ def bag_of_words(df: DataFrame, doc: str, text: str, stop: Sequence[str] | DataF
                  lowercase: bool = True) -> DataFrame:
     """Term counts of the terms found in at least ``min_df`` documents.
 
-    The counts are written once, since both the vocabulary and the result read them.
+    Documents are dealt out in blocks; what moves besides their text are the terms of each
+    block with their counts, not the terms of each document. Where that is not possible
+    (an id with very many rows, large tables of stop words or base forms) the counts are
+    written once, since both the vocabulary and the result read them.
     """
+    table = None if lexicon is None else stored(lexicon.select(F.col("token").alias("term"), "base"))
+    few = table is None or table.limit(SENT_ROWS + 1).count() <= SENT_ROWS
+    if min_df > 1 and few and not isinstance(stop, DataFrame) and groups_fit(df, [doc]):
+        size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        n = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES))
+        return _known_in_blocks(_block_counts(df, doc, text, stop, table, lowercase, n), doc, min_df, n)
     counts = term_counts(df, doc, text, stop, lexicon, lowercase)
     if min_df <= 1:
         return counts
@@ -53,6 +66,40 @@ def bag_of_words(df: DataFrame, doc: str, text: str, stop: Sequence[str] | DataF
     return skew_join(counts, vocabulary.select("term"), ["term"], "left_semi")
 
 
+def _block_counts(df: DataFrame, doc: str, text: str, stop: Sequence[str], table: DataFrame | None,
+                  lowercase: bool, n: int) -> DataFrame:
+    """``(_block, doc, term, tf)`` with all rows of a block in one partition."""
+    rows = df.select(doc, text)
+    # Numbers that are dealt out to one partition each, so that no partition holds several blocks.
+    own = F.pmod(F.hash("number"), F.lit(n))
+    numbers = rows.sparkSession.range(32 * n).select(F.col("id").cast("int").alias("number")).groupBy(own).agg(
+        F.min("number").alias("number")).collect()
+    numbers = sorted(x["number"] for x in numbers)
+    place = F.pmod(F.xxhash64(doc), F.lit(len(numbers))).cast("int")
+    rows = rows.withColumn("_block", F.get(F.lit(numbers), place)).repartition(n, "_block")
+    words = rows.select("_block", doc, F.explode(tokens(F.col(text), lowercase)).alias("term"))
+    if stop:
+        words = words.filter(~F.col("term").isin(*stop))
+    counts = words.groupBy("_block", doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    if table is None:
+        return counts
+    based = counts.join(F.broadcast(table), "term", "left").withColumn("term", F.coalesce("base", "term"))
+    return based.groupBy("_block", doc, "term").agg(F.sum("tf").alias("tf"))
+
+
+def _known_in_blocks(counts: DataFrame, doc: str, min_df: int, n: int) -> DataFrame:
+    """The rows of terms with at least ``min_df`` rows."""
+    own = counts.groupBy("_block", "term").agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy("term"))  # at most one row per block
+    known = own.withColumn("_df", total).filter(F.col("_df") >= min_df)
+    known = known.repartition(n, "_block").select("_block", F.lit(None).cast(counts.schema[doc].dataType).alias(doc),
+                                                  "term", F.lit(None).cast("long").alias("tf"))
+    # A null count marks the row that says a term of the block is known.
+    seen = F.bool_or(F.col("tf").isNull()).over(Window.partitionBy("_block", "term"))
+    return counts.unionByName(known).withColumn("_seen", seen).filter(
+        F.col("_seen") & F.col("tf").isNotNull()).select(doc, "term", "tf")
+
+
 def document_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 

@@ -403,3 +403,19 @@ def test_tasks_are_small_unless_the_session_says_otherwise(spark):
     assert prepare(spark).conf.get(TASK_BYTES) in ("8m", "8MB", "8388608b")
     spark.conf.unset(TASK_BYTES)
     prepare(spark)
+
+
+def test_bag_of_words_moves_terms_by_block(spark):
+    from loomframe.operators import text as t
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (2, "cc dd"), (None, "dd ee"), (None, "ff dd"), (3, None)],
+                                 "doc long, text string")
+    got = t.bag_of_words(docs, "doc", "text")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # By block, by term, by block; documents' own counts stay where they are.
+    assert "SortMergeJoin" not in plan and "hashpartitioning(doc" not in plan
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        (1, "bb", 1), (2, "bb", 1), (2, "dd", 1), (None, "dd", 2)], key=repr)
+    base = spark.createDataFrame([("aa", "x"), ("cc", "x"), ("ff", "bb")], "token string, base string")
+    got = t.bag_of_words(docs, "doc", "text", stop=["ee"], lexicon=base)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        (1, "x", 2), (1, "bb", 1), (2, "bb", 1), (2, "x", 2), (2, "dd", 1), (None, "dd", 2), (None, "bb", 1)], key=repr)
