@@ -121,7 +121,8 @@ def tfidf_l2(tf: DataFrame, doc: str, n: int | Column, strict: bool = False) ->
     n = n if isinstance(n, Column) else F.lit(n)
     tf = stored(tf)
     idf = F.ln(n / F.col("df")) + (0 if strict else 1)
-    weights = document_frequency(tf).select("term", idf.alias("idf"))
+    # Written once, so that plans know how small the table is.
+    weights = stored(document_frequency(tf).select("term", idf.alias("idf")))
     scored = skew_join(tf, weights, ["term"]).withColumn("weight", F.col("tf") * F.col("idf"))
     return scored.select(doc, "term", _l2(scored, doc, "weight").alias("weight"))
 
