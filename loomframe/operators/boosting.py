@@ -3,9 +3,10 @@
 Columns are cut into bins at exact quantiles once. A tree starts as one leaf, and the leaf
 whose best split gains most is split next, until the limit of leaves is reached or nothing
 gains. A pass over the rows sums gradients, second derivatives and rows per (leaf, column,
-bin) in one aggregate, for the smaller child of every leaf that may be split next; the
-larger child is the parent less that. So a tree takes about as many passes as it is deep,
-and the driver holds one histogram per leaf, whatever the number of rows.
+bin), for the smaller child of every leaf that may be split next; the larger child is the
+parent less that. Tasks add up their own rows in arrays, and one aggregate adds up the
+tasks. So a tree takes about as many passes as it is deep, and the driver and each task hold
+one histogram per leaf, whatever the number of rows.
 
 Gradients are summed as whole numbers, so a rerun grows the same trees. Missing values and
 NaN lie below all others. Rows without label are left out when fitting.
@@ -15,10 +16,13 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +30,16 @@ from pyspark.sql import functions as F
 from loomframe.operators.quantiles import cut_values
 from loomframe.session import stored
 
-#: Trees after which the rows' margins are written anew, so that expressions stay small.
+#: Workers get the functions below with their tasks and need not import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Trees after which the rows' margins are written anew, so that tasks walk few trees.
 WRITTEN_EACH = 8
+#: Rows packed into one row of arrays, so that passes move arrays and not single values.
+BLOCK = 1 << 16
 _LOWEST = -1.7976931348623157e308
+#: Steps from the root to a node: column, last bin on the left, and 1 for the right side.
+Path = list[tuple[int, int, int]]
 
 
 @dataclass(frozen=True)
@@ -53,7 +64,7 @@ class Leaf:
 
     depth: int
     sums: np.ndarray  # (3, columns, bins): gradient, second derivative, rows
-    path: list[str]
+    path: Path
     split: tuple[float, int, int] | None = None  # gain, column, last bin on the left
     counted: list[np.ndarray] | None = None
     children: list[Leaf] = field(default_factory=list)
@@ -154,20 +165,48 @@ def _choose(leaf: Leaf, columns: list[int], s: Settings) -> None:
         leaf.split = (gain, columns[at // gains.shape[1]], at % gains.shape[1])
 
 
-def _histograms(rows: DataFrame, paths: list[list[str]], shape: tuple[int, int], unit: float) -> list[np.ndarray]:
-    """Sums of the rows on each path, by column and bin; the paths don't overlap."""
-    node = "CASE " + " ".join(f"WHEN {' AND '.join(p) or 'true'} THEN {i}" for i, p in enumerate(paths)) + " END"
-    found = rows.select(F.expr(node).alias("node"), "g", "h", "bins").filter("node IS NOT NULL") \
-        .select("node", "g", "h", F.posexplode("bins").alias("column", "bin")) \
-        .groupBy("node", "column", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+def _slots(batch: pa.RecordBatch, columns: int) -> np.ndarray:
+    """The ``bins`` of a batch, one array per feature."""
+    return batch.column("bins").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, columns).T
+
+
+def _histograms(rows: DataFrame, weighed: Callable, paths: list[Path], shape: tuple[int, int],
+                unit: float) -> list[np.ndarray]:
+    """Sums of the rows on each path, by column and bin; the paths don't overlap.
+
+    ``weighed`` cuts a batch into pieces: bins by feature, and whole numbers g and h of the
+    rows. A task holds the sums of all paths and gives one row per cell that has rows.
+    """
+    columns, width = shape
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, len(paths), columns, width), np.int64)
+        for bins, g, h in (piece for batch in batches for piece in weighed(batch)):
+            for node, path in enumerate(paths):
+                on = np.arange(len(g))
+                for column, last, side in path:
+                    on = on[(bins[column, on] > last) == bool(side)]
+                own_g, own_h = g[on], h[on]
+                for column in range(columns):
+                    cells = bins[column, on].astype(np.intp)
+                    np.add.at(sums[0, node, column], cells, own_g)
+                    np.add.at(sums[1, node, column], cells, own_h)
+                    sums[2, node, column] += np.bincount(cells, minlength=width)
+        found = sums[2].nonzero()
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*found, *sums[:, *found])],
+                                         ["node", "column", "bin", "g", "h", "n"])
+
+    found = rows.mapInArrow(count, "node long, column long, bin long, g long, h long, n long") \
+        .groupBy("node", "column", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
     out = [np.zeros((3, *shape)) for _ in paths]
     for r in found.collect():  # leaves times columns times bins
         out[r["node"]][:, r["column"], r["bin"]] = r["g"] / unit, r["h"] / unit, r["n"]
     return out
 
 
-def _grow(rows: DataFrame, shape: tuple[int, int], columns: list[int], s: Settings, unit: float) -> Leaf | None:
-    root = Leaf(0, _histograms(rows, [[]], shape, unit)[0], [])
+def _grow(rows: DataFrame, weighed: Callable, shape: tuple[int, int], columns: list[int], s: Settings,
+          unit: float) -> Leaf | None:
+    root = Leaf(0, _histograms(rows, weighed, [[]], shape, unit)[0], [])
     if not root.sums[2].any():
         return None
     _choose(root, columns, s)
@@ -184,7 +223,7 @@ def _grow(rows: DataFrame, shape: tuple[int, int], columns: list[int], s: Settin
                 _, column, last = x.split
                 n = x.sums[2, column]
                 sides.append(0 if 2 * n[:last + 1].sum() <= n.sum() else 1)
-            smaller = _histograms(rows, [x.path + [_side(x, k)] for x, k in zip(waiting, sides)], shape, unit)
+            smaller = _histograms(rows, weighed, [x.path + [_side(x, k)] for x, k in zip(waiting, sides)], shape, unit)
             for x, k, sums in zip(waiting, sides, smaller):
                 x.counted = [sums, x.sums - sums][::-1 if k else 1]
         best.children = [Leaf(best.depth + 1, sums, best.path + [_side(best, k)]) for k, sums in enumerate(best.counted)]
@@ -198,15 +237,75 @@ def _grow(rows: DataFrame, shape: tuple[int, int], columns: list[int], s: Settin
     return root
 
 
-def _side(leaf: Leaf, side: int) -> str:
+def _side(leaf: Leaf, side: int) -> tuple[int, int, int]:
     _, column, last = leaf.split
-    return f"bins[{column}] {'>' if side else '<='} {last}"
+    return column, last, side
 
 
-def _binned_margin(tree: Leaf) -> str:
-    if not tree.children:
-        return f"{tree.value!r}D"
-    return f"CASE WHEN {_side(tree, 0)} THEN {_binned_margin(tree.children[0])} ELSE {_binned_margin(tree.children[1])} END"
+def _plain(tree: Leaf) -> tuple | float:
+    """What tasks need of a tree: (column, last bin on the left, left, right) or a leaf's value."""
+    return (*tree.split[1:], *map(_plain, tree.children)) if tree.children else tree.value
+
+
+def _add_tree(tree: tuple | float, bins: np.ndarray, on: np.ndarray, margin: np.ndarray) -> None:
+    """Add the tree's values to the margins of the rows ``on``."""
+    if not isinstance(tree, tuple):
+        margin[on] += tree
+        return
+    column, last, left, right = tree
+    low = bins[column, on] <= last
+    _add_tree(left, bins, on[low], margin)
+    _add_tree(right, bins, on[~low], margin)
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.trunc(x + np.copysign(0.5, x)).astype(np.int64)
+
+
+def _blocks(rows: DataFrame, trees: list, base: float, columns: int, width: int) -> DataFrame:
+    """``rows`` (seen, y, bins) packed into rows of arrays, with their margins after ``trees``."""
+    kind = np.uint8 if width <= 256 else np.int32
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed():
+            bins = np.concatenate([_slots(x, columns).astype(kind) for x in waiting], axis=1)
+            seen, y = (np.concatenate([x.column(c).to_numpy() for x in waiting]) for c in ("seen", "y"))
+            margin = np.full(len(y), base)
+            for tree in trees:
+                _add_tree(tree, bins, np.arange(len(y)), margin)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x.tobytes()], pa.binary()) for x in (seen, y, margin, bins)], ["seen", "y", "margin", "bins"])
+
+        waiting, n = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            n += batch.num_rows
+            if n >= BLOCK:
+                yield packed()
+                waiting, n = [], 0
+        if n:
+            yield packed()
+
+    return rows.mapInArrow(pack, "seen binary, y binary, margin binary, bins binary")
+
+
+def _logistic(trees: list, bit: int, columns: int, width: int, unit: float) -> Callable:
+    """Gradients and second derivatives of the logistic loss after ``trees``, in steps of
+    1 / ``unit``, of the rows of blocks that have the bit."""
+    kind = np.uint8 if width <= 256 else np.int32
+
+    def weighed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for row in range(batch.num_rows):
+            seen, y, margin, bins = (np.frombuffer(batch.column(name)[row].as_buffer(), of) for name, of in (
+                ("seen", np.int32), ("y", np.float64), ("margin", np.float64), ("bins", kind)))
+            on = np.flatnonzero(seen >> bit & 1)
+            bins, y, margin = bins.reshape(columns, -1)[:, on], y[on], margin[on]
+            for tree in trees:
+                _add_tree(tree, bins, np.arange(len(y)), margin)
+            with np.errstate(over="ignore"):
+                p = 1 / (1 + np.exp(-margin))
+            yield bins, _whole((p - y) * unit), _whole(p * (1 - p) * unit)
+    return weighed
 
 
 def fit_leafwise(df: DataFrame, features: Sequence[str], label: str, row_id: str, **settings) -> Boosted:
@@ -218,7 +317,7 @@ def fit_leafwise(df: DataFrame, features: Sequence[str], label: str, row_id: str
     known = df.filter(F.col(label).isNotNull())
     model = Boosted(features, bin_borders(known, features, s.bins), s)
     rows = stored(binned(known, features, model.cuts, {
-        "draw": F.xxhash64(F.col(row_id)), "y": F.col(label).cast("double")})).withColumn("margin", F.lit(0.0))
+        "draw": F.xxhash64(F.col(row_id)), "y": F.col(label).cast("double")}))
     n, ones = rows.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not n:
         return model
@@ -226,25 +325,23 @@ def fit_leafwise(df: DataFrame, features: Sequence[str], label: str, row_id: str
     model.base = math.log(share / (1 - share))
     unit = float(2 ** min(30, 61 - n.bit_length()))  # sums of whole numbers stay in 64 bits
     shape = (len(features), max(map(len, model.cuts), default=0) + 2)
-    rows, pending = rows.withColumn("margin", F.lit(model.base)), []
+    grown, written = [], 0
     for number in range(s.trees):
-        margin = F.expr(" + ".join(["margin", *[f"({_binned_margin(t)})" for t in pending]]))
-        if len(pending) == WRITTEN_EACH:
-            rows, pending = stored(rows.withColumn("margin", margin)), []
-            margin = F.col("margin")
-        chance = 1 / (1 + F.exp(-margin))
-        seen = rows if s.rows_share >= 1 else rows.filter(
-            F.pmod(F.xxhash64("draw", F.lit(s.seed), F.lit(number)), F.lit(1 << 20)) < int(s.rows_share * (1 << 20)))
-        weighed = seen.select("bins", chance.alias("p"), "y").select(
-            "bins", F.round((F.col("p") - F.col("y")) * unit).cast("long").alias("g"),
-            F.round(F.col("p") * (1 - F.col("p")) * unit).cast("long").alias("h"))
+        if number % WRITTEN_EACH == 0:
+            # One bit per tree to come: whether it sees the row.
+            seen = [F.pmod(F.xxhash64("draw", F.lit(s.seed), F.lit(t)), F.lit(1 << 20)) < int(s.rows_share * (1 << 20))
+                    for t in range(number, number + WRITTEN_EACH)]
+            bits = sum(((F.lit(True) if s.rows_share >= 1 else x).cast("int") * (1 << i) for i, x in enumerate(seen)), F.lit(0))
+            blocks = stored(_blocks(rows.select(bits.alias("seen"), "y", "bins"), list(grown), model.base, *shape))
+            written = len(grown)
         some = max(1, round(s.columns_share * len(features)))
         columns = sorted(random.Random(f"{s.seed}:{number}").sample(range(len(features)), some))
-        tree = _grow(weighed, shape, columns, s, unit)
+        weighed = _logistic(grown[written:], number % WRITTEN_EACH, *shape, unit)
+        tree = _grow(blocks, weighed, shape, columns, s, unit)
         if tree is None:
             continue
         model.trees.append(tree)
-        pending.append(tree)
+        grown.append(_plain(tree))
     return model
 
 
@@ -262,7 +359,11 @@ def root_gains(df: DataFrame, features: Sequence[str], label: str, **settings) -
     rows = binned(known, features, cuts, {"y": y}).select("bins", *[
         F.round(x * unit).cast("long").alias(c) for c, x in (("g", p - F.col("y")), ("h", F.lit(p * (1 - p))))])
     shape = (len(features), max(map(len, cuts)) + 2)
-    gains = split_gains(_histograms(rows, [[]], shape, unit)[0], s)
+
+    def weighed(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        return [(_slots(batch, shape[0]), batch.column("g").to_numpy(), batch.column("h").to_numpy())]
+
+    gains = split_gains(_histograms(rows, weighed, [[]], shape, unit)[0], s)
     listed = [(f, own[b - 1], float(gains[i, b])) for i, (f, own) in enumerate(zip(features, cuts))
               for b in range(1, len(own) + 1) if np.isfinite(gains[i, b])]
     return df.sparkSession.createDataFrame(listed, schema)

@@ -184,3 +184,25 @@ def test_leafwise_trees_sample_rows_and_columns(spark):
     for tree in range(4):
         assert len({c for t, _, c, _, _ in model.splits() if t == tree}) <= 1
     assert all(150 < t.sums[2, 0].sum() < 350 for t in model.trees)
+
+
+def test_leafwise_passes_add_up_rows_in_tasks(spark, monkeypatch):
+    """What is grouped is cells of tasks, not rows; blocks of rows don't change the trees."""
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, rng.random(), rng.random(), int(rng.random() < 0.4)) for i in range(3000)],
+                               "id long, a double, b double, y int").coalesce(2)
+    kind, grouped = type(df), []
+    plain = kind.groupBy
+
+    def groupBy(self, *cols):
+        if cols[:1] == ("node",):
+            grouped.append(self.count())
+        return plain(self, *cols)
+
+    fit = dict(trees=10, leaves=3, depth=2, bins=4, rows_share=0.8)
+    monkeypatch.setattr(kind, "groupBy", groupBy)
+    whole = boosting.fit_leafwise(df, ["a", "b"], "y", "id", **fit)
+    assert grouped and max(grouped) <= 2 * 2 * 2 * 5
+    monkeypatch.setattr(kind, "groupBy", plain)
+    monkeypatch.setattr(boosting, "BLOCK", 100)
+    assert boosting.fit_leafwise(df, ["a", "b"], "y", "id", **fit).splits() == whole.splits()
