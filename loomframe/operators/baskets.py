@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.functions.columns import safe_ratio
-from loomframe.operators.joins import skew_join
+from loomframe.operators.joins import hashed_join, lookup_join, skew_join
 from loomframe.operators.ordered import Ordered, first_row, groups_fit, previous, run_sum
 from loomframe.operators.relational import label_by_presence
 from loomframe.session import stored
@@ -61,7 +61,7 @@ def days_since_first(orders: DataFrame) -> DataFrame:
 
 def with_days(op: DataFrame, orders: DataFrame) -> DataFrame:
     """Basket lines with the day of their order, from ``days_since_first`` orders."""
-    return op.join(orders.select("order_id", "days_since_first_order"), "order_id")
+    return hashed_join(op, orders.select("order_id", "days_since_first_order"), ["order_id"])
 
 
 def days_since_prior_product(op: DataFrame, orders: DataFrame) -> DataFrame:
@@ -91,10 +91,9 @@ def previous_basket_join(op: DataFrame) -> DataFrame:
 def basket_transitions(orders: DataFrame, op: DataFrame) -> DataFrame:
     """Every product in an order or in the one before it, with both flags.
 
-    One aggregate over the lines and the lines moved on by one order stands for
-    the two-way outer join. Lines and orders move once, by user, and each line is
-    doubled where it then lies; only when a user has very many orders are the rows
-    of single orders dealt out instead.
+    Lines and orders move once, by user. Each order becomes one row with the list of its
+    products, which meets the list of the order before it on the next row. Only when a
+    user has very many orders, or an order very many lines, are rows dealt out instead.
     """
     num, known = "predicted_order_num", F.col("user_id").isNotNull()
     lines = op.filter(known).select("user_id", F.col("order_number").alias(num), "product_id")
@@ -104,8 +103,42 @@ def basket_transitions(orders: DataFrame, op: DataFrame) -> DataFrame:
                               "_line": F.lit(True)}).unionByName(
         target.select("user_id", num, F.lit(None).cast(lines.schema["product_id"].dataType).alias("product_id"),
                       F.col("predicted_order_id").alias("_order"), F.lit(False).alias("_line")))
-    if groups_fit(orders, ["user_id"]):
-        rows = rows.repartition("user_id")
+    if groups_fit(orders, ["user_id"]) and groups_fit(rows, ["user_id", num]):
+        return _transitions_by_lists(rows, num)
+    return _transitions_by_rows(rows, num)
+
+
+def _transitions_by_lists(rows: DataFrame, num: str) -> DataFrame:
+    product = F.col("product_id")
+    # Lists leave nulls out: a line without product and an order without id are told apart.
+    unnamed = F.max(F.col("_line") & product.isNull())
+    each = rows.repartition("user_id").groupBy("user_id", num).agg(
+        F.collect_list("product_id").alias("_own"), unnamed.alias("_unnamed"),
+        F.collect_list(F.when(~F.col("_line"), F.struct("_order"))).alias("_targets"))
+    each = each.withColumn("_own", F.when(F.col("_unnamed"), F.array_append("_own", F.lit(None).cast(
+        rows.schema["product_id"].dataType))).otherwise(F.col("_own")))
+    w = Window.partitionBy("user_id").orderBy(num)
+    follows = F.lag(num).over(w) == F.col(num) - 1
+    each = each.withColumn("_prev", F.when(follows, F.lag("_own").over(w)))
+    each = each.filter((F.col(num) >= 2) & (F.size("_targets") > 0))
+    own, prev = F.col("_own"), F.coalesce("_prev", F.slice("_own", 1, 0))
+
+    def part(prev_flag: int, cur_flag: int, products) -> Column:
+        return F.struct(F.lit(prev_flag).alias("prev"), F.lit(cur_flag).alias("cur"), products.alias("products"))
+
+    # The functions on lists give each product once.
+    parts = F.array(part(1, 1, F.array_intersect(own, prev)), part(0, 1, F.array_except(own, prev)),
+                    part(1, 0, F.array_except(prev, own)))
+    each = each.select("user_id", num, F.explode("_targets").alias("_target"), parts.alias("_parts"))
+    each = each.select("user_id", num, "_target", F.explode("_parts").alias("_part"))
+    return each.select("user_id", num, F.col("_target._order").alias("predicted_order_id"),
+                       F.explode("_part.products").alias("product_id"), F.col("_part.prev").alias("in_prev_order"),
+                       F.col("_part.cur").alias("in_cur_order"))
+
+
+def _transitions_by_rows(rows: DataFrame, num: str) -> DataFrame:
+    """One aggregate over the lines and the lines moved on by one order stands for the
+    two-way outer join."""
     # A line counts for its own order and the next one, a target order for itself.
     own = F.struct(F.lit(0).alias("step"), F.lit(0).alias("prev"), F.col("_line").cast("int").alias("cur"))
     after = F.struct(F.lit(1).alias("step"), F.lit(1).alias("prev"), F.lit(0).alias("cur"))
@@ -162,29 +195,48 @@ def purchase_pairs(op: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("times"), F.max("reordered").alias("again"))
 
 
-def user_counts(op: DataFrame, products: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def order_sizes(op: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines of each prior order, and how many of them are of known products."""
+    known = products.select("product_id").distinct().withColumn("_known", F.lit(1))
+    lines = lookup_join(_prior(op).select("user_id", "order_id", "product_id"), known, ["product_id"], "left",
+                        hot_from=op)
+    return lines.groupBy("user_id", "order_id").agg(
+        F.count(F.lit(1)).alias("_size"), F.count("_known").alias("_known"))
+
+
+def user_counts(op: DataFrame, products: DataFrame, pairs: DataFrame | None = None,
+                sizes: DataFrame | None = None) -> DataFrame:
     """Orders, distinct products, lines, departments and aisles per user.
 
-    Distinct counts are taken over the much smaller (user, product) and
-    (user, order) tables, so lines are never copied once per distinct count.
+    Pairs and orders are counted from the much smaller (user, product) and (user, order)
+    tables, so lines are never copied once per distinct count; nor are pairs, unless a
+    user has very many.
     """
+    # Lines bound the pairs where these are not at hand.
+    few = groups_fit(op if pairs is None else pairs, ["user_id"])
     pairs = purchase_pairs(op) if pairs is None else pairs
-    known = skew_join(pairs.select("user_id", "product_id", "times"), products, ["product_id"],
-                      hot_from=op)
+    sizes = order_sizes(op, products) if sizes is None else sizes
+    # A pair is there once: its product counts on one of the rows the product has.
+    rank = F.row_number().over(Window.partitionBy("product_id").orderBy("department_id", "aisle_id"))
+    known = lookup_join(pairs.select("user_id", "product_id", "times"),
+                        products.withColumn("_one", (rank == 1).cast("int")), ["product_id"], hot_from=op)
+    if few:  # a user's departments and aisles make small sets
+        departments, aisles = [F.size(F.collect_set(c)).cast("long") for c in ("department_id", "aisle_id")]
+    else:
+        known = known.groupBy("user_id", "department_id", "aisle_id").agg(
+            F.sum("_one").alias("_one"), F.sum("times").alias("times"))
+        departments, aisles = [F.count_distinct(c) for c in ("department_id", "aisle_id")]
     wares = known.groupBy("user_id").agg(
-        F.count_distinct("product_id").alias("prods_ordered_DIST_CNT"),
-        F.sum("times").alias("prods_ordered_TOT_CNT"),
-        F.count_distinct("department_id").alias("departments_DIST_CNT"),
-        F.count_distinct("aisle_id").alias("aisle_DIST_CNT"))
-    lines = skew_join(_prior(op).select("user_id", "order_id", "product_id"), products,
-                      ["product_id"], "left_semi", hot_from=op)
-    counts = lines.select("user_id", "order_id").distinct().groupBy("user_id").agg(
+        F.sum("_one").alias("prods_ordered_DIST_CNT"), F.sum("times").alias("prods_ordered_TOT_CNT"),
+        departments.alias("departments_DIST_CNT"), aisles.alias("aisle_DIST_CNT"))
+    counts = sizes.filter(F.col("_known") > 0).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("orders_TOT_COUNT"))
     return counts.join(wares, "user_id").select("user_id", *USER_FEATURES[:5])
 
 
-def user_basket_size_stats(op: DataFrame) -> DataFrame:
-    sizes = _prior(op).groupBy("user_id", "order_id").agg(F.count(F.lit(1)).alias("_size"))
+def user_basket_size_stats(op: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    if sizes is None:
+        sizes = _prior(op).groupBy("user_id", "order_id").agg(F.count(F.lit(1)).alias("_size"))
     return sizes.groupBy("user_id").agg(*_ln_stats(F.col("_size"), "prods_per_order"))
 
 
@@ -208,7 +260,8 @@ def join_features(frames: Sequence[DataFrame], key: str | Sequence[str]) -> Data
 def user_features(orders: DataFrame, op: DataFrame, products: DataFrame,
                   pairs: DataFrame | None = None) -> DataFrame:
     scores = basket_f1(basket_transitions(orders, op))
-    return join_features([user_counts(op, products, pairs), user_basket_size_stats(op),
+    sizes = stored(order_sizes(op, products))
+    return join_features([user_counts(op, products, pairs, sizes), user_basket_size_stats(op, sizes),
                           user_gap_stats(orders), user_repeat_stats(scores)], "user_id")
 
 
@@ -234,7 +287,11 @@ def purchase_history(op: DataFrame, orders: DataFrame) -> DataFrame:
     ``op`` has one row per (order, product), so purchases are orders.
     """
     n, day = F.col("order_number"), F.col("days_since_first_order")
-    return with_days(_prior(op), orders).groupBy("user_id", "product_id").agg(
+    lines = with_days(_prior(op).select("order_id", "user_id", "order_number", "product_id", "add_to_cart_order",
+                                        "reordered"), orders)
+    if groups_fit(orders, ["user_id"]):  # a user's pairs lie together for the joins and counts by user
+        lines = lines.repartition("user_id")
+    return lines.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("times"), F.max("reordered").alias("again"),
         *_ln_stats(F.col("add_to_cart_order"), "position_in_cart"),
         F.min_by(day, n).alias("first_day"), F.max_by(day, n).alias("last_day"))
@@ -312,7 +369,7 @@ def all_features(orders: DataFrame, op: DataFrame, products: DataFrame) -> DataF
     # Lines of earlier orders cannot match: the filter reaches the scan.
     recent = op.filter(F.col("source") != "prior")
     rows = label_by_presence(rows, recent, ["order_id", "product_id"])
-    rows = skew_join(rows, wares, ["product_id"], hot_from=history)
+    rows = lookup_join(rows, wares, ["product_id"], hot_from=history)
     per_user = join_features([users, current_orders(dated, users)], "user_id")
     share = F.try_divide("times", "orders_TOT_COUNT")
     rows = skew_join(rows, per_user, ["user_id"], hot_from=history).withColumns(

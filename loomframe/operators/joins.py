@@ -63,5 +63,26 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     return cut_left.drop(pieces).join(cut_right.drop(pieces), [*on, salt], how).drop(salt)
 
 
+#: A table of so many rows goes to every task.
+FEW = 100_000
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+                hot_from: DataFrame | None = None) -> DataFrame:
+    """``skew_join`` with a table that is cheap to read; when it has few rows it is sent to
+    all tasks, so that no fact row moves and a key may be as hot as it likes."""
+    if right.limit(FEW + 1).count() <= FEW:
+        return left.join(F.broadcast(right), list(on), how)
+    return skew_join(left, right, on, how, hot_from)
+
+
+def hashed_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join that looks rows up in hash tables of the smaller right side instead of
+    sorting both sides, unless a key has very many rows there."""
+    if groups_fit(right, on):
+        right = right.hint("shuffle_hash")
+    return left.join(right, list(on))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

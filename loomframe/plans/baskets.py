@@ -110,9 +110,9 @@ def _user_doubles() -> list[str]:
     return [c for c in b.USER_FEATURES if c.endswith(("_AVG", "_STD"))]
 
 
-def _op(spark, sf_dir):
+def _op(spark, sf_dir, orders=None):
     """The basket lines as the stored table they are in production."""
-    return stored(basket_lines(spark, sf_dir))
+    return stored(basket_lines(spark, sf_dir, orders))
 
 
 def _products(spark, sf_dir):
@@ -253,7 +253,7 @@ def user_product_recency(spark, sf_dir):
 
 def feature_matrix(spark, sf_dir):
     orders = stored(basket_orders(spark, sf_dir))
-    return b.all_features(orders, _op(spark, sf_dir), _products(spark, sf_dir))
+    return b.all_features(orders, _op(spark, sf_dir, orders), _products(spark, sf_dir))
 
 
 @plan.add(f"{BASE}, {ALL_STEPS} SELECT user_id, product_id, order_id, eval_set, target, "

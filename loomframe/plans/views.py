@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomframe.operators.joins import hashed_join
 from loomframe.operators.ordered import (
     Ordered, groups_fit, previous, row_number, whole_count)
 
@@ -33,8 +34,11 @@ def basket_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_diff("placed", "before").alias("days_since_prior_order"))
 
 
-def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, product) with cart position and re-order flag."""
+def basket_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """One row per (order, product) with cart position and re-order flag.
+
+    ``orders``: the basket orders where they are stored, so that they are not made twice.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.pmod("l_partkey", F.lit(50)).alias("product_id"),
         "l_linenumber")
@@ -45,13 +49,15 @@ def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # collapse on the map side where an order has very many.
     lines = (lines.repartition("order_id") if small else lines).groupBy("order_id", "product_id").agg(
         F.min("l_linenumber").alias("ln"))
-    orders = basket_orders(spark, sf_dir).select(
+    orders = (basket_orders(spark, sf_dir) if orders is None else orders).select(
         "order_id", "user_id", "order_number", F.col("eval_set").alias("source"))
-    op = lines.join(orders, "order_id")
+    op = hashed_join(lines, orders, ["order_id"])
     op = Ordered(op, ["order_id"], ["ln", "product_id"], small=small).scan(add_to_cart_order=row_number())
-    own = table(spark, sf_dir, "orders")
-    op = Ordered(op, ["user_id", "product_id"], ["order_number"],
-                 small=groups_fit(own, ["o_custkey"])).scan(_before=previous(F.col("order_number")))
+    few = groups_fit(table(spark, sf_dir, "orders"), ["o_custkey"])
+    # By user alone: whoever stores the lines gets those of a user together, and counts
+    # per user or order then shrink before they are shuffled.
+    op = Ordered(op.repartition("user_id") if few else op, ["user_id", "product_id"], ["order_number"],
+                 small=few).scan(_before=previous(F.col("order_number")))
     return op.select(
         "order_id", "user_id", "order_number", "source", "product_id", "add_to_cart_order",
         F.col("_before").isNotNull().cast("int").alias("reordered"))

@@ -384,6 +384,47 @@ def test_transitions_move_lines_once_and_keep_copies(spark):
     assert found == sorted(2 * [(9, 2, 2, 5, 1, 1), (9, 2, 2, 6, 0, 1), (9, 2, 2, None, 1, 0)], key=repr)
 
 
+def test_transitions_do_not_double_lines(spark, small_groups):
+    """Orders become lists; where they are too long for that, rows are dealt out with the same result."""
+    from loomframe.operators import baskets as b
+    orders = spark.createDataFrame(
+        [(10 * u + n, u, n, "prior" if n < 5 else "test") for u in range(30) for n in range(1, 6) if (u + n) % 7]
+        + [(None, 3, 2, "prior")], "order_id long, user_id long, order_number long, eval_set string")
+    op = spark.createDataFrame(
+        [(u, n, (u * n + k) % 6 or None) for u in range(30) for n in range(1, 6) for k in range(3) if (u + k) % 5],
+        "user_id long, order_number long, product_id long")
+    spark.conf.set("loomframe.groupRowLimit", "3")
+    by_rows = b.basket_transitions(orders, op)
+    spark.conf.set("loomframe.groupRowLimit", "100000")
+    by_lists = b.basket_transitions(orders, op)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (by_rows, by_lists)]
+    assert ["in_prev_order" in p and "collect_list(product_id" in p for p in plans] == [False, True]
+    lines, want = {}, []
+    for u, n, p in op.collect():
+        lines.setdefault((u, n), set()).add(p)
+    for o, u, n, kind in orders.collect():
+        cur, prev = lines.get((u, n), set()), lines.get((u, n - 1), set())
+        want += [(u, n, o, p, int(p in prev), int(p in cur)) for p in cur | prev if kind == "prior" and n >= 2]
+    for found in (by_rows, by_lists):
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_a_small_table_is_looked_up_without_salt_or_shuffle(spark, small_groups):
+    from loomframe.operators import baskets as b
+    op = spark.createDataFrame([(u, 100 * u + n, "prior", 1 + u % 2, int(n > 0)) for u in range(40) for n in range(3)],
+                               "user_id long, order_id long, source string, product_id long, reordered int")
+    products = spark.createDataFrame([(1, 7, 4), (1, 8, 4), (3, 9, 5)], "product_id long, aisle_id long, department_id long")
+    hot = b.user_counts(op, products)
+    plan = hot._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan
+    want = [(u, 3, 1, 6, 1, 2) for u in range(0, 40, 2)]
+    assert sorted(map(tuple, hot.collect())) == want
+    spark.conf.set("loomframe.groupRowLimit", "100000")
+    plain = b.user_counts(op, products)
+    assert "Expand" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, plain.collect())) == want and plain.schema == hot.schema
+
+
 def test_groups_are_counted_in_parts_first(spark):
     from loomframe.operators.ordered import groups_fit
     df = spark.range(100).select((F.col("id") % 10).alias("k"), F.when(F.col("id") < 40, F.col("id")).alias("some"))
