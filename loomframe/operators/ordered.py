@@ -105,9 +105,11 @@ def groups_fit(df: DataFrame, part: Sequence[str]) -> bool:
     themselves are only counted when a part is above the limit.
     """
     limit = group_limit(df.sparkSession)
+    if not part:  # all rows are one group
+        return df.count() <= limit
     parts = df.groupBy(F.pmod(F.xxhash64(*[F.col(p) for p in part]), F.lit(HASHED)).alias("_part")).agg(
         F.count(F.lit(1)).alias("_rows"))
-    if part and parts.filter(F.col("_rows") > limit).isEmpty():
+    if parts.filter(F.col("_rows") > limit).isEmpty():
         return True
     return df.groupBy(*part).agg(F.count(F.lit(1)).alias("_rows")).filter(
         F.col("_rows") > limit).isEmpty()

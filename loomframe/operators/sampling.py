@@ -55,8 +55,8 @@ def shuffled_heads(df: DataFrame, row_id: str, by: Sequence[str], sizes: Mapping
             F.count(F.lit(1)).over(whole).alias("_of"))
         return placed.select(*df.columns, *[F.coalesce(F.col("_rank") <= size, F.lit(False)).alias(name)
                                             for name, size in sizes.items()])
-    keyed = df.withColumn("_key", mixed_key(text, seed)).withColumn(
-        "_range", F.floor(mixed_draw(F.col("_key")) * RANGES).cast("int"))
+    keyed = df.withColumn("_key", mixed_key(text, seed)).withColumn(  # null keys come first, as in the window
+        "_range", F.coalesce(F.floor(mixed_draw(F.col("_key")) * RANGES).cast("int"), F.lit(0)))
     group = Window.partitionBy(*by, F.lit(0)) if by else Window.partitionBy(F.lit(0))  # at most RANGES rows
     ranges = keyed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_rows")).select(
         *by, "_range", F.sum("_rows").over(group).alias("_of"),

@@ -436,6 +436,24 @@ def test_groups_are_counted_in_parts_first(spark):
             spark.conf.unset("loomframe.groupRowLimit")
 
 
+def test_random_split_of_a_table_as_one_group(spark):
+    from loomframe.operators.ordered import groups_fit
+    from loomframe.operators.sampling import random_split
+    df = spark.createDataFrame([(i,) for i in range(200)] + [(7,), (7,), (None,), (None,), (None,)], "id long")
+    held = {}
+    for limit in (1000, 205, 204, 2):  # ranked by one window up to 205 rows, else by ranges of keys
+        spark.conf.set("loomframe.groupRowLimit", str(limit))
+        try:
+            assert groups_fit(df, []) == (limit >= 205) and groups_fit(df.limit(0), [])
+            rows = values(random_split(df, "id", 0.1), "id", "role")
+        finally:
+            spark.conf.unset("loomframe.groupRowLimit")
+        assert len(rows) == 205
+        held[limit] = sorted((r[0] for r in rows if r[1] == "validation"), key=repr)
+    assert len(held[205]) == 20 and held[205].count(None) == 3 and len({repr(h) for h in held.values()}) == 1
+    assert values(random_split(df.limit(0), "id", 0.1), "id", "role") == []
+
+
 def test_tasks_are_small_unless_the_session_says_otherwise(spark):
     from loomframe.session import TASK_BYTES, prepare
     spark.conf.unset(TASK_BYTES)
