@@ -128,3 +128,45 @@ def test_queries_write_few_folders(spark, tmp_path):
     read = text.read_corpus(spark, str(tmp_path))
     assert len({f.rsplit("/", 1)[0] for f in read.inputFiles()}) <= 4
     assert rows(read) == sorted([(i, f"text {i}\n") for i in range(60)] + [(None, "x\n"), (None, "\n")], key=repr)
+
+
+def test_corpus_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    import gzip
+    import os
+    corpus = tmp_path / "corpus"
+    texts = {f"{i} - t.txt": f"é{i}\r\n" for i in range(200)}
+    texts |= {"sub/7 - u.txt": "seven", "sub/deep/8 + ü.txt": "eight", "k=1/9%20.txt": "nine", "x.txt": "no number",
+              "99999999999999999999.txt": "too long"}
+    hidden = {"_h.txt": "no", ".h.txt": "no", "_sub/1.txt": "no", "1.txt._COPYING_": "no", "0 - empty.txt": "", "5.md": "md"}
+    for name, text in {**texts, **hidden}.items():
+        (corpus / name).parent.mkdir(parents=True, exist_ok=True)
+        (corpus / name).write_bytes(text.encode())
+    os.symlink("/nowhere", corpus / "6.txt")
+    (corpus / "bytes.txt").write_bytes(b"\xff\x00")
+    # A folder given twice or below another gives its files once.
+    df = files.read_corpus(spark, [str(corpus), f"file:{corpus}/sub", f"{corpus}/"])
+    assert not [f for f in df.inputFiles() if f.endswith(".txt")]  # the plan holds no list of the files
+    got = [tuple(r) for r in df.select("number", "name", F.col("text").cast("binary")).collect()]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1].encode())
+    assert got == sorted(got, key=key) and len(got) == len(texts) + 1
+    assert sorted((r[1], bytes(r[2])) for r in got) == sorted(
+        [*((n.rsplit("/", 1)[-1], t.encode()) for n, t in texts.items()), ("bytes.txt", b"\xff\x00")])
+    assert [r[1] for r in got if r[0] is None] == ["99999999999999999999.txt", "bytes.txt", "x.txt"]
+    assert {r[0] for r in got if r[0] is not None} == set(range(200))
+    some = files.read_corpus(spark, str(corpus), "[!0-8x]*.{md,txt}").collect()
+    assert [r["name"] for r in some] == ["99999999999999999999.txt", "bytes.txt", "9 - t.txt", "9%20.txt",
+                                         *[f"{i} - t.txt" for i in range(90, 100)]]
+    # Patterns of paths and packed files are left to Spark's reader.
+    (corpus / "sub" / "1.txt.gz").write_bytes(gzip.compress(b"packed"))
+    assert files.read_corpus(spark, str(corpus), "*.gz").first()["text"] == "packed"
+    assert [r["text"] for r in files.read_corpus(spark, f"{corpus}/su*").collect()] == ["seven", "eight"]
+
+
+def test_only_lines_of_names_that_come_again_move(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([*((f"{i}.txt", f"{i}") for i in range(300)), ("7.txt", "7"), (" 8.txt", None), (" 8.txt", None)],
+                               "name string, line string")
+    want = sorted([*((f"{i}.txt", f"{i}\n") for i in range(300) if i != 7), ("7.txt", "7\n7\n"), (" 8.txt", "\n\n")])
+    for few in (files.FEW_NAMES, 0):
+        monkeypatch.setattr(files, "FEW_NAMES", few)
+        folders = files.write_each(df, "name", "line", str(tmp_path / f"few{few}"))
+        assert rows(files.read_corpus(spark, folders).select("name", "text")) == want and len(folders) <= 4
